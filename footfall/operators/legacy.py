@@ -34,7 +34,7 @@ def to_legacy(events: DataFrame) -> DataFrame:
     that the legacy protocol gets. Add `legacy_order_items` columns beforehand
     to have order item rows mapped as well."""
     rows = legacy_eligible(events)
-    for absent in ("ec_items", "ec_id", "revenue", "ec_sh", "ec_st"):
+    for absent in ("userId", "url", "title", "ec_items", "ec_id", "revenue", "ec_sh", "ec_st"):
         if absent not in rows.columns:
             rows = rows.withColumn(absent, F.lit(None).cast("string"))
 
@@ -80,6 +80,11 @@ def to_legacy(events: DataFrame) -> DataFrame:
     )
 
 
+def _hash_number(*names) -> Column:
+    key = F.concat_ws(":", *names)
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+
+
 def legacy_request_time(events: DataFrame, tz="UTC") -> DataFrame:
     """Unpadded wall clock h, m, s in `tz`, UTC text `cdt`, `uid`, and `r`: a
     number below 50000 that is the same on every run."""
@@ -92,7 +97,7 @@ def legacy_request_time(events: DataFrame, tz="UTC") -> DataFrame:
             "s": F.pmod(clock, F.lit(60)).cast("string"),
             "cdt": utc_text("eventTime"),
             "uid": F.when(F.length("userId") > 0, F.col("userId")),
-            "r": F.pmod(F.xxhash64("deviceId", "eventTime", "sn"), F.lit(50000)).cast("string"),
+            "r": F.pmod(_hash_number("deviceId", "eventTime", "sn"), F.lit(50000)).cast("string"),
         }
     )
 
@@ -243,34 +248,30 @@ def legacy_category_event(events, app, category, action, name=None, value=None,
     )
 
 
-def find_target_group(rows: DataFrame, message: str, key: str = "target_group_id", depth: int = 4) -> DataFrame:
-    """First value of `key` in nested objects, and in JSON objects held by text.
+def find_target_group(
+    rows: DataFrame, message: str, key: str = "target_group_id", depth: int = 4
+) -> DataFrame:
+    """Value of `key` in nested objects, and in JSON objects held by text; the
+    least deep hit wins, then the first in document order.
 
-    Each level is a variant exploded into its members; only containers and texts
-    that may be JSON go on to the next. Of several hits the least deep one wins,
-    then the first in key order. `depth` bounds the levels looked at. Rows are
-    told apart by all their columns, which have to be unique.
+    Read as a map of texts, a nested object and a text that holds one look alike,
+    so each level is the same step inside the row; nothing is exploded or joined.
     """
-    names = rows.columns
-    level = rows.select("*", F.try_parse_json(message).alias("__v"))
-    hits = None
-    for at in range(depth):
-        members = level.lateralJoin(
-            rows.sparkSession.tvf.variant_explode_outer(F.col("__v").outer())
-        ).where(F.col("key").isNotNull())
-        found = members.where(F.col("key") == key).select(
-            *names,
-            F.lit(at).alias("__depth"),
-            F.col("__path") if "__path" in members.columns else F.lit("").alias("__path"),
-            F.col("value").cast("string").alias("__hit"),
-        )
-        hits = found if hits is None else hits.unionByName(found)
-        inner = F.coalesce(
-            F.try_parse_json(F.try_variant_get("value", "$", "string")), F.col("value")
+    as_map = "MAP<STRING,STRING>"
+    rows = rows.withColumn("__texts", F.array(message)).withColumn(
+        key, F.lit(None).cast("string")
+    )
+    for _ in range(depth):
+        rows = rows.withColumn(
+            "__maps",
+            F.filter(F.transform("__texts", lambda t: F.from_json(t, as_map)), F.isnotnull),
         )
-        trail = F.concat(F.col("__path") if "__path" in members.columns else F.lit(""), F.lit("/"), F.col("key"))
-        level = members.where(F.col("key") != key).select(
-            *names, inner.alias("__v"), trail.alias("__path")
+        hits = F.filter(F.transform("__maps", lambda m: m[key]), F.isnotnull)
+        inner = F.flatten(F.transform("__maps", F.map_values))
+        rows = rows.withColumns(
+            {
+                key: F.coalesce(key, F.get(hits, F.lit(0))),
+                "__texts": F.filter(inner, lambda t: F.ltrim(t).startswith("{")),
+            }
         )
-    best = hits.groupBy(*names).agg(F.min(F.struct("__depth", "__path", "__hit")).alias("__best"))
-    return best.select(*names, F.col("__best.__hit").alias(key))
+    return rows.drop("__texts", "__maps")

@@ -101,7 +101,7 @@ def merge_ud_variable(events: DataFrame) -> DataFrame:
 
 def parse_ua_header(df: DataFrame, header: str = "user_agent") -> DataFrame:
     """`App/Ver (Platform; iOS x)` as columns; NULL where it does not match."""
-    pattern = r"^(.*)/([^/]*) \((.*); iOS ([^;)]*)\)$"
+    pattern = r"^(.*)/([^/()]*) \((.*); iOS ([^;)]*)\)$"
     names = ("app_name", "app_version", "platform", "os_version")
     return df.withColumns(
         {

@@ -20,9 +20,9 @@ def _stored(spark, path: str) -> DataFrame | None:
 
 def new_events(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Events of the batch that are not stored yet, without copies."""
-    batch = with_event_date(dedupe_events(batch))
+    batch = with_event_date(batch)
     if stored is None:
-        return batch
+        return dedupe_events(batch)
     # a resend has the time of its original, so only the batch's days matter;
     # days are few, and naming them prunes the folders of the stored table
     days = [r.event_date for r in batch.select("event_date").distinct().collect()]
@@ -31,7 +31,7 @@ def new_events(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
     def keyed(df):
         return df.withColumn("__unnumbered", resend_key(df)[-1])
 
-    new, old = keyed(batch).alias("new"), keyed(stored).alias("old")
+    new, old = keyed(dedupe_events(batch)).alias("new"), keyed(stored).alias("old")
     names = (*DEVICE, *EVENT_ORDER, "__unnumbered")
     same = F.lit(True)
     for n in names:
