@@ -1,9 +1,11 @@
 """Typed event bodies."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks import check
-from checks.fixtures import LINE_ORDER_ID, LINES_SQL, TRACK_SQL, order_events, track
+from checks.fixtures import LINE_BODY, LINE_ORDER_ID, LINES_SQL, TRACK_SQL, order_events, track
 from footfall.operators import bodies, commerce
 
 _BODY_COLUMNS = ("projectId", "siteId", "deviceId", "eventTime", "sn", "eventName", "eventBody",
@@ -194,3 +196,19 @@ def h5_messages(spark, sf):
           || CASE WHEN k % 7 = 0 THEN '' WHEN k % 5 = 0 THEN ',"eventBody":"{\\\\"a\\\\":' || k || '}"'
              ELSE ',"eventBody":{"a":' || k || '}' END || '}' END"""),
     )
+
+
+_ENCODED = ("pageview", "search", "productPage", "addCart", "payment", "preCharge", "register", "logout", "click",
+            "jPush", "initJPush", "openChannel")
+
+
+@check("evt_encode", f"""WITH {TRACK_SQL}, {LINES_SQL}
+SELECT CAST(sn AS BIGINT) AS sn, eventName, eventBody FROM track WHERE eventName IN {_ENCODED}
+UNION ALL SELECT CAST(ok * 10 + ln AS BIGINT), 'order', {LINE_BODY} FROM lines""")
+def encode(spark, sf):
+    """Every body parsed and written again."""
+    events = _events(spark, sf)
+    parsed = [bodies.encode(bodies.parse(events, name, keep=("sn",)), name) for name in _ENCODED]
+    parsed.append(bodies.encode(bodies.parse_order(order_events(spark, sf), keep=("sn",)), "order"))
+    rows = reduce(lambda a, b: a.unionByName(b), parsed)
+    return rows.select(F.col("sn").cast("bigint").alias("sn"), "eventName", "eventBody")

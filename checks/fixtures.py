@@ -100,7 +100,8 @@ def _derived(events: DataFrame) -> DataFrame:
         "user_id",
         "event_type",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("eventTime"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        # props is {"k": n}; it is read in every query, so without a JSON parser
+        F.expr("try_cast(substr(props, 7, length(props) - 7) AS INT)").alias("k"),
         F.col("value").cast("decimal(18,2)").alias("v"),
     ).withColumn("eventName", F.expr(EVENT_NAME))
 

@@ -2,7 +2,7 @@
 
 from checks import check
 from checks.fixtures import RAW_SQL, TRACK_SQL, raw, track
-from footfall.operators import clicks, dims
+from footfall.operators import clicks, dims, filters
 from footfall.operators.bodies import parse_click
 from pyspark.sql import functions as F
 
@@ -36,3 +36,16 @@ def override_properties(spark, sf):
         F.expr("'named ' || id").alias("eContent"))
     listed = listed.select(clicks.element_id(F.lit(""), "ePath").alias("id"), "eContent")
     return clicks.override_properties(rows, listed).select("event_id", "eContent", "eType")
+
+
+@check("jon5_allowed_events", f"""WITH {TRACK_SQL}
+SELECT event_id FROM track WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+  AND eventName NOT IN (SELECT 'click' FROM part UNION SELECT 'error' FROM part)""")
+def allowed_events(spark, sf):
+    """Opt-out and denylist tables as anti joins."""
+    gone = spark.read.parquet(f"{sf}/customer.parquet").where("c_acctbal < 0")
+    gone = gone.select(F.expr("substr(md5(CAST(c_custkey AS STRING)), 1, 16)").alias("deviceId"))
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    names = part.select(F.expr("CASE WHEN p_partkey % 2 = 0 THEN 'click' ELSE 'error' END").alias("name"))
+    rows = filters.not_opted_out(track(spark, sf, "event_id", "deviceId", "eventName"), gone, keys=("deviceId",))
+    return filters.control_denylist(rows, names, e_type="eventName").select("event_id")

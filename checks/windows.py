@@ -167,13 +167,16 @@ def batch_index(spark, sf):
 
 
 @check("win13_visit_vars", f"""WITH {TRACK_SQL}, {sessions_sql()}
-SELECT event_id, last_value(CASE WHEN k % 4 = 0 THEN 'v' || k END IGNORE NULLS) OVER (
+SELECT event_id, last_value(CASE WHEN k % 4 = 0 THEN 'v' || k WHEN newSession THEN 'fresh' END IGNORE NULLS) OVER (
   PARTITION BY {DEVICE_SQL}, seStartTime ORDER BY eventTime, sn ROWS UNBOUNDED PRECEDING) AS v FROM sess""")
 def visit_vars(spark, sf):
+    def variables(v):
+        return F.create_map(F.lit("a"), v)
+
     rows = track(spark, sf, "event_id", "k", *_STATE)
-    own = F.when(F.col("k") % 4 == 0, F.create_map(F.lit("a"), F.concat(F.lit("v"), F.col("k").cast("string"))))
+    own = F.when(F.col("k") % 4 == 0, variables(F.concat(F.lit("v"), F.col("k").cast("string"))))
     line = sessions.sessionize_v2(Timeline(rows.withColumn("visitVars", own)))
-    rows = sessions.visit_vars_scope(line).frame()
+    rows = sessions.visit_vars_scope(line, at_start=variables(F.lit("fresh"))).frame()
     return rows.select("event_id", F.col("visitVars")["a"].alias("v"))
 
 

@@ -100,3 +100,21 @@ def fan_out(spark, sf):
         spark.read.parquet(old).select(*columns), spark.read.parquet(current).select(*columns))
     return both.groupBy("protocol", "siteId").agg(
         F.count("*").alias("n"), F.countDistinct("deviceId").alias("devices"))
+
+
+@check("agg2_batch_collect", f"""WITH {TRACK_SQL},
+num AS (SELECT *, (row_number() OVER {W} - 1) // 20 AS batch FROM track)
+SELECT siteId, deviceId, batch, count(*) AS n_events, CAST(min(sn) AS BIGINT) AS first_sn, CAST(max(sn) AS BIGINT) AS last_sn
+FROM num GROUP BY {DEVICE_SQL}, batch""")
+def batch_collect(spark, sf):
+    """The arrays inside requests of 20, read back: their size and order."""
+    payloads = wire.encode_bulk(track(spark, sf, "projectId", "siteId", "deviceId", "eventTime", "sn"), 20)
+    body = F.url_decode(F.replace("body", F.lit("+"), F.lit("%2B")))
+    requests = F.from_json(body, "requests ARRAY<STRING>")["requests"]
+
+    def sn(item):
+        return F.regexp_extract(item, "&sn=([0-9]+)", 1).cast("bigint")
+
+    return payloads.select(
+        "siteId", "deviceId", "batch", F.size(requests).cast("bigint").alias("n_events"),
+        sn(F.get(requests, F.lit(0))).alias("first_sn"), sn(F.element_at(requests, -1)).alias("last_sn"))

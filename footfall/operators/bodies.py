@@ -6,7 +6,7 @@ Money travels as two-decimal text and is read as DECIMAL(18,2).
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from footfall.functions import json_object
 from footfall.schema import DEVICE, KNOWN_EVENTS
@@ -124,7 +124,12 @@ def parse_h5(messages: DataFrame, message: str = "message") -> DataFrame:
     return rows.withColumn("eventBody", F.coalesce(json_object("eventBody"), F.lit("{}")))
 
 
-def encode_body(*fields: Column) -> Column:
-    """Body text from columns; DECIMAL columns become two-decimal text only when
-    they were passed through `money_text`. NULL fields are left out."""
-    return F.to_json(F.struct(*fields))
+def encode(rows: DataFrame, name: str) -> DataFrame:
+    """`eventName` and `eventBody` from the columns that `parse` gives: money as
+    two-decimal text, flags as 0/1, NULLs left out."""
+    wire = T.StructType.fromDDL(BODY[name].replace("DECIMAL(18,2)", "STRING"))
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in wire if f.name in rows.columns]
+    kept = [c for c in rows.columns if c not in wire.fieldNames()]
+    return rows.select(
+        *kept, F.lit(name).alias("eventName"), F.to_json(F.struct(*fields)).alias("eventBody")
+    )

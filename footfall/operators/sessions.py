@@ -90,10 +90,16 @@ def visit_counters(events, flag: str = "new_visit", start: str = "seStartTime"):
 
 
 @on_timeline
-def visit_vars_scope(events, variables: str = "visitVars", start: str = "seStartTime"):
+def visit_vars_scope(
+    events, variables: str = "visitVars", start: str = "seStartTime", flag: str = "newSession",
+    at_start: Column | None = None,
+):
     """Visit variables hold until the session ends; screen variables stay with
-    their own row and need no operator."""
+    their own row and need no operator. `at_start` is what every new session
+    begins with where its first event sets nothing itself."""
     own = F.col(variables)
+    if at_start is not None:
+        own = F.coalesce(own, F.when(F.col(flag), at_start))
     held = F.when(own.isNotNull(), F.struct(F.col(start).alias("at"), own.alias("vars")))
     same = F.col("__held.at").eqNullSafe(F.col(start))
     return (

@@ -125,23 +125,24 @@ class Timeline:
 
     def last(self, **state) -> "Timeline":
         """Latest non-null value up to and including the row."""
-        return self._run(state, _last, self._newest, F.coalesce, W.unboundedPreceding, 0)
+        return self._run(state, _last, self._newest, F.coalesce)
 
     def before(self, **state) -> "Timeline":
         """Latest non-null value strictly before the row."""
-        return self._run(state, _last, self._newest, F.coalesce, W.unboundedPreceding, -1)
+        return self._run(state, _last, self._newest, F.coalesce, end=-1)
 
     def next(self, **state) -> "Timeline":
-        """Earliest non-null value from the row on."""
-        return self._run(state, _first, self._oldest, F.coalesce, 0, W.unboundedFollowing)
+        """Earliest non-null value from the row on. Runs backwards: a frame that
+        reaches to the end would be evaluated anew for every row."""
+        return self._run(state, _last, self._oldest, F.coalesce, backwards=True)
 
     def total(self, **state) -> "Timeline":
         """Running sum up to and including the row."""
-        return self._run(state, F.sum, F.sum, _add, W.unboundedPreceding, 0)
+        return self._run(state, F.sum, F.sum, _add)
 
     def lowest(self, **state) -> "Timeline":
         """Running minimum up to and including the row."""
-        return self._run(state, F.min, F.min, F.least, W.unboundedPreceding, 0)
+        return self._run(state, F.min, F.min, F.least)
 
     def _newest(self, value: Column) -> Column:
         return F.max_by(value, F.when(value.isNotNull(), F.struct(*self.order)))
@@ -149,9 +150,13 @@ class Timeline:
     def _oldest(self, value: Column) -> Column:
         return F.min_by(value, F.when(value.isNotNull(), F.struct(*self.order)))
 
-    def _run(self, state, running, summarise, merge, start, end) -> "Timeline":
+    def _run(self, state, running, summarise, merge, end=0, backwards=False) -> "Timeline":
+        def over(keys, order, end):
+            way = [F.col(c).desc_nulls_last() if backwards else F.col(c).asc_nulls_first() for c in order]
+            return W.partitionBy(*keys).orderBy(*way).rowsBetween(W.unboundedPreceding, end)
+
         def windowed(df, keys):
-            w = W.partitionBy(*keys).orderBy(*self.order).rowsBetween(start, end)
+            w = over(keys, self.order, end)
             return df.withColumns({n: running(v).over(w) for n, v in state.items()})
 
         cold = windowed(self._cold, self.keys)
@@ -162,8 +167,7 @@ class Timeline:
         summary = self._hot.groupBy(*sliced).agg(
             *[summarise(v).alias(n) for n, v in state.items()]
         )
-        reach = (1, W.unboundedFollowing) if start == 0 else (W.unboundedPreceding, -1)
-        across = W.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(*reach)
+        across = over(self.keys, (SLICE,), -1)
         carried = summary.select(
             *[F.col(k).alias("__" + k) for k in sliced],
             *[running(F.col(n)).over(across).alias("__carry_" + n) for n in state],
@@ -183,10 +187,6 @@ def _last(c: Column) -> Column:
     return F.last(c, ignorenulls=True)
 
 
-def _first(c: Column) -> Column:
-    return F.first(c, ignorenulls=True)
-
-
 def _add(a: Column, b: Column) -> Column:
     return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
 

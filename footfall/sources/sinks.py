@@ -9,7 +9,7 @@ from footfall.schema import DEVICE, EVENT_ORDER
 from footfall.sources.events import with_event_date
 
 
-def _stored(spark, path: str) -> DataFrame | None:
+def read_if_there(spark, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
@@ -40,18 +40,20 @@ def new_events(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
 
 
 def write_idempotent(batch: DataFrame, epoch: int, path: str) -> None:
-    """Append the batch's new events to `path`, partitioned by epoch and day.
+    """Append the batch's new events to `path`, partitioned by day and epoch.
     A replay of an epoch compares with the other epochs only and replaces its
     own folders, so it ends in the same table. Use as a `foreachBatch` body."""
     spark = batch.sparkSession
-    stored = _stored(spark, path)
+    stored = read_if_there(spark, path)
     if stored is not None:
         stored = stored.where(F.col("batch_id") != epoch)
     rows = new_events(batch, stored).withColumn("batch_id", F.lit(epoch))
     (
-        rows.write.mode("overwrite")
+        # one well-sized set of files per day; AQE splits days that are too large
+        rows.hint("rebalance", "event_date")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "event_date")
+        .partitionBy("event_date", "batch_id")
         .parquet(path)
     )
 

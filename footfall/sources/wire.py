@@ -41,44 +41,39 @@ def _items(payloads: DataFrame, body: Column) -> DataFrame:
     return payloads.select("*", F.posexplode_outer(parsed).alias("position", "item"))
 
 
-def _parameters(item: Column, names) -> Column:
-    """Map of parameters. Of a repeated name the last value wins."""
-    cut = "&(?=(?:" + "|".join(names) + ")=)"
-    pieces = F.split(F.regexp_replace(item, r"^\?", ""), cut)
-    pairs = F.transform(
-        F.filter(pieces, lambda p: p.contains("=")),
-        lambda p: F.struct(
-            F.substring_index(p, "=", 1).alias("k"),
-            F.regexp_replace(p, "^[^=]*=", "").alias("v"),
-        ),
-    )
-    later = F.filter(
-        pairs,
-        lambda pair, i: ~F.exists(
-            F.slice(pairs, i + 2, F.size(pairs)), lambda other: other["k"] == pair["k"]
-        ),
-    )
-    return F.map_from_entries(later)
-
-
 def _decode(payloads, body, columns, reserved, types, escaped) -> DataFrame:
-    rows = _items(payloads, body).withColumn(
-        "__p", _parameters(F.col("item"), (*columns, *reserved))
+    names = "|".join((*columns, *reserved))
+    pieces = F.split(F.regexp_replace("item", r"^\?", ""), f"&(?=(?:{names})=)")
+    rows = (
+        _items(payloads, body)
+        # last piece first: a search then finds the last value of a repeated name
+        .withColumn("__pieces", F.reverse(pieces))
+        .withColumn("__names", F.transform("__pieces", lambda p: F.substring_index(p, "=", 1)))
     )
-    kept = [c for c in payloads.columns if c != "body"]
 
     def value(name):
-        raw = F.col("__p")[name]
+        piece = F.get("__pieces", F.array_position("__names", name).cast("int") - 1)
+        raw = F.substr(piece, F.lit(len(name) + 2))
         raw = unescape_value(raw) if name in escaped else raw
         return raw.try_cast(types[name].dataType) if name in types else raw
 
     known = F.array(*[F.lit(c) for c in columns])
+    others = F.filter(
+        F.arrays_zip(F.col("__names").alias("k"), F.col("__pieces").alias("v")),
+        lambda e, i: e["v"].contains("=")
+        & ~F.array_contains(known, e["k"])
+        & (F.array_position("__names", e["k"]) == i + 1),
+    )
+    extra = F.transform(
+        others,
+        lambda e: F.struct(e["k"].alias("k"), F.substr(e["v"], F.length(e["k"]) + 2).alias("v")),
+    )
     return rows.select(
-        *kept,
+        *[c for c in payloads.columns if c != "body"],
         "position",
         F.col("item").isNull().alias("malformed"),
         *[value(c).alias(c) for c in columns],
-        F.map_filter("__p", lambda k, _: ~F.array_contains(known, k)).alias("extra"),
+        F.map_from_entries(extra).alias("extra"),
     )
 
 

@@ -4,23 +4,27 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.operators.identity import backfill_user
 from footfall.schema import EVENTS_PER_REQUEST, USER_HORIZON_S
-from footfall.sources.sinks import fan_out, write_idempotent
+from footfall.sources.sinks import fan_out, read_if_there, write_idempotent
 from footfall.sources.wire import encode_bulk
 from footfall.streaming.triggers import trigger_from_interval
 
 
-def flush_to(events_path: str, requests_path: str | None = None, n: int = EVENTS_PER_REQUEST):
+def flush_to(
+    events_path: str, requests_path: str | None = None, n: int = EVENTS_PER_REQUEST, send=None
+):
     """A `foreachBatch` body: append the new events, and turn exactly those into
-    requests of n. A replayed epoch replaces its own output in both tables."""
+    requests of n. A replayed epoch replaces its own output in both tables.
+    `send(requests, epoch)` gets the stored requests; it may see an epoch again."""
 
     def flush(batch: DataFrame, epoch: int) -> None:
         write_idempotent(batch, epoch, events_path)
-        if requests_path:
-            spark = batch.sparkSession
-            stored = spark.read.schema(batch.schema).parquet(f"{events_path}/batch_id={epoch}")
-            encode_bulk(stored, n).write.mode("overwrite").parquet(
-                f"{requests_path}/batch_id={epoch}"
-            )
+        stored = read_if_there(batch.sparkSession, events_path) if requests_path else None
+        if stored is not None:
+            added = stored.where(F.col("batch_id") == epoch)
+            target = f"{requests_path}/batch_id={epoch}"
+            encode_bulk(added, n).write.mode("overwrite").parquet(target)
+            if send:
+                send(batch.sparkSession.read.parquet(target), epoch)
 
     return flush
 
