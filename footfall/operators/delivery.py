@@ -72,7 +72,7 @@ def next_sn(sn) -> "F.Column":
     """The serial number that follows `sn` on a device."""
     sn = F.col(sn) if isinstance(sn, str) else sn
     one = F.lit(1).cast(SERIAL)
-    return F.when(sn.isNull() | (sn >= F.lit(SERIAL_MAX).cast(SERIAL)), one).otherwise(
+    return F.when(sn.isNull() | (sn >= F.lit(str(SERIAL_MAX)).cast(SERIAL)), one).otherwise(
         (sn + 1).cast(SERIAL)
     )
 
