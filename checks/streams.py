@@ -7,6 +7,7 @@ from checks.aggregates import SESSION_TABLE_SQL
 from checks.fixtures import DEVICE_SQL, TRACK_SQL, as_track, track
 from checks.windows import AHEAD, BEFORE, CAMPAIGN_SQL, UP, W, _STATE, sessions_sql
 from footfall.scratch import new_dir
+from footfall.sources.sinks import debug_sink as debug_sink_
 from footfall.streaming import context, flush, sessions, triggers
 
 
@@ -90,6 +91,5 @@ def late_user_attach(spark, sf):
 def debug_sink(spark, sf):
     """The stream goes to the sink that only reads it; the rows that went by."""
     rows = stream(spark, sf, "event_id", "eventName")
-    query = rows.writeStream.format("noop").option("checkpointLocation", new_dir(spark, "noop"))
-    query.trigger(**triggers.trigger_from_interval(-1)).start().awaitTermination()
+    debug_sink_(rows, "noop", **triggers.trigger_from_interval(-1)).awaitTermination()
     return track(spark, sf, "event_id", "eventName")

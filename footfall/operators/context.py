@@ -34,10 +34,15 @@ def page_context(events):
 
 
 @on_timeline
-def legacy_page_url(events, app):
-    """Url of a legacy row without one: the latest page url, else the app's."""
+def legacy_page_url(events, app, views: Column | None = None):
+    """Url of a legacy row without one: the latest page url, else the app's.
+    `views` tells the rows that set it; by default page views, and in a legacy
+    table the rows with an action name."""
+    if views is None:
+        named = "eventName" in events.columns
+        views = _is(PAGEVIEW) if named else F.col("action_name").isNotNull()
     return (
-        events.last(__url=F.when(_is(PAGEVIEW), F.col("url")))
+        events.last(__url=F.when(views, F.col("url")))
         .set(url=F.coalesce("url", "__url", F.concat(F.lit("http://"), app)))
         .drop("__url")
     )

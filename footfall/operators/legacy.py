@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions import local_millis, utc_text
+from footfall.operators.context import legacy_page_url
 from footfall.operators.filters import legacy_eligible
 from footfall.operators.timeline import on_timeline
 from footfall.schema import (
@@ -199,7 +200,7 @@ def decode_custom_dimension(rows: DataFrame, text: str = "customvariable") -> Da
 
 def parse_lifetime_seq(rows: DataFrame, cvar: str = "cvar") -> DataFrame:
     """`lifetime_seq`: serial number in slot 5, NULL when it is not there."""
-    slot = F.array_join(F.from_json(cvar, "MAP<STRING,ARRAY<STRING>>")[SYSTEM_SLOT], " ")
+    slot = F.get_json_object(cvar, f"$['{SYSTEM_SLOT}']")
     digits = F.regexp_extract(slot, SERIAL_LABEL + r":\s*(\d+)", 1)
     return rows.withColumn("lifetime_seq", F.when(digits != "", digits.cast(SERIAL)))
 
@@ -235,8 +236,6 @@ def legacy_category_event(events, app, category, action, name=None, value=None,
     """Category events of the legacy protocol: `e_c`, `e_a`, optional `e_n` and
     `e_v`, and the url of the latest page view. The arguments are columns;
     `when` selects the rows (all rows by default) after the url is known."""
-    from footfall.operators.context import legacy_page_url
-
     none = F.lit(None).cast("string")
     rows = legacy_page_url(events, app)
     rows = rows if when is None else rows.where(when)

@@ -56,6 +56,8 @@ LEGACY_COLUMNS = (
     "idgoal", "revenue", "ec_id", "ec_st", "ec_tx", "ec_sh", "ec_dt", "ec_items",
     "send_image", "lat", "lgt",
 )
+# Legacy values that come out of escaped parameters, or out of an escaped body.
+LEGACY_ESCAPED = ("url", "title", "action_name", "search", "e_a", "e_n", "cvar")
 LEGACY_RESERVED = (
     "lang", "search_cat", "search_count", "link", "download", "urlref", "_rcn",
     "_rck", "c_n", "c_p", "c_t", "c_i",

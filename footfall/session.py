@@ -8,6 +8,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # joins on a device key: split partitions that one device makes too large
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot never compiles longer methods; wide projections over event columns
+    # exceed that, and run faster without whole-stage code than interpreted in it
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # merge the sessions of a device inside each map task before the shuffle
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # device state of streams outside the JVM heap, with incremental checkpoints

@@ -6,6 +6,7 @@ from pyspark.sql.utils import AnalysisException
 from footfall.operators.delivery import dedupe_events, resend_key
 from footfall.operators.legacy import legacy_request_time, request_vars, to_legacy
 from footfall.schema import DEVICE, EVENT_ORDER
+from footfall.scratch import new_dir
 from footfall.sources.events import with_event_date
 
 
@@ -80,9 +81,13 @@ def fan_out(events: DataFrame, current_path: str, legacy_path: str, epoch: int =
         events.unpersist()
 
 
-def debug_sink(df: DataFrame, label: str = "debug"):
-    """Show rows instead of storing them: a console query for a stream, `show`
-    for a table."""
+def debug_sink(df: DataFrame, fmt: str = "console", **trigger):
+    """Show rows instead of storing them. A stream gives its query, `console` or
+    `noop` (reads everything, prints nothing); a table is shown or read through."""
     if df.isStreaming:
-        return df.writeStream.format("console").queryName(label).option("truncate", False).start()
-    return df.show(truncate=False)
+        writer = df.writeStream.format(fmt).option("truncate", False)
+        writer = writer.option("checkpointLocation", new_dir(df.sparkSession, "debug"))
+        return (writer.trigger(**trigger) if trigger else writer).start()
+    if fmt == "console":
+        return df.show(truncate=False)
+    return df.write.format(fmt).mode("overwrite").save()

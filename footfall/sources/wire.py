@@ -4,24 +4,19 @@ Decoding is map-only. Values may hold an unescaped `&`, so an item is cut only
 where a known parameter name follows.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions import escape_value, unescape_value
 from footfall.operators.delivery import batch_index
+from footfall.operators.legacy import parse_lifetime_seq
 from footfall.schema import (
     DEVICE, ESCAPED_COLUMNS, EVENT_COLUMNS, EVENT_SCHEMA, EVENTS_PER_REQUEST,
-    LEGACY_COLUMNS, LEGACY_RESERVED, RESERVED_COLUMNS,
+    LEGACY_COLUMNS, LEGACY_ESCAPED, LEGACY_RESERVED, RESERVED_COLUMNS, SERIAL,
 )
 
-# Characters a request body keeps unescaped besides letters and
-# digits, with the escape that `url_encode` gives them.
-_KEPT_IN_BODY = {
-    "!": "%21", "$": "%24", "&": "%26", "'": "%27", "(": "%28", ")": "%29",
-    "+": "%2B", ",": "%2C", "/": "%2F", ":": "%3A", ";": "%3B", "=": "%3D",
-    "?": "%3F", "@": "%40", "~": "%7E",
-}
+# Characters a request body keeps unescaped besides letters, digits
+# and `-._*`.
+_KEPT_IN_BODY = "!$&'()+,/:;=?@~"
 
 
 def _percent_decode(body: Column) -> Column:
@@ -30,10 +25,11 @@ def _percent_decode(body: Column) -> Column:
 
 
 def _percent_encode(body: Column) -> Column:
+    # url_encode escapes more than this wire does. The escapes to keep have their
+    # own % escaped, so that one url_decode takes back only the others.
+    kept = "|".join(f"{ord(c):02X}" for c in _KEPT_IN_BODY)
     spaced = F.replace(F.url_encode(body), F.lit("+"), F.lit("%20"))
-    return reduce(
-        lambda c, kept: F.replace(c, F.lit(_KEPT_IN_BODY[kept]), F.lit(kept)), _KEPT_IN_BODY, spaced
-    )
+    return F.url_decode(F.regexp_replace(spaced, f"%(?!{kept})", "%25"))
 
 
 def _items(payloads: DataFrame, body: Column) -> DataFrame:
@@ -90,7 +86,7 @@ def decode_bulk_v2(payloads: DataFrame) -> DataFrame:
 def decode_bulk_v1(payloads: DataFrame) -> DataFrame:
     """`body` (plain JSON) to one row per legacy event, all values as text."""
     return _decode(
-        payloads, F.col("body"), LEGACY_COLUMNS, LEGACY_RESERVED, {}, ("title", "url", "e_a", "e_n")
+        payloads, F.col("body"), LEGACY_COLUMNS, LEGACY_RESERVED, {}, LEGACY_ESCAPED
     )
 
 
@@ -144,11 +140,12 @@ def encode_bulk(events: DataFrame, n: int = EVENTS_PER_REQUEST, hot=None) -> Dat
 
 
 def encode_bulk_v1(legacy: DataFrame, n: int = EVENTS_PER_REQUEST, hot=None) -> DataFrame:
-    """The same for legacy rows, ordered by (cdt, Lifetime_seq), not escaped."""
-    from footfall.operators.legacy import parse_lifetime_seq
-
-    queued = legacy.withColumn("query", query_string(legacy, LEGACY_COLUMNS))
-    queued = parse_lifetime_seq(queued).select("idsite", "deviceId", "cdt", "lifetime_seq", "query")
-    keys, order = ("idsite", "deviceId"), ("cdt", "lifetime_seq")
+    """The same for legacy rows, ordered by (cdt, Lifetime_seq), rows without the
+    latter last; the body is not percent-escaped."""
+    queued = legacy.withColumn("query", query_string(legacy, LEGACY_COLUMNS, LEGACY_ESCAPED))
+    last = F.lit("9" * 20).cast(SERIAL)
+    seq = F.coalesce("lifetime_seq", last).alias("seq")
+    queued = parse_lifetime_seq(queued).select("idsite", "deviceId", "cdt", seq, "query")
+    keys, order = ("idsite", "deviceId"), ("cdt", "seq")
     queued = batch_index(queued, n, keys=keys, order=order, hot=hot)
     return _encode(queued, keys, order, n)

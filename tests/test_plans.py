@@ -55,7 +55,10 @@ def test_parsing_reads_json_once_and_only_for_its_events(spark, sf):
 def test_order_lines_need_no_shuffle(spark, sf):
     from footfall.operators import commerce
 
-    assert "Exchange" not in plan(commerce.order_products(commerce.order_table(order_events(spark, sf))))
+    path = new_dir(spark, "orders")
+    order_events(spark, sf).write.parquet(path)
+    rows = commerce.order_table(scan_events(spark, path))
+    assert "Exchange" not in plan(commerce.order_products(rows))
 
 
 def test_fixed_lookups_are_broadcast(spark):
