@@ -10,6 +10,7 @@ from footfall.schema import (
     DEVICE, LOGIN, LOGOUT, OPEN_CHANNEL, PAGEVIEW, PUSH, PUSH_CAMPAIGN, PUSH_INIT, REGISTER,
     SERIAL,
 )
+from footfall.streaming.ordered import CHUNK, in_order
 
 _STATE = (
     "last LONG, sn DECIMAL(20,0), url STRING, title STRING, referrer STRING, utm STRING, "
@@ -72,10 +73,8 @@ def _advance(s: dict, r: dict) -> tuple:
 
 def _step(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     s = dict(zip(_FIELDS, state.get)) if state.exists else dict.fromkeys(_FIELDS)
-    rows = [row for c in chunks for row in zip(*[c[n].tolist() for n in _INPUT])]
-    rows.sort(key=lambda row: row[:2])
     out = []
-    for row in rows:
+    for row in in_order(chunks, _INPUT):
         r = dict(zip(_INPUT, row))
         head = (*key, r["eventTime"], r["sn"], r["eventName"])
         if s["last"] is not None and row[:2] < (s["last"], s["sn"]):
@@ -85,6 +84,9 @@ def _step(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.Data
             s["last"], s["sn"] = row[:2]
             rest = _advance(s, r)
         out.append((*head, *rest))
+        if len(out) == CHUNK:
+            yield pd.DataFrame(out, columns=_ROW_NAMES)
+            out = []
     state.update(tuple(s[f] for f in _FIELDS))
     yield pd.DataFrame(out, columns=_ROW_NAMES)
 

@@ -1,0 +1,20 @@
+"""Rows of one device in one micro-batch, in order."""
+
+from collections.abc import Iterator
+
+import pandas as pd
+
+from footfall.schema import EVENT_ORDER
+
+CHUNK = 10_000  # rows per frame handed back to Spark
+
+
+def in_order(chunks: Iterator[pd.DataFrame], names) -> Iterator[tuple]:
+    """Rows as tuples of the named columns by (eventTime, sn). They stay columns
+    until they are looked at, one row at a time."""
+    rows = pd.concat([c[list(names)] for c in chunks], ignore_index=True)
+    rows = rows.sort_values(list(EVENT_ORDER), kind="stable", ignore_index=True)
+    for start in range(0, len(rows), CHUNK):
+        part = rows.iloc[start : start + CHUNK]
+        # objects, so that a number stays an int and NULL stays None
+        yield from zip(*[part[n].astype(object).tolist() for n in names])

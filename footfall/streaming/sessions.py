@@ -10,6 +10,7 @@ from footfall.functions.clock import day_number
 from footfall.operators.delivery import resend_key
 from footfall.operators.sessions import restarts_session, session_id
 from footfall.schema import DEVICE, EVENT_ORDER, SERIAL, SESSION_TIMEOUT_S
+from footfall.streaming.ordered import CHUNK, in_order
 
 
 def with_event_ts(events: DataFrame) -> DataFrame:
@@ -46,18 +47,17 @@ _SESSION_ROW = (
     "projectId STRING, siteId STRING, deviceId STRING, seStartTime LONG, last_event LONG, "
     "n_events LONG, late_events LONG"
 )
+_ROW_NAMES = [f.split()[0] for f in _SESSION_ROW.split(", ")]
 
 
 def _walk_sessions(timeout_ms: int):
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        names = ("eventTime", "sn", "restarts", "day")
-        rows = sorted(row for c in chunks for row in zip(*[c[n].tolist() for n in names]))
         start = last = sn = day = None
         n = late = 0
         if state.exists:
             start, last, sn, day, n = state.get
         out = []
-        for at, number, restarts, on in rows:
+        for at, number, restarts, on in in_order(chunks, ("eventTime", "sn", "restarts", "day")):
             if last is not None and (at, number) < (last, sn):
                 late += 1  # older than what the state has seen: left to a batch run
                 continue
@@ -65,10 +65,13 @@ def _walk_sessions(timeout_ms: int):
                 if start is not None:
                     out.append((*key, start, last, n, 0))
                 start, n = at, 0
+                if len(out) >= CHUNK:
+                    yield pd.DataFrame(out, columns=_ROW_NAMES)
+                    out = []
             last, sn, day, n = at, number, on, n + 1
         state.update((start, last, sn, day, n))
         out.append((*key, start, last, n, late))
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in _SESSION_ROW.split(", ")])
+        yield pd.DataFrame(out, columns=_ROW_NAMES)
 
     return step
 

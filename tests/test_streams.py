@@ -116,6 +116,11 @@ def test_fan_out_stream(spark, files, table):
     assert spark.read.parquet(old).count() == table.count() - skipped
 
 
+def test_default_source_is_bounded(spark, files, table):
+    rows = stream_events(spark, files)
+    assert triggers.run_available(rows, new_dir(spark, "b")).count() == table.count()
+
+
 def test_triggers():
     assert triggers.trigger_from_interval(20) == {"processingTime": "20000 milliseconds"}
     assert triggers.trigger_from_interval(0) == {"processingTime": "0 seconds"}

@@ -56,6 +56,11 @@ def test_hot_keys_change_nothing(skewed, hot, name):
     assert rows_of(split, *columns) == rows_of(plain, *columns)
 
 
+def test_hot_keys_are_looked_up_not_compared_with_every_row(skewed, hot):
+    text = sessions.sessionize_v2(skewed, hot=hot)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
 def test_slices_are_even_and_bounded(skewed, hot):
     line = Timeline(skewed, hot=HotKeys(hot.rows, hot.schema, 40))
     sizes = [r["count"] for r in line._hot.groupBy(*DEVICE, SLICE).count().collect()]
