@@ -19,8 +19,7 @@ def page_context(events):
     url = F.when(moves, F.col("url"))
     title = F.when(_is(PAGEVIEW), F.col("title"))
     return (
-        events.last(__url=url, __title=title)
-        .before(__came=url)
+        events.fill(last={"__url": url, "__title": title}, before={"__came": url})
         # in a struct, so that "no page before" is remembered too
         .set(__came=F.when(moves, F.struct(F.col("__came").alias("from"))))
         .last(__came=F.col("__came"))

@@ -76,11 +76,13 @@ def visit_counters(events, flag: str = "new_visit", start: str = "seStartTime"):
     the first visit: its own), `_idts` first visit; times in whole seconds."""
     opens = F.col(flag)
     return (
-        events.total(_idvc=opens.cast("bigint"))
-        .before(__earlier=F.when(opens, F.col(start)))
+        events.fill(
+            total={"_idvc": opens.cast("bigint")},
+            before={"__earlier": F.when(opens, F.col(start))},
+            lowest={"__first": F.col(start)},
+        )
         .set(__earlier=F.when(opens, F.struct(F.coalesce("__earlier", F.col(start)).alias("at"))))
         .last(__earlier=F.col("__earlier"))
-        .lowest(__first=F.col(start))
         .set(
             _viewts=F.floor(F.col("__earlier.at") / 1000),
             _idts=F.floor(F.col("__first") / 1000),

@@ -11,6 +11,7 @@ the same window runs inside each slice, and a one-row summary of every earlier
 (or later) slice is carried in. The result is exact; no row is dropped or sampled.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce, wraps
 from math import ceil
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 from pyspark.sql import types as T
 
 from footfall.schema import DEVICE, EVENT_ORDER
-from footfall.scratch import shared_dir
+from footfall.scratch import hand_over
 
 SLICE = "__slice"
 
@@ -79,9 +80,8 @@ class Timeline:
             self._split(rows)
 
     def _split(self, rows: DataFrame) -> None:
-        spark = rows.sparkSession
-        shared_dir(spark)
-        listed = spark.createDataFrame(list(self.hot_keys.rows), self.hot_keys.schema)
+        listed = rows.sparkSession.createDataFrame(list(self.hot_keys.rows), self.hot_keys.schema)
+        # at most 1 / HOT_SHARE rows, whatever the size of the table
         listed = F.broadcast(_prefixed(listed.select(*self.keys), self.keys))
         same = _same(rows, listed, self.keys)
         self._cold = rows.join(listed, same, "left_anti")
@@ -89,7 +89,6 @@ class Timeline:
             rows.join(listed, same, "left_semi")
             .repartitionByRange(self.hot_keys.slices, *self.keys, *self.order)
             .withColumn(SLICE, F.spark_partition_id())
-            .checkpoint()
         )
 
     def _with(self, cold, hot) -> "Timeline":
@@ -125,60 +124,64 @@ class Timeline:
 
     def last(self, **state) -> "Timeline":
         """Latest non-null value up to and including the row."""
-        return self._run(state, _last, self._newest, F.coalesce)
+        return self.fill(last=state)
 
     def before(self, **state) -> "Timeline":
         """Latest non-null value strictly before the row."""
-        return self._run(state, _last, self._newest, F.coalesce, end=-1)
+        return self.fill(before=state)
 
     def next(self, **state) -> "Timeline":
         """Earliest non-null value from the row on. Runs backwards: a frame that
         reaches to the end would be evaluated anew for every row."""
-        return self._run(state, _last, self._oldest, F.coalesce, backwards=True)
+        return self.fill(next=state)
 
     def total(self, **state) -> "Timeline":
         """Running sum up to and including the row."""
-        return self._run(state, F.sum, F.sum, _add)
+        return self.fill(total=state)
 
     def lowest(self, **state) -> "Timeline":
         """Running minimum up to and including the row."""
-        return self._run(state, F.min, F.min, F.least)
-
-    def _newest(self, value: Column) -> Column:
-        return F.max_by(value, F.when(value.isNotNull(), F.struct(*self.order)))
-
-    def _oldest(self, value: Column) -> Column:
-        return F.min_by(value, F.when(value.isNotNull(), F.struct(*self.order)))
-
-    def _run(self, state, running, summarise, merge, end=0, backwards=False) -> "Timeline":
-        def over(keys, order, end):
-            way = [F.col(c).desc_nulls_last() if backwards else F.col(c).asc_nulls_first() for c in order]
+        return self.fill(lowest=state)
+
+    def fill(self, **kinds: dict[str, Column]) -> "Timeline":
+        """Several kinds of state at once, such as `last={...}, before={...}`. For
+        hot keys one pass over the table serves them all."""
+        steps = [(_STEPS[kind], n, v) for kind, state in kinds.items() for n, v in state.items()]
+
+        def window(keys, order, step, end):
+            way = [
+                F.col(c).desc_nulls_last() if step.backwards else F.col(c).asc_nulls_first()
+                for c in order
+            ]
             return W.partitionBy(*keys).orderBy(*way).rowsBetween(W.unboundedPreceding, end)
 
         def windowed(df, keys):
-            w = over(keys, self.order, end)
-            return df.withColumns({n: running(v).over(w) for n, v in state.items()})
+            return df.withColumns(
+                {n: step.run(v).over(window(keys, self.order, step, step.end)) for step, n, v in steps}
+            )
 
         cold = windowed(self._cold, self.keys)
         if self._hot is None:
             return self._with(cold, None)
 
+        rows = hand_over(self._hot, "timeline")  # read twice below
         sliced = (*self.keys, SLICE)
-        summary = self._hot.groupBy(*sliced).agg(
-            *[summarise(v).alias(n) for n, v in state.items()]
+        summary = rows.groupBy(*sliced).agg(
+            *[step.summarise(v, F.struct(*self.order)).alias(n) for step, n, v in steps]
         )
-        across = over(self.keys, (SLICE,), -1)
         carried = summary.select(
             *[F.col(k).alias("__" + k) for k in sliced],
-            *[running(F.col(n)).over(across).alias("__carry_" + n) for n in state],
+            *[
+                step.run(F.col(n)).over(window(self.keys, (SLICE,), step, -1)).alias("__carry_" + n)
+                for step, n, _ in steps
+            ],
         )
-        inside = windowed(self._hot, sliced)
+        inside = windowed(rows, sliced)
         hot = (
             # one carried row per slice; Spark picks the join by its size
             inside.join(carried, _same(inside, carried, sliced), "left")
-            .withColumns({n: merge(F.col(n), F.col("__carry_" + n)) for n in state})
-            .drop(*["__" + k for k in sliced], *["__carry_" + n for n in state])
-            .checkpoint()
+            .withColumns({n: step.merge(F.col(n), F.col("__carry_" + n)) for step, n, _ in steps})
+            .drop(*["__" + k for k in sliced], *["__carry_" + n for _, n, _ in steps])
         )
         return self._with(cold, hot)
 
@@ -187,10 +190,38 @@ def _last(c: Column) -> Column:
     return F.last(c, ignorenulls=True)
 
 
+def _newest(c: Column, order: Column) -> Column:
+    return F.max_by(c, F.when(c.isNotNull(), order))
+
+
+def _oldest(c: Column, order: Column) -> Column:
+    return F.min_by(c, F.when(c.isNotNull(), order))
+
+
 def _add(a: Column, b: Column) -> Column:
     return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
 
 
+@dataclass(frozen=True)
+class _Step:
+    """`run` over a window, `summarise` a slice, `merge` a value with the carried."""
+
+    run: Callable
+    summarise: Callable
+    merge: Callable = F.coalesce
+    end: int = 0
+    backwards: bool = False
+
+
+_STEPS = {
+    "last": _Step(_last, _newest),
+    "before": _Step(_last, _newest, end=-1),
+    "next": _Step(_last, _oldest, backwards=True),
+    "total": _Step(F.sum, lambda c, _: F.sum(c), _add),
+    "lowest": _Step(F.min, lambda c, _: F.min(c), F.least),
+}
+
+
 def on_timeline(operator):
     """Let an operator written for Timeline also take and return a DataFrame.
     Chain on one Timeline to share the exchange and the search for hot keys."""
