@@ -27,7 +27,8 @@ SLICE = "__slice"
 # A key is hot when it holds more than both of these. The share bounds the number
 # of hot keys by 1 / HOT_SHARE whatever the size of the table.
 HOT_SHARE = 1e-4
-HOT_ROWS = 1_000_000
+HOT_ROWS = 5_000_000
+SLICES_PER_LIMIT = 4  # smaller slices than the limit spread better over the tasks
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,7 @@ def find_hot(rows: DataFrame, keys=DEVICE, share=HOT_SHARE, floor=HOT_ROWS) -> H
         return NO_HOT_KEYS
     limit = max(floor, ceil(share * top.total))
     hot = counts.where(F.col("n") >= limit)
-    return HotKeys(tuple(hot.collect()), hot.schema, limit)
+    return HotKeys(tuple(hot.collect()), hot.schema, max(1, limit // SLICES_PER_LIMIT))
 
 
 def _same(left: DataFrame, right: DataFrame, names) -> Column:
