@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from checks import check
 from checks.fixtures import LINE_ORDER_ID, LINES_SQL, RAW_SQL, TRACK_SQL, order_events, raw, track
-from checks.windows import UP, _STATE, landed
+from checks.windows import UP, V1_SQL, _STATE, _VISITS_SQL
 from footfall.operators import commerce, legacy
+from footfall.plans import rebuild
 
 _LANDED_URL = "CASE WHEN k % 20 = 0 THEN url || '&utm_campaign=c' ELSE url END"
 
@@ -141,3 +142,17 @@ def transaction(spark, sf):
     cvar = legacy.encode_custom_vars({"4": ("customvariable", legacy.encode_dimension(dimension))})
     rows = orders.select("o_orderkey", screens.alias("action_name"), cvar.alias("cvar"))
     return commerce.parse_transaction(rows).select("o_orderkey", "identifier")
+
+
+@check("plan_legacy_table", f"""WITH {TRACK_SQL}, {LEGACY_SQL},
+landed AS (SELECT * FROM track WHERE eventName NOT IN ('initJPush', 'jPush', 'openChannel')), {V1_SQL}, {_VISITS_SQL}
+SELECT l.event_id, l.siteId AS idsite, l.deviceId AS _id, l.e_a, l.url, {CVAR_SQL.replace("CAST(sn", "CAST(l.sn")} AS cvar,
+  strftime(make_timestamp(l.eventTime // 1000 * 1000000), '%Y-%m-%d %H:%M:%S') AS cdt,
+  CASE WHEN a.new_visit THEN '1' END AS new_visit, CAST(a.n AS VARCHAR) AS _idvc,
+  CAST(b.earlier // 1000 AS VARCHAR) AS _viewts, CAST(b.first_start // 1000 AS VARCHAR) AS _idts
+FROM numbered a JOIN visits b USING (projectId, siteId, deviceId, n) JOIN legacy l ON l.event_id = a.event_id""")
+def legacy_table(spark, sf):
+    rows = track(spark, sf, "event_id", "k", *_STATE, "url", "title", "userId")
+    tagged = F.when(F.col("k") % 20 == 0, F.concat("url", F.lit("&utm_campaign=c")))
+    rows = rebuild.legacy_table(rows.withColumn("url", F.coalesce(tagged, "url")))
+    return rows.select("event_id", "idsite", "_id", "e_a", "url", "cvar", "cdt", "new_visit", "_idvc", "_viewts", "_idts")

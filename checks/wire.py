@@ -8,6 +8,7 @@ from checks.legacy import CVAR_SQL, LEGACY_SQL, mapped
 from checks.windows import W
 from footfall.operators import legacy
 from footfall.operators.bridge import unify_protocols
+from footfall.plans.rebuild import ingest
 from footfall.scratch import new_dir
 from footfall.sources import events as stored
 from footfall.sources import sinks, wire
@@ -118,3 +119,12 @@ def batch_collect(spark, sf):
     return payloads.select(
         "siteId", "deviceId", "batch", F.size(requests).cast("bigint").alias("n_events"),
         sn(F.get(requests, F.lit(0))).alias("first_sn"), sn(F.element_at(requests, -1)).alias("last_sn"))
+
+
+@check("plan_ingest", f"""WITH {TRACK_SQL} {_ROWS_SQL}""")
+def ingested(spark, sf):
+    """All requests sent twice, some for a third time."""
+    payloads = wire.encode_bulk(track(spark, sf)).select("body", "batch")
+    again = payloads.unionByName(payloads).unionByName(payloads.where("batch % 3 = 0"))
+    events, _ = ingest(again.select("body"))
+    return _rows(events)

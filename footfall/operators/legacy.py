@@ -104,8 +104,12 @@ def legacy_request_time(events: DataFrame, tz="UTC") -> DataFrame:
 
 
 def legacy_static(events: DataFrame, width="screenWidth", height="screenHeight", scale="screenScale") -> DataFrame:
-    """Site, protocol version, screen size in pixels, visitor id."""
+    """Site, protocol version, visitor id, and the screen size in pixels where the
+    table has it."""
+
     def pixels(side):
+        if side not in events.columns:
+            return F.lit(None).cast("string")
         return F.round(F.col(side) * F.col(scale)).cast("bigint").cast("string")
 
     return events.withColumns(

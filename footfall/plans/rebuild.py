@@ -4,10 +4,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.operators.context import attribute_campaign, page_context
 from footfall.operators.delivery import dedupe_events
+from footfall.operators.filters import legacy_eligible
 from footfall.operators.identity import (
     backfill_user, carry_registration, carry_user, carry_user_property,
 )
-from footfall.operators.sessions import sessionize_v2
+from footfall.operators.legacy import (
+    legacy_request_time, legacy_static, request_vars, to_legacy,
+)
+from footfall.operators.sessions import sessionize_v1, sessionize_v2, visit_counters
 from footfall.operators.timeline import Timeline
 from footfall.schema import EVENT_COLUMNS, SESSION_TIMEOUT_S, USER_HORIZON_S
 from footfall.sources.events import split_untimed
@@ -22,6 +26,21 @@ def ingest(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return dedupe_events(events.select(*EVENT_COLUMNS, "extra")), bad
 
 
+def legacy_table(events: DataFrame, tz="UTC", timeout_s: int = SESSION_TIMEOUT_S, hot=None) -> DataFrame:
+    """Legacy rows of current events with everything the legacy client adds:
+    mapping, request time, custom variables, visit counters, static fields."""
+    rows = Timeline(legacy_eligible(events), hot=hot)
+    rows = visit_counters(sessionize_v1(rows, timeout_s)).frame()
+    rows = to_legacy(rows.withColumnRenamed("new_visit", "__opens"))
+    rows = request_vars(legacy_request_time(rows, tz))
+    return (
+        legacy_static(rows)
+        .withColumn("new_visit", F.when(F.col("__opens"), "1"))
+        .withColumns({c: F.col(c).cast("string") for c in ("_idvc", "_viewts", "_idts")})
+        .drop("__opens")
+    )
+
+
 def rebuild_state(
     events: DataFrame,
     timeout_s: int = SESSION_TIMEOUT_S,

@@ -60,7 +60,8 @@ def write_idempotent(batch: DataFrame, epoch: int, path: str) -> None:
 
 
 def legacy_rows(events: DataFrame, tz="UTC") -> DataFrame:
-    """Legacy table of current events."""
+    """Legacy rows of current events. Visit counters need all earlier events of a
+    device; `plans.rebuild.legacy_table` adds them."""
     return request_vars(legacy_request_time(to_legacy(events), tz))
 
 

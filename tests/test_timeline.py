@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import track
 from footfall.operators import context, delivery, identity, sessions
 from footfall.operators.timeline import HotKeys, NO_HOT_KEYS, SLICE, Timeline, find_hot
-from footfall.plans.rebuild import rebuild_state
+from footfall.plans.rebuild import legacy_table, rebuild_state
 from footfall.schema import DEVICE
 from tests.conftest import rows_of
 
@@ -39,6 +39,7 @@ OPERATORS = {
     "visit_vars": lambda rows, hot: sessions.visit_vars_scope(
         sessions.sessionize_v2(Timeline(rows.withColumn(
             "visitVars", F.when(F.col("k") % 4 == 0, F.concat(F.lit("v"), F.col("k").cast("string")))), hot=hot))).frame(),
+    "legacy": lambda rows, hot: legacy_table(rows, hot=hot),
     "backfill": lambda rows, hot: identity.backfill_user(rows, 36_000, hot=hot),
     "batch": lambda rows, hot: delivery.batch_index(rows, 7, hot=hot),
     "legacy_url": lambda rows, hot: context.legacy_page_url(rows, F.lit("app"), hot=hot),
