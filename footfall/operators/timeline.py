@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from functools import reduce, wraps
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql import types as T
 
 from footfall.schema import DEVICE, EVENT_ORDER
