@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from footfall.llm.tables import SPACE, hand_over, text_or_empty
+from footfall.llm.tables import SPACE, digest, hand_over, light, text_or_empty
 
 #: The vector's members and the least spread that counts in each. A statistic that is
 #: nearly constant in a group, such as symbols in clean prose, would otherwise make any
@@ -78,10 +78,11 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def statistics(docs: DataFrame) -> DataFrame:
+def statistics(docs: DataFrame, carry=()) -> DataFrame:
     """doc_id, lang, source and the counts of every whole text; null text has none."""
     text = text_or_empty()
     rows = docs.select(
+        *carry,
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"),
@@ -90,7 +91,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
     )
     return rows.select(
-        "doc_id", "lang", "source",
+        *carry, "doc_id", "lang", "source",
         F.size("words").cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         "n_symbols",
@@ -188,7 +189,7 @@ def mcd(vectors: DataFrame, support: float, steps: int, tolerance: float) -> Dat
 
 def judge(
     docs: DataFrame, support: float = 0.75, cutoff: float = 60.0, min_rows: int = 100,
-    steps: int = 10, tolerance: float = 1e-3,
+    steps: int = 10, tolerance: float = 1e-3, carry=(),
 ) -> DataFrame:
     """One row per document: doc_id, lang, source, the counts, base_failed, distance, kept.
 
@@ -196,12 +197,12 @@ def judge(
     Estimates are made from the rows that pass this. Groups of (lang, source) with fewer than
     `min_rows` such rows are pooled by language, and languages that are still too small in one
     common group; null is a language or source of its own. A row whose group has no estimate
-    (nothing passed) keeps the base verdict. Null or empty text has no words and fails the
+    (nothing passed) keeps the base verdict. `carry` names columns to hand through. Null or empty text has no words and fails the
     base rule. Repeated ids are rows of their own; other columns are ignored.
     """
     base = F.col("n_words") < 50
     repeats = F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words")
-    rows = hand_over(_vector(statistics(docs)).withColumn("base_failed", base | repeats), "quality")
+    rows = hand_over(_vector(statistics(docs, carry)).withColumn("base_failed", base | repeats), "quality")
 
     passed = rows.where(~F.col("base_failed"))
     key = lambda *c: F.to_json(F.struct(*c))
@@ -227,7 +228,26 @@ def judge(
     rest = named.where("stratum IS NULL").withColumn("d2", F.lit(None).cast("double"))
     far = F.coalesce(F.col("d2") > cutoff, F.lit(False))
     return judged.unionByName(rest).select(
-        "doc_id", "lang", "source", *STATISTICS, "base_failed",
+        *carry, "doc_id", "lang", "source", *STATISTICS, "base_failed",
         F.round(F.sqrt("d2"), 6).alias("distance"),
         (~F.col("base_failed") & ~far).alias("kept"),
     )
+
+
+def keep_good(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of `docs` that are kept, with all their columns. Rows are found again by id and
+    text digest, so repeated ids do not mix; the shorter list of ids is joined."""
+    named = docs.withColumn("__digest", digest())
+    verdicts = judge(named, carry=["__digest"], **settings).select(
+        F.col("doc_id").alias("__id"), F.col("__digest").alias("__d"), "lang", "source", "kept"
+    )
+    verdicts = hand_over(verdicts, "quality-verdicts")
+    counts = verdicts.agg(F.count(F.when(F.col("kept"), 1)).alias("k"), F.count("*").alias("n")).first()
+    good = counts.k <= counts.n - counts.k
+    side = verdicts.where(F.col("kept") if good else ~F.col("kept"))
+    side = light(side.select("__id", "__d", F.col("lang").alias("__l"), F.col("source").alias("__s")).distinct(), min(counts.k, counts.n - counts.k))
+    same = (
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & F.col("__digest").eqNullSafe(F.col("__d"))
+        & F.col("lang").cast("string").eqNullSafe(F.col("__l")) & F.col("source").cast("string").eqNullSafe(F.col("__s"))
+    )
+    return named.join(side, same, "left_semi" if good else "left_anti").drop("__digest")

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.llm.tables import SPACE, hand_over, text_or_empty
+from footfall.llm.tables import SPACE, hand_over, light, text_or_empty
 
 DOMAINS = ("clean", "low_quality", "toxic")
 TARGETS = {"clean": 0.90, "low_quality": 0.08, "toxic": 0.02}
@@ -161,7 +161,7 @@ def _rate(steps: list[list[float]]) -> Column:
     return F.aggregate(past, F.lit(1.0), step)
 
 
-def fit_rates(scored: DataFrame, weights: dict[str, float], steps: int, tolerance: float) -> tuple[list[list[float]], list[float]]:
+def fit_rates(scored: DataFrame, weights: dict[str, float], budget: float, steps: int, tolerance: float) -> tuple[list[list[float]], list[float]]:
     """Gradient steps (as lists of k numbers) and the relative residuals they end with."""
     pairs = [(a, b) for i, a in enumerate(DOMAINS) for b in DOMAINS[: i + 1]]
     first = scored.agg(
@@ -177,7 +177,7 @@ def fit_rates(scored: DataFrame, weights: dict[str, float], steps: int, toleranc
         gram[i, j] = gram[j, i] = float(first[f"g_{a}_{b}"]) / total
     size = 1.0 / max(float(np.linalg.eigvalsh(gram)[-1]), 1e-9)
     share = sum(weights.values())
-    target = [weights.get(k, 0.0) / share for k in DOMAINS]
+    target = [budget * weights.get(k, 0.0) / share for k in DOMAINS]
     past: list[list[float]] = []
     lead = [0.0] * len(DOMAINS)
     while True:
@@ -194,11 +194,12 @@ def fit_rates(scored: DataFrame, weights: dict[str, float], steps: int, toleranc
 
 def mix(
     docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None,
+    budget: float = 1.0,
     sample_rows: int = 20_000, steps: int = 60, tolerance: float = 2e-3,
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, p_<domain>, rate, copies.
 
-    Targets are shares of the tokens that the input has. `copies` rounds the rate up or down
+    Targets are shares (`weights`) of `budget` times the tokens that the input has. `copies` rounds the rate up or down
     by a hash of the id, so that its expectation is the rate and repeats give the same. Texts
     without words have no tokens, cost nothing and stay at the rate of their posteriors. Null
     ids round alike. Empty tables give an empty result; without labels all is clean. If a
@@ -206,7 +207,7 @@ def mix(
     """
     model = fit(docs, labels, sample_rows)
     scored = hand_over(posteriors(docs, model), "mix-posteriors")
-    past, _ = fit_rates(scored, weights or TARGETS, steps, tolerance)
+    past, _ = fit_rates(scored, weights or TARGETS, budget, steps, tolerance)
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mix")), F.lit(1_000_000)) / 1_000_000.0
     rated = scored.withColumn("rate", _rate(past))
     return rated.select(
@@ -214,3 +215,14 @@ def mix(
         F.round("rate", 9).alias("rate"),
         F.floor(F.col("rate") + draw).cast("bigint").alias("copies"),
     )
+
+
+def copies_of(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, budget: float = 1.0) -> DataFrame:
+    """The rows of `docs`, each as often as its `copies` say, with all their columns. Most have
+    one; only the others' ids are joined."""
+    plan = mix(docs, labels, weights, budget=budget)
+    other = plan.where("copies <> 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).distinct()
+    other = hand_over(other, "mix-copies")
+    joined = docs.join(light(other, other.count()), docs["doc_id"].cast("bigint") == F.col("__id"), "left")
+    times = F.coalesce("__copies", F.lit(1)).cast("int")
+    return joined.withColumn("__n", F.explode(F.array_repeat(F.lit(1), times))).select(*[joined[c] for c in docs.columns])
