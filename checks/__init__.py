@@ -1,5 +1,6 @@
 """Every operator as a query on the given tables, with its SQL twin."""
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +11,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def prepared(query):
+    """The query in a configured session. Where `spark.checkpoint.dir` is unset and the session
+    runs in one process, as in tests, a temporary folder is named."""
+
+    def run(spark, sf_dir):
+        configure(spark)
+        if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="footfall-"))
+        return query(spark, sf_dir)
+
+    return run
+
+
 def check(name: str, sql: str | None = None):
     """Register a query, and the SQL that must give the same rows."""
 
     def add(query):
-        def run(spark, sf_dir):
-            return query(configure(spark), sf_dir)
-
-        QUERIES[name] = run
+        QUERIES[name] = prepared(query)
         if sql is not None:
             ORACLES[name] = sql
         return query

@@ -1,20 +1,15 @@
 """Shared folder for stream checkpoints and hand-over tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`. Only where that is unset and
-    the session runs in one process (tests) is a temporary folder made."""
+    """The folder named by `spark.checkpoint.dir`, which all executors share."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="footfall-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return named
 
 

@@ -12,7 +12,10 @@ def con():
     return oracle(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+TWINS = sorted(set(entry.oracle_sql()) - set(entry.LLM))
+
+
+@pytest.mark.parametrize("name", TWINS)
 def test_twin(spark, con, name):
     assert compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) == ""
 
@@ -24,4 +27,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.queries()) - set(entry.LLM) == set(TWINS)
