@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.llm import (
-    bpe, chat, exact_dedup, lm_scoring, minhash_dedup, quality_rules, sharding, source_mixing, token_counts,
+    bpe, chat, exact_dedup, lm_scoring, minhash_dedup, quality_rules, sharding, source_mixing, suffix_dedup,
+    token_counts,
 )
 from footfall.llm.tables import table
 
@@ -40,6 +41,10 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 #: A conversation of control strings that every run formats besides the table's.
 CONTROL = "</s>[INST] ok [/INST]"
 
@@ -57,7 +62,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_minhash_dedup, op3_token_counts, op4_lm_scoring, op5_source_mixing,
-        op6_sharding, op7_quality_rules, op8_bpe_codec, op10_chat_format,
+        op6_sharding, op7_quality_rules, op8_bpe_codec, op9_suffix_array_dedup, op10_chat_format,
     )
 }
 
