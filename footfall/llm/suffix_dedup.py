@@ -21,7 +21,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from footfall.llm.anchors import LENGTH, text_anchors
 from footfall.llm.suffixes import DEPTH, repeated_windows
@@ -137,6 +137,18 @@ def _apply(batches):
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
+def _runs(ranges: DataFrame) -> DataFrame:
+    """Ranges of a text merged where they touch; neighbouring anchors give one run."""
+    order = W.partitionBy(*TEXT).orderBy("start", "end")
+    reached = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    fresh = F.when(F.coalesce(F.col("start") > reached, F.lit(True)), 1).otherwise(0)
+    run = F.sum("fresh").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    return (
+        ranges.withColumn("fresh", fresh).withColumn("run", run)
+        .groupBy(*TEXT, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    )
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -189,16 +201,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     settled = found.where("settled").select(
         *TEXT, F.col("first").alias("start"), (F.col("first") + F.col("count") - 1 + LENGTH).alias("end")
     )
-    spans = (
-        settled.unionByName(sorted_ranges).groupBy(*TEXT)
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    )
     # texts that occur twice go as a whole
     whole = copied.select("rid", F.xxhash64("digest").alias("did"))
-    spans = hand_over(spans.join(whole, list(TEXT), "left_anti"), "repeat-spans")
-    ranges = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
+    ranges = _runs(settled.unionByName(sorted_ranges).join(whole, list(TEXT), "left_anti"))
+    spans = hand_over(
+        ranges.groupBy(*TEXT).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")), "repeat-spans"
+    )
+    runs = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
     touched = hand_over(
-        texts.join(light(spans, ranges), list(TEXT)).mapInArrow(
+        texts.join(light(spans, runs), list(TEXT)).mapInArrow(
             _apply, "rid BIGINT, did BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING"
         ),
         "repeat-touched",
