@@ -17,8 +17,10 @@ def prepared(query):
 
     def run(spark, sf_dir):
         configure(spark)
-        if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
-            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="footfall-"))
+        context = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not named and context.master.startswith("local["):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="footfall-"))
         return query(spark, sf_dir)
 
     return run

@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     from tools.compare import session
 
     s = configure(session())
-    s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
