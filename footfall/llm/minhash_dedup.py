@@ -4,12 +4,13 @@
    its sketch bands. Rows with equal sets become one class, so copies cost nothing further.
 2. Classes that share a band are candidates. Instead of all pairs of a band, members are
    compared with centres: first with the smallest member, then, in bands whose members are not
-   yet in one component, with the next 1, 2, 4, ... members, each time only with members of
+   yet in one component, with the next 1, 8, 64, ... members, each time only with members of
    other components. When the rounds end, any two members of a band were compared or are
    connected, so no component is missed, and a band of near copies costs one comparison a
    member.
-3. Compared pairs are confirmed on their full shingle sets. Sets are computed again for the
-   classes in question only and never stored for the others.
+3. Compared pairs are confirmed on their full shingle sets, in later rounds inside the join, so
+   that the many pairs of a group that are nearly but not quite alike are never rows. Sets are
+   computed again for the classes in question only and never stored for the others.
 
 With `rows` coordinates a band and `bands` bands, a pair of similarity s shares no band with
 probability (1 - s**rows)**bands; `bands` is chosen so that this is at most `miss` at the
@@ -28,6 +29,9 @@ from footfall.llm.shingles import shingle_sets, slices
 from footfall.llm.sketches import bands, sketch
 from footfall.llm.tables import hand_over, light, text_or_empty
 
+#: How much the number of centres grows from round to round.
+GROWTH = 8
+
 #: Ids made for rows without one lie above any id of a table.
 MADE_ID = 1 << 62
 
@@ -133,25 +137,22 @@ def near_duplicates(
     links = hand_over(links, "near-links")
     labels = hand_over(components(links), "near-labels")
 
-    reached, step = 1, 1
-    ranked = None
+    reached, step, ranked = 1, 1, None
     while True:
-        split = _split_bands(members if ranked is None else ranked, labels)
-        place = F.row_number().over(W.partitionBy("band").orderBy("node"))
-        now = split.withColumn("place", place) if ranked is None else split
-        ranked = hand_over(now, "near-open")
+        if ranked is None:
+            split = _split_bands(members, labels)
+            place = F.row_number().over(W.partitionBy("band").orderBy("node"))
+            ranked = _with_sets(split.withColumn("place", place), classes, texts, width)
+        else:
+            ranked = _split_bands(ranked, labels)
+        ranked = hand_over(ranked, "near-open")
         if ranked.where(F.col("place") > reached + 1).isEmpty():
             break
-        centres = ranked.where((F.col("place") > reached) & (F.col("place") <= reached + step)).select(
-            "band", F.col("node").alias("u"), F.col("n").alias("m"), F.col("place").alias("at"), F.col("label").alias("own")
-        )
-        pairs = ranked.join(centres, "band").where((F.col("place") > F.col("at")) & (F.col("label") != F.col("own")))
-        pairs = pairs.where(_comparable(percent)).select("u", F.col("node").alias("v"))
-        fresh = hand_over(_confirmed(pairs, texts, width, percent), "near-links")
+        fresh = hand_over(_compare(ranked, reached, reached + step, percent), "near-links")
         if not fresh.isEmpty():
             stars = labels.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))
             labels = hand_over(components(stars.unionByName(fresh)), "near-labels")
-        reached, step = reached + step, step * 2
+        reached, step = reached + step, step * GROWTH
 
     # rows take the label of the head of their set; only sets with copies or links are joined
     found = heads.join(labels, F.col("head") == F.col("node"), "left").select(
@@ -170,10 +171,34 @@ def _split_bands(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the bands whose members lie in more than one component, with labels."""
     plain = members.drop("label", "centre")
     named = plain.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = hand_over(named, "near-named")
     split = named.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("z"), F.count("*").alias("size"))
-    split = split.where("a <> z AND size > 2").select("band")
-    return named.join(split, "band")
+    return named.join(split.where("a <> z AND size > 2").select("band"), "band")
+
+
+def _with_sets(members: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Members with the bands and the full set of their class."""
+    members = hand_over(members, "near-split")
+    needed = hand_over(members.select("node").distinct(), "near-needed")
+    some = texts.join(light(needed, needed.count()), "node", "left_semi").select("node", "text")
+    sets = some.mapInArrow(_sets(width), "node BIGINT, shingles ARRAY<BIGINT>")
+    return members.join(classes.select("node", "bands"), "node").join(sets, "node")
+
+
+def _compare(ranked: DataFrame, low: int, high: int, percent: int) -> DataFrame:
+    """Links between the members at places low + 1 to high of their band and those after them
+    in other components. A pair is compared in the first band it shares, inside the join, so
+    pairs that are no links are never rows."""
+    centre = ranked.where((F.col("place") > low) & (F.col("place") <= high)).select(
+        "band", *[F.col(c).alias("c_" + c) for c in ("node", "n", "place", "label", "bands", "shingles")]
+    )
+    both = F.size(F.array_intersect("shingles", "c_shingles"))
+    linked = (
+        (F.col("place") > F.col("c_place")) & (F.col("label") != F.col("c_label")) & _comparable(percent, "n", "c_n")
+        & (F.get(F.array_intersect("bands", "c_bands"), F.lit(0)) == ranked["band"])
+        & (100 * both >= percent * (F.col("n") + F.col("c_n") - both))
+    )
+    pairs = ranked.join(centre, (ranked["band"] == centre["band"]) & linked)
+    return pairs.select(F.col("c_node").alias("u"), F.col("node").alias("v")).distinct()
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
