@@ -189,15 +189,15 @@ def _compare(ranked: DataFrame, low: int, high: int, percent: int) -> DataFrame:
     in other components. A pair is compared in the first band it shares, inside the join, so
     pairs that are no links are never rows."""
     centre = ranked.where((F.col("place") > low) & (F.col("place") <= high)).select(
-        "band", *[F.col(c).alias("c_" + c) for c in ("node", "n", "place", "label", "bands", "shingles")]
+        *[F.col(c).alias("c_" + c) for c in ("band", "node", "n", "place", "label", "bands", "shingles")]
     )
     both = F.size(F.array_intersect("shingles", "c_shingles"))
     linked = (
         (F.col("place") > F.col("c_place")) & (F.col("label") != F.col("c_label")) & _comparable(percent, "n", "c_n")
-        & (F.get(F.array_intersect("bands", "c_bands"), F.lit(0)) == ranked["band"])
+        & (F.get(F.array_intersect("bands", "c_bands"), F.lit(0)) == F.col("band"))
         & (100 * both >= percent * (F.col("n") + F.col("c_n") - both))
     )
-    pairs = ranked.join(centre, (ranked["band"] == centre["band"]) & linked)
+    pairs = ranked.join(centre, (F.col("band") == F.col("c_band")) & linked)
     return pairs.select(F.col("c_node").alias("u"), F.col("node").alias("v")).distinct()
 
 

@@ -121,6 +121,24 @@ def test_chain_of_near_duplicates_is_one_component(docs):
     assert got == brute_components(chain + [(500, " ".join(f"other{i}" for i in range(300)))], 85)
 
 
+def test_links_that_bypass_the_first_centre(docs):
+    base = [f"w{i}" for i in range(300)]
+
+    def changed(words, places, mark):
+        out = words.copy()
+        for k in places:
+            out[k] = f"{mark}{k}"
+        return out
+
+    some = [(1, " ".join(base))]
+    for g in range(6):  # each pair is close to itself, and only fairly close to the first
+        own = changed(base, [(g * 5 + k * 37) % 300 for k in range(8)], f"g{g}x")
+        some += [(10 + g, " ".join(own)), (20 + g, " ".join(changed(own, [3 + g], "y")))]
+    want = brute_components(some, 85)
+    assert len({r[2] for r in want}) == 7
+    assert rows(minhash_dedup.near_duplicates(docs(*some), 85), "doc_id", "n_shingles", "component_id", "kept") == want
+
+
 # -- 3, 8 ----------------------------------------------------------------------
 
 
