@@ -100,8 +100,7 @@ def _derived(events: DataFrame) -> DataFrame:
         "user_id",
         "event_type",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("eventTime"),
-        # props is {"k": n}; it is read in every query, so without a JSON parser
-        F.expr("try_cast(substr(props, 7, length(props) - 7) AS INT)").alias("k"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("k"),
         F.col("value").cast("decimal(18,2)").alias("v"),
     ).withColumn("eventName", F.expr(EVENT_NAME))
 
@@ -119,6 +118,7 @@ def as_track(events: DataFrame, *columns: str) -> DataFrame:
 
 # -- events -> raw parameters, as the wire has them --------------------------------
 
+# fixed values: device codes and radio names
 CODES = (
     "iPhone1,1", "iPhone7,1", "iPhone8,4", "iPhone9,4", "iPhone10,3", "iPod7,1", "iPad2,7",
     "iPad4,9", "iPad5,4", "iPad7,4", "i386", "x86_64", "Watch1,1",
@@ -211,14 +211,7 @@ ORDER_EVENT = {
 LINES_SQL = f"""lines AS (SELECT {", ".join(_columns(_LINE_BASE))} FROM lineitem)"""
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """A table in fewer files than there are cores is read by as few tasks; deal
-    its rows out before work that is heavy per row. Larger tables stay as they are."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, *keys) if len(rows.inputFiles()) < cores else rows
-
-
 def order_events(spark, sf: str) -> DataFrame:
     """One order event per lineitem row, with up to two products and coupons."""
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(*_columns(_LINE_BASE))
-    return spread(lines.selectExpr(*_columns(ORDER_EVENT)), "eventTime")
+    return lines.selectExpr(*_columns(ORDER_EVENT))

@@ -172,12 +172,12 @@ def order_subtotal(spark, sf):
 @check("prj22_action_path", """
 SELECT p_partkey, 'screen/' || p_brand || '/' || p_type AS action_name,
   'http://app/screen/' || p_brand || '/' || p_type AS url, 'screen' AS level1, p_brand AS level2, p_type AS level3,
-  CAST(NULL AS VARCHAR) AS level4 FROM part""")
+  CAST(NULL AS VARCHAR) AS level4, '["screen","' || p_brand || '","' || p_type || '"]' AS levels FROM part""")
 def action_path(spark, sf):
     part = spark.read.parquet(f"{sf}/part.parquet")
     rows = part.select("p_partkey", F.array("p_brand", "p_type").alias("screens"))
-    rows = projections.action_path(rows, F.lit("app"), prefix="screen")
-    return rows.select("p_partkey", "action_name", "url", "level1", "level2", "level3", "level4")
+    rows = projections.action_path(rows, F.lit("app"), prefix="screen", named=4)
+    return rows.select("p_partkey", "action_name", "url", "level1", "level2", "level3", "level4", F.to_json("levels").alias("levels"))
 
 
 @check("prj23_ua_header", f"""WITH {RAW_SQL}

@@ -43,8 +43,13 @@ def unify_protocols(spark, sf):
     return rows.groupBy("protocol", name.alias("name")).agg(F.count("*").alias("n"))
 
 
-@check("set4_dedupe_events", f"""WITH {TRACK_SQL} SELECT event_id, eventName FROM track""")
+@check("set4_dedupe_events", f"""WITH {TRACK_SQL} SELECT event_id, eventName,
+  CASE WHEN k % 3 = 0 THEN 'late' ELSE userId END AS userId FROM track""")
 def dedupe_events(spark, sf):
-    rows = track(spark, sf, "event_id", "k", *_STATE, "url", "title")
+    rows = track(spark, sf, "event_id", "k", *_STATE, "url", "title", "userId")
     resent = rows.where("k % 3 = 0")
-    return delivery.dedupe_events(rows.unionByName(resent).unionByName(resent)).select("event_id", "eventName")
+    # a user that was attached between two sends
+    later = resent.withColumn("userId", F.lit("late"))
+    plain = resent.withColumn("userId", F.lit(None).cast("string"))
+    sent = rows.withColumn("userId", F.when(F.col("k") % 3 != 0, F.col("userId")))
+    return delivery.dedupe_events(sent.unionByName(later).unionByName(plain)).select("event_id", "eventName", "userId")

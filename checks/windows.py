@@ -150,8 +150,11 @@ def visit_counters(spark, sf):
 
 
 @check("win11_assign_sn", f"""WITH {TRACK_SQL}
-SELECT event_id, CASE WHEN k % 2 = 0 THEN CAST(sn AS BIGINT)
-  ELSE row_number() OVER (PARTITION BY {DEVICE_SQL} ORDER BY eventTime, event_id) END AS sn FROM track""")
+, given AS (SELECT *, CASE WHEN k % 2 = 0 THEN CAST(sn AS BIGINT) END AS g,
+  row_number() OVER (PARTITION BY {DEVICE_SQL} ORDER BY eventTime, event_id) AS n FROM track)
+SELECT event_id, coalesce(g, coalesce(last_value(g IGNORE NULLS) OVER up, 0) + n
+  - coalesce(last_value(CASE WHEN g IS NOT NULL THEN n END IGNORE NULLS) OVER up, 0)) AS sn
+FROM given WINDOW up AS (PARTITION BY {DEVICE_SQL} ORDER BY eventTime, event_id ROWS UNBOUNDED PRECEDING)""")
 def assign_sn(spark, sf):
     rows = track(spark, sf, "event_id", "k", "projectId", "siteId", "deviceId", "eventTime", "sn")
     rows = rows.withColumn("sn", F.when(F.col("k") % 2 == 0, F.col("sn")))

@@ -21,12 +21,11 @@ def _rows(df):
     return df.select("siteId", "deviceId", F.col("sn").cast("string").alias("sn"), *_FLAT)
 
 
-@check("src1_scan_events", f"""WITH {TRACK_SQL} {_ROWS_SQL} WHERE eventTime >= 1704499200000""")
+@check("src1_scan_events", f"""WITH {TRACK_SQL} {_ROWS_SQL}""")
 def scan_events(spark, sf):
     path = new_dir(spark, "events")
     stored.with_event_date(track(spark, sf)).write.partitionBy("event_date").parquet(path)
-    rows = stored.scan_events(spark, path).where("event_date >= DATE'2024-01-06'")
-    return _rows(rows)
+    return _rows(stored.scan_events(spark, path))
 
 
 @check("src2_decode_bulk_v2", f"""WITH {TRACK_SQL} {_ROWS_SQL}

@@ -41,6 +41,4 @@ def money_text(c) -> Column:
 def json_object(c) -> Column:
     """The text when it is a JSON object, else NULL."""
     c = _col(c)
-    return F.when(
-        F.ltrim(c).startswith("{") & F.try_parse_json(c).isNotNull(), c
-    )
+    return F.when(F.schema_of_variant(F.try_parse_json(c)).startswith("OBJECT"), c)

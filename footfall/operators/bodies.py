@@ -98,7 +98,7 @@ def parse_push(events: DataFrame, keep=ENVELOPE) -> DataFrame:
 
 def parse_custom(events: DataFrame, keep=ENVELOPE) -> DataFrame:
     """Events with a name of the caller's own; the body is the variables."""
-    rows = events.where(~F.col("eventName").isin(*KNOWN_EVENTS))
+    rows = events.where(~F.coalesce(F.col("eventName").isin(*KNOWN_EVENTS), F.lit(False)))
     return rows.select(
         *[c for c in keep if c in events.columns],
         "eventName",

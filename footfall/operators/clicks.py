@@ -48,11 +48,16 @@ def element_text(children: DataFrame, element=("element_id",)) -> DataFrame:
     order, joined with "-". Input: element, child_no, kind, text, number, hidden.
     Switches read checked/unchecked, steppers and sliders their value."""
     kind, number = F.col("kind"), F.col("number")
-    # six significant digits without trailing zeros
-    short = F.format_string("%.5e", number).cast("double").cast("string")
+    # six significant digits without trailing zeros, as %g writes them
+    exact = F.format_string("%.5e", number)
+    power = F.regexp_extract(exact, r"e([+-]\d+)$", 1).try_cast("int")
+    bare = lambda c: F.regexp_replace(c, r"\.?0+$", "")
+    scientific = F.concat(bare(F.regexp_extract(exact, r"^([^e]*)e", 1)), F.regexp_extract(exact, r"(e.*)$", 1))
+    plain = bare(F.format_string("%.10f", exact.cast("double")))
+    short = F.when((power < -4) | (power >= 6), scientific).otherwise(plain)
     text = (
         F.when(kind == "switch", F.when(number != 0, "checked").otherwise("unchecked"))
-        .when(kind == "stepper", F.regexp_replace(short, r"\.0$", ""))
+        .when(kind == "stepper", short)
         .when(kind == "slider", F.format_string("%.6f", number))
         .otherwise(F.col("text"))
     )

@@ -47,6 +47,10 @@ def legacy_page_url(events, app, views: Column | None = None):
     )
 
 
+#: A url that the client has tagged already.
+TAGGED = r"[?&]utm_campaign="
+
+
 @on_timeline
 def attribute_campaign(events, native: Column | None = None):
     """`utm`, `pushContent` and the tagged `url` on page views.
@@ -71,8 +75,13 @@ def attribute_campaign(events, native: Column | None = None):
         return (setter["at"] > F.coalesce(used, F.lit(0))) & (F.length(value) > 0)
 
     setter, push = F.col("__campaign"), F.col("__push")
-    utm = F.when(views & fresh(setter, F.col("__viewed"), setter["name"]), setter["name"])
-    text = F.when(
+    # the client tags a url before it sends it: such a url says what it carries
+    tagged = views & F.coalesce(F.col("url").rlike(TAGGED), F.lit(False))
+    carried = lambda name: F.nullif(F.regexp_extract("url", rf"[?&]{name}=([^&#]*)", 1), F.lit(""))
+    utm = F.when(tagged, carried("utm_campaign")).when(
+        views & fresh(setter, F.col("__viewed"), setter["name"]), setter["name"]
+    )
+    text = F.when(tagged, carried("pushContent")).when(
         F.col("utm").isNotNull() & fresh(push, F.col("__used"), push["text"]), push["text"]
     )
     return (
@@ -81,6 +90,6 @@ def attribute_campaign(events, native: Column | None = None):
         .set(utm=utm)
         .before(__used=F.when(F.col("utm").isNotNull(), at))
         .set(pushContent=text)
-        .set(url=campaign_url(F.col("url"), F.col("utm"), F.col("pushContent")))
+        .set(url=F.when(tagged, F.col("url")).otherwise(campaign_url(F.col("url"), F.col("utm"), F.col("pushContent"))))
         .drop("__at", "__campaign", "__push", "__viewed", "__used")
     )

@@ -8,10 +8,6 @@ from footfall.schema import (
     DEVICE, EVENT_ORDER, EVENTS_PER_REQUEST, MAX_QUEUED_EVENTS, SERIAL, SERIAL_MAX,
 )
 
-# Up to this n Spark plans a group limit (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
-
-
 def order_v2(events: DataFrame) -> DataFrame:
     """Whole table by (event time, serial number), a missing number as 0."""
     return events.orderBy("eventTime", F.coalesce("sn", F.lit(0)))
@@ -24,11 +20,9 @@ def order_v1(legacy: DataFrame) -> DataFrame:
 
 
 def _oldest(events: DataFrame, n: int, keys, order) -> DataFrame:
-    if n > GROUP_LIMIT:
-        numbered = Timeline(events, keys, order).total(queue_position=F.lit(1))
-        return numbered.frame().where(F.col("queue_position") <= n)
     # Spark keeps the first n rows per key in every map task before the shuffle
-    # (WindowGroupLimit), so a hot key sends n rows per task at most.
+    # (WindowGroupLimit; `configure` allows it for any n), so a hot key sends n rows
+    # per task at most.
     w = W.partitionBy(*keys).orderBy(*order)
     return events.withColumn("queue_position", F.row_number().over(w)).where(
         F.col("queue_position") <= n
@@ -60,20 +54,19 @@ def batch_index(
 
 
 def assign_sn(events: DataFrame, order=EVENT_ORDER, keys=DEVICE, hot=None) -> DataFrame:
-    """Number the events of a device from 1 where the number is missing. The
-    counter wraps to 1 after the largest unsigned 64-bit value."""
-    numbered = Timeline(events, keys, order, hot).total(__count=F.lit(1).cast("bigint"))
-    # a count of rows cannot reach SERIAL_MAX; the wrap matters for given numbers
-    return numbered.set(sn=F.coalesce("sn", F.col("__count").cast(SERIAL))).drop("__count").frame()
-
-
-def next_sn(sn) -> "F.Column":
-    """The serial number that follows `sn` on a device."""
-    sn = F.col(sn) if isinstance(sn, str) else sn
-    one = F.lit(1).cast(SERIAL)
-    return F.when(sn.isNull() | (sn >= F.lit(str(SERIAL_MAX)).cast(SERIAL)), one).otherwise(
-        (sn + 1).cast(SERIAL)
+    """Number the events of a device where the number is missing: the counter goes on from
+    the last number given before, or starts at 1, and wraps to 1 after the largest
+    unsigned 64-bit value."""
+    count, given = F.col("__count"), F.col("__given")
+    numbered = (
+        Timeline(events, keys, order, hot)
+        .total(__count=F.lit(1).cast("bigint"))
+        .before(__given=F.when(F.col("sn").isNotNull(), F.struct(count.alias("at"), F.col("sn").alias("sn"))))
     )
+    most = F.lit(str(SERIAL_MAX)).cast("decimal(22,0)")
+    on = F.coalesce(given["sn"], F.lit(0)).cast("decimal(21,0)") + (count - F.coalesce(given["at"], F.lit(0)))
+    wrapped = F.when(on > most, on - most).otherwise(on).cast(SERIAL)
+    return numbered.set(sn=F.coalesce("sn", wrapped)).drop("__count", "__given").frame()
 
 
 def queue_depth(events: DataFrame, limit: int = MAX_QUEUED_EVENTS, keys=DEVICE) -> DataFrame:
@@ -96,7 +89,11 @@ def resend_key(events: DataFrame) -> list:
 
 
 def dedupe_events(events: DataFrame) -> DataFrame:
-    """Drop resent copies. Copies are combined before the shuffle, so a group of
-    copies of any size costs one row per map task."""
+    """Drop resent copies. A user can be attached between two sends, so of copies the one that
+    knows the user stays. Each map task sends one row per event at most."""
+    known = [c for c in ("userId", "userProperty") if c in events.columns]
+    order = [F.col(c).desc_nulls_last() for c in known] or [F.lit(0)]
+    w = W.partitionBy(*DEVICE, *EVENT_ORDER, "__unnumbered").orderBy(*order)
     keyed = events.withColumn("__unnumbered", resend_key(events)[-1])
-    return keyed.dropDuplicates([*DEVICE, *EVENT_ORDER, "__unnumbered"]).drop("__unnumbered")
+    first = keyed.withColumn("__copy", F.row_number().over(w)).where(F.col("__copy") == 1)
+    return first.drop("__unnumbered", "__copy")

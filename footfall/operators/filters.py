@@ -58,8 +58,8 @@ def native_screens(views: DataFrame, extra=(), screen="screen", flag="has_web_vi
 
 
 def legacy_eligible(events: DataFrame) -> DataFrame:
-    """Events that the legacy protocol also gets."""
-    return events.where(~F.col("eventName").isin(PUSH_INIT, PUSH, OPEN_CHANNEL))
+    """Events that the legacy protocol also gets, those without a name included."""
+    return events.where(~F.coalesce(F.col("eventName").isin(PUSH_INIT, PUSH, OPEN_CHANNEL), F.lit(False)))
 
 
 def not_opted_out(events: DataFrame, opted_out: DataFrame, keys=DEVICE) -> DataFrame:

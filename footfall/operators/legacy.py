@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.functions import local_millis, utc_text
+from footfall.functions import json_object, local_millis, utc_text
 from footfall.operators.context import legacy_page_url
 from footfall.operators.filters import legacy_eligible
 from footfall.operators.timeline import on_timeline
@@ -40,17 +40,19 @@ def to_legacy(events: DataFrame) -> DataFrame:
             rows = rows.withColumn(absent, F.lit(None).cast("string"))
 
     name, body = F.col("eventName"), F.col("eventBody")
-    page = (name == PAGEVIEW) & body.isNotNull()
-    search = name == SEARCH
+    # an event without a name is neither
+    page = F.coalesce(name == PAGEVIEW, F.lit(False)) & body.isNotNull()
+    search = F.coalesce(name == SEARCH, F.lit(False))
     has_items = F.col("ec_items").isNotNull()
 
     # the body again, for a login with the user in it
+    given = F.coalesce(json_object("eventBody"), F.lit("{}"))  # a bad body counts as empty
     with_user = F.when(
-        F.col("userId").isNull(), body
+        F.col("userId").isNull() | F.get_json_object(given, "$.uid").isNotNull(), given
     ).otherwise(
         F.concat(
-            F.regexp_replace(body, r"\}\s*$", ""),
-            F.when(body.rlike(r"^\s*\{\s*\}\s*$"), "").otherwise(","),
+            F.regexp_replace(given, r"\}\s*$", ""),
+            F.when(given.rlike(r"^\s*\{\s*\}\s*$"), "").otherwise(","),
             F.lit('"uid":'),
             F.regexp_extract(F.to_json(F.struct(F.col("userId").alias("uid"))), r'^\{"uid":(.*)\}$', 1),
             F.lit("}"),
@@ -206,7 +208,7 @@ def parse_lifetime_seq(rows: DataFrame, cvar: str = "cvar") -> DataFrame:
     """`lifetime_seq`: serial number in slot 5, NULL when it is not there."""
     slot = F.get_json_object(cvar, f"$['{SYSTEM_SLOT}']")
     digits = F.regexp_extract(slot, SERIAL_LABEL + r":\s*(\d+)", 1)
-    return rows.withColumn("lifetime_seq", F.when(digits != "", digits.cast(SERIAL)))
+    return rows.withColumn("lifetime_seq", digits.try_cast(SERIAL))
 
 
 def decode_device_info(rows: DataFrame, text: str = "device_info") -> DataFrame:
@@ -252,29 +254,31 @@ def legacy_category_event(events, app, category, action, name=None, value=None,
 
 
 def find_target_group(
-    rows: DataFrame, message: str, key: str = "target_group_id", depth: int = 4
+    rows: DataFrame, message: str, key: str = "target_group_id"
 ) -> DataFrame:
     """Value of `key` in nested objects, and in JSON objects held by text; the
     least deep hit wins, then the first in document order.
 
-    Read as a map of texts, a nested object and a text that holds one look alike,
-    so each level is the same step inside the row; nothing is exploded or joined.
+    Read as a map of texts, a nested object and a text that holds one look alike, so each
+    level is the same step inside the row, folded as often as the message opens objects;
+    nothing is exploded, joined or cut off.
     """
     as_map = "MAP<STRING,STRING>"
-    rows = rows.withColumn("__texts", F.array(message)).withColumn(
-        key, F.lit(None).cast("string")
-    )
-    for _ in range(depth):
-        rows = rows.withColumn(
-            "__maps",
-            F.filter(F.transform("__texts", lambda t: F.from_json(t, as_map)), F.isnotnull),
-        )
-        hits = F.filter(F.transform("__maps", lambda m: m[key]), F.isnotnull)
-        inner = F.flatten(F.transform("__maps", F.map_values))
-        rows = rows.withColumns(
-            {
-                key: F.coalesce(key, F.get(hits, F.lit(0))),
-                "__texts": F.filter(inner, lambda t: F.ltrim(t).startswith("{")),
-            }
-        )
-    return rows.drop("__texts", "__maps")
+
+    def step(state, _):
+        maps = F.filter(F.transform(state["texts"], lambda t: F.from_json(t, as_map)), F.isnotnull)
+
+        def descend(m):  # `m` is read twice but parsed once
+            hits = F.filter(F.transform(m, lambda x: x[key]), F.isnotnull)
+            inner = F.filter(F.flatten(F.transform(m, F.map_values)), lambda t: t.rlike(r"^\s*\{"))
+            return F.struct(inner.alias("texts"), F.get(hits, F.lit(0)).alias("hit"))
+
+        below = F.get(F.transform(F.array(maps), descend), F.lit(0))
+        return F.when(state["hit"].isNotNull(), state).otherwise(below)
+
+    text = F.col(message)
+    opened = F.regexp_count(text, F.lit(r"\{|u007[bB]"))  # at least the depth
+    start = F.struct(F.array(text).alias("texts"), F.lit(None).cast("string").alias("hit"))
+    levels = F.sequence(F.lit(1), opened)
+    found = F.when(opened > 0, F.aggregate(levels, start, step, lambda s: s["hit"]))
+    return rows.withColumn(key, found)

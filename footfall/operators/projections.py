@@ -44,8 +44,9 @@ def project_device(raw: DataFrame, os_name: str = "iOS") -> DataFrame:
             "uaMajor": F.nullif("uaMajor", quoted_empty),
             "uaMinor": F.nullif("uaMinor", quoted_empty),
             "uaRevision": _part("appVersion", 2),
-            "resolution": F.concat_ws(
-                "*", F.col("screenWidth").cast("bigint"), F.col("screenHeight").cast("bigint")
+            "resolution": F.concat(  # NULL unless both are known
+                F.col("screenWidth").cast("bigint").cast("string"), F.lit("*"),
+                F.col("screenHeight").cast("bigint").cast("string"),
             ),
             "netType": known_net(),
         }
@@ -95,7 +96,7 @@ def merge_ud_variable(events: DataFrame) -> DataFrame:
     the whole body of a custom event."""
     whole = F.from_json("eventBody", "MAP<STRING,STRING>")
     under = F.from_json("eventBody", "udVariable MAP<STRING,STRING>")["udVariable"]
-    custom = ~F.col("eventName").isin(*KNOWN_EVENTS)
+    custom = ~F.coalesce(F.col("eventName").isin(*KNOWN_EVENTS), F.lit(False))
     return events.withColumn("ud", F.when(custom, whole).otherwise(under))
 
 
@@ -111,9 +112,9 @@ def parse_ua_header(df: DataFrame, header: str = "user_agent") -> DataFrame:
     )
 
 
-def action_path(df: DataFrame, app, screens="screens", prefix: str | None = None) -> DataFrame:
-    """Hierarchical screen names: `action_name`, its url, and one column per
-    level (first five) to group by."""
+def action_path(df: DataFrame, app, screens="screens", prefix: str | None = None, named: int = 0) -> DataFrame:
+    """Hierarchical screen names: `action_name`, its url, and all `levels` as an array; `named`
+    adds that many columns level1, level2, ... to group by."""
     parts = F.col(screens)
     if prefix:
         parts = F.concat(F.array(F.lit(prefix)), parts)
@@ -122,6 +123,7 @@ def action_path(df: DataFrame, app, screens="screens", prefix: str | None = None
         {
             "action_name": path,
             "url": F.concat(F.lit("http://"), app, F.lit("/"), path),
-            **{f"level{i + 1}": F.get(parts, F.lit(i)) for i in range(5)},
+            "levels": parts,
+            **{f"level{i + 1}": F.get(parts, F.lit(i)) for i in range(named)},
         }
     )

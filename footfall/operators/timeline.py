@@ -4,8 +4,8 @@
 ordinary keys each of them is a plain window function, and because all share one
 partitioning and ordering, Catalyst plans one exchange and one sort for the lot.
 
-A window partition is one task, so a key that holds a large share of the table
-would be one huge task. Those keys are found first with one pre-aggregated count.
+A window partition is one task, so a key with very many rows would be one huge
+task. Those keys are found first with one pre-aggregated count.
 Their rows are range partitioned on (key, order) into slices of about equal size,
 the same window runs inside each slice, and a one-row summary of every earlier
 (or later) slice is carried in. The result is exact; no row is dropped or sampled.
@@ -17,49 +17,43 @@ from functools import reduce, wraps
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.sql import types as T
 
 from footfall.schema import DEVICE, EVENT_ORDER
 from footfall.scratch import hand_over
 
 SLICE = "__slice"
 
-# A key is hot when it holds more than both of these. The share bounds the number
-# of hot keys by 1 / HOT_SHARE whatever the size of the table.
-HOT_SHARE = 1e-4
+# A key with this many rows is hot, whatever the size of the table: it bounds what
+# one task sorts.
 HOT_ROWS = 5_000_000
 SLICES_PER_LIMIT = 4  # smaller slices than the limit spread better over the tasks
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys too large for one task, with their row counts."""
+    """A table of the keys too large for one task, and how many rows they have together."""
 
-    rows: tuple
-    schema: T.StructType
+    keys: DataFrame | None
+    rows: int
     slice_rows: int
 
     def __bool__(self):
-        return bool(self.rows)
+        return self.rows > 0
 
     @property
     def slices(self) -> int:
-        return max(2, ceil(sum(r["n"] for r in self.rows) / self.slice_rows))
+        return max(2, ceil(self.rows / self.slice_rows))
 
 
-NO_HOT_KEYS = HotKeys((), T.StructType(), HOT_ROWS)
+NO_HOT_KEYS = HotKeys(None, 0, HOT_ROWS)
 
 
-def find_hot(rows: DataFrame, keys=DEVICE, share=HOT_SHARE, floor=HOT_ROWS) -> HotKeys:
-    """One count per key, combined before the shuffle. At most 1/share keys can
-    exceed `share`, which bounds what comes back to the driver."""
+def find_hot(rows: DataFrame, keys=DEVICE, floor=HOT_ROWS) -> HotKeys:
+    """One count per key, combined before the shuffle. The hot keys stay a table."""
     counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
-    top = counts.agg(F.sum("n").alias("total"), F.max("n").alias("most")).first()
-    if (top.most or 0) < floor:
-        return NO_HOT_KEYS
-    limit = max(floor, ceil(share * top.total))
-    hot = counts.where(F.col("n") >= limit)
-    return HotKeys(tuple(hot.collect()), hot.schema, max(1, limit // SLICES_PER_LIMIT))
+    hot = hand_over(counts.where(F.col("n") >= floor), "hot-keys")
+    total = hot.agg(F.sum("n")).first()[0] or 0
+    return HotKeys(hot.select(*keys), total, max(1, floor // SLICES_PER_LIMIT)) if total else NO_HOT_KEYS
 
 
 def _same(left: DataFrame, right: DataFrame, names) -> Column:
@@ -81,9 +75,8 @@ class Timeline:
             self._split(rows)
 
     def _split(self, rows: DataFrame) -> None:
-        listed = rows.sparkSession.createDataFrame(list(self.hot_keys.rows), self.hot_keys.schema)
-        # at most 1 / HOT_SHARE rows, whatever the size of the table
-        listed = F.broadcast(_prefixed(listed.select(*self.keys), self.keys))
+        # a key in HOT_ROWS rows of the table; Spark picks the join by its size
+        listed = _prefixed(self.hot_keys.keys.select(*self.keys), self.keys)
         same = _same(rows, listed, self.keys)
         self._cold = rows.join(listed, same, "left_anti")
         self._hot = (

@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # joins on a device key: split partitions that one device makes too large
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the n first rows of a group are picked in the map tasks, whatever n is
+    "spark.sql.optimizer.windowGroupLimitThreshold": str(2**31 - 1),
     # HotSpot never compiles longer methods; wide projections over event columns
     # exceed that, and run faster without whole-stage code than interpreted in it
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -28,8 +28,10 @@ def stream_events(
 
 def with_event_date(events: DataFrame) -> DataFrame:
     """Day of the event in UTC, the column event tables are partitioned by."""
-    day = F.floor(F.col("eventTime") / 86_400_000).cast("int")
-    return events.withColumn("event_date", F.date_add(F.lit("1970-01-01").cast("date"), day))
+    day = F.floor(F.col("eventTime") / 86_400_000)
+    # a time outside the calendar (year 1 to 9999) has no day; it must not stop the job
+    inside = F.when(day.between(-719_162, 2_932_896), day).cast("int")
+    return events.withColumn("event_date", F.date_add(F.lit("1970-01-01").cast("date"), inside))
 
 
 def split_untimed(events: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -123,3 +123,12 @@ def test_element_text(spark):
             (2, 3, "slider", None, 0.5, False), (2, 4, "stepper", None, 3.0, False)]
     df = spark.createDataFrame(kids, "element_id INT, child_no INT, kind STRING, text STRING, number DOUBLE, hidden BOOLEAN")
     assert rows_of(clicks.element_text(df)) == [(1, "a-b"), (2, "checked-12.5-0.500000-3")]
+
+
+def test_stepper_numbers_are_written_like_g(spark):
+    from footfall.operators.clicks import element_text
+
+    numbers = [0.0005, 2_000_000.0, 12.5, 3.0, 0.0, 0.00001234, 123456.0, 1234567.0, 100.0, -0.25]
+    rows = spark.createDataFrame([(i, 1, "stepper", None, n, False) for i, n in enumerate(numbers)],
+                                 "element_id INT, child_no INT, kind STRING, text STRING, number DOUBLE, hidden BOOLEAN")
+    assert [r.eContent for r in element_text(rows).orderBy("element_id").collect()] == ["%g" % n for n in numbers]

@@ -47,6 +47,10 @@ def test_a_campaign_is_used_once(spark):
         "u", "u?utm_campaign=c1", "u"]
 
 
+def test_a_url_that_the_client_tagged_is_not_tagged_again(spark):
+    assert urls(spark, channel(1, "c1"), view(2, "u?utm_campaign=c1"), view(3, "u")) == ["u?utm_campaign=c1", "u"]
+
+
 def test_the_last_channel_wins(spark):
     assert urls(spark, channel(1, "c1"), channel(2, "c2"), view(3, "u?a=1")) == ["u?a=1&utm_campaign=c2"]
 

@@ -1,5 +1,3 @@
-from decimal import Decimal
-
 from pyspark.sql import functions as F
 
 from checks.fixtures import track
@@ -12,11 +10,34 @@ from tests.conftest import rows_of
 from tests.helpers import DAY, column, events
 
 
-def test_serial_numbers_wrap(spark):
-    df = spark.createDataFrame([(Decimal(1),), (Decimal(SERIAL_MAX),), (Decimal(SERIAL_MAX - 1),), (None,)], "sn DECIMAL(20,0)")
-    got = [int(r[0]) for r in df.select(delivery.next_sn("sn")).collect()]
-    assert got == [2, 1, SERIAL_MAX, 1]
-    assert df.schema["sn"].dataType == SERIAL
+def test_missing_serial_numbers_go_on_from_the_last_and_wrap(spark):
+    def numbers(*given):
+        rows = events(spark, *[(DAY + i, "a", {"sn": n}) for i, n in enumerate(given)])
+        out = delivery.assign_sn(rows, order=("eventTime",))
+        assert out.schema["sn"].dataType == SERIAL
+        return [int(r.sn) for r in out.orderBy("eventTime").collect()]
+
+    assert numbers(100, 101, None, None) == [100, 101, 102, 103]
+    assert numbers(None, None, 7, None) == [1, 2, 7, 8]
+    assert numbers(SERIAL_MAX - 1, None, None, None) == [SERIAL_MAX - 1, SERIAL_MAX, 1, 2]
+
+
+def test_the_copy_that_knows_the_user_stays(spark):
+    rows = events(spark, (DAY, "a", {"sn": 1}), (DAY, "a", {"sn": 1, "userId": "u"}), (DAY, "a", {"sn": 1}))
+    assert [r.userId for r in delivery.dedupe_events(rows).collect()] == ["u"]
+
+
+def test_a_time_outside_the_calendar_has_no_day(spark):
+    rows = events(spark, (2**62, "a"), (DAY, "b"), (None, "c"))
+    got = {r.eventName: r.event_date for r in with_event_date(rows).collect()}
+    assert got["a"] is None and got["c"] is None and str(got["b"]) == "2024-01-01"
+
+
+def test_one_path_for_any_number_of_oldest(spark):
+    rows = events(spark, *[(DAY + i, "a") for i in range(5)])
+    few, many = delivery.take_oldest(rows, 10), delivery.take_oldest(rows, 5000)
+    assert few.schema == many.schema and rows_of(few) == rows_of(many)
+    assert "WindowGroupLimit" in many._jdf.queryExecution().toString()
 
 
 def test_order_takes_a_missing_number_as_zero(spark):

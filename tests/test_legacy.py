@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from footfall.operators import bridge, filters, legacy, projections
@@ -82,8 +84,23 @@ def test_target_group_is_found_in_objects_and_text(spark):
              '{"a":{"target_group_id":"deep"},"target_group_id":"top"}']
     df = spark.createDataFrame([(t,) for t in texts], "m STRING")
     got = [r.target_group_id for r in legacy.find_target_group(df, "m").collect()]
-    assert got == ["7", "x", "y", None, None, None, None, "top"]
-    assert legacy.find_target_group(df, "m", depth=5).collect()[4].target_group_id == "1"
+    assert got == ["7", "x", "y", None, "1", None, None, "top"]
+    deep = '{"target_group_id":9}'
+    for _ in range(9):
+        deep = '{"o":' + deep + "}"
+    df = spark.createDataFrame([(deep,), ('\n\t{"a":\n {"target_group_id":3}}',)], "m STRING")
+    assert [r.target_group_id for r in legacy.find_target_group(df, "m").collect()] == ["9", "3"]
+
+
+def test_bad_input_neither_stops_nor_loses_rows(spark):
+    df = spark.createDataFrame([('{"5":["systemvariable","{Lifetime_seq:123456789012345678901234}"]}',)], "cvar STRING")
+    assert legacy.parse_lifetime_seq(df).first().lifetime_seq is None
+    rows = events(
+        spark, (DAY, "login", {"userId": "u", "eventBody": "oops"}), (DAY, "login", {"userId": "u", "eventBody": '{"uid":"x"}'}),
+        (DAY, None, {}), (DAY, "login", {"userId": "u", "eventBody": '\n {"a":1}'}),
+    )
+    assert [json.loads(r.e_n) if r.e_n else None for r in legacy.to_legacy(rows).orderBy("sn").collect()] == [
+        {"uid": "u"}, {"uid": "x"}, {}, {"a": 1, "uid": "u"}]
 
 
 def test_bridge_copies(spark):

@@ -28,7 +28,7 @@ def skewed(spark, sf):
 @pytest.fixture(scope="module")
 def hot(skewed):
     found = find_hot(skewed, floor=40)
-    names = {r["deviceId"] for r in found.rows}
+    names = {r["deviceId"] for r in found.keys.collect()}
     assert "bot" in names and None in names and len(names) < 10
     return found
 
@@ -63,23 +63,23 @@ def test_hot_keys_are_looked_up_not_compared_with_every_row(skewed, hot):
 
 
 def test_slices_are_even_and_bounded(skewed, hot):
-    line = Timeline(skewed, hot=HotKeys(hot.rows, hot.schema, 40))
+    line = Timeline(skewed, hot=HotKeys(hot.keys, hot.rows, 40))
     sizes = [r["count"] for r in line._hot.groupBy(*DEVICE, SLICE).count().collect()]
     assert len(sizes) > 5
-    assert sum(sizes) == sum(r["n"] for r in hot.rows)
+    assert sum(sizes) == hot.rows
     assert max(sizes) < 4 * 40
     # a summary row per slice and key
-    assert len(sizes) <= line.hot_keys.slices + len(hot.rows)
+    assert len(sizes) <= line.hot_keys.slices + hot.keys.count()
 
 
 def test_no_hot_keys_below_the_floor(skewed):
     assert not find_hot(skewed)
-    assert not find_hot(skewed, floor=10, share=0.9)
 
 
-def test_share_bounds_the_number_of_hot_keys(skewed):
-    found = find_hot(skewed, share=0.05, floor=1)
-    assert 0 < len(found.rows) <= 20
+def test_the_limit_does_not_grow_with_the_table(skewed):
+    few = find_hot(skewed, floor=40)
+    more = find_hot(skewed.unionByName(skewed.withColumn("deviceId", F.concat("deviceId", F.lit("-2")))), floor=40)
+    assert more.keys.count() >= few.keys.count() and more.slice_rows == few.slice_rows
 
 
 def test_empty_input(skewed):
