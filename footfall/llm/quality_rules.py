@@ -34,6 +34,9 @@ SIZE = len(NAMES)
 #: Histogram of distances: cells per factor of two, cells in all.
 CELLS_PER_DOUBLING, CELLS = 16, 1024
 
+#: Files of a table with one row per group.
+FEW = 8
+
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -175,9 +178,9 @@ def mcd(vectors: DataFrame, support: float, steps: int, tolerance: float) -> Dat
     start = vectors.join(middle, "stratum").withColumn(
         "d2", reduce(lambda a, b: a + b, [((F.col(n) - F.col("mid_" + n)) / FLOORS[n]) ** 2 for n in NAMES])
     )
-    estimate = hand_over(_moments(_nearest(start, support)), "mcd")
+    estimate = hand_over(_moments(_nearest(start, support)).coalesce(FEW), "mcd")
     for _ in range(steps):
-        after = hand_over(_moments(_nearest(_distance(vectors, estimate), support)), "mcd")
+        after = hand_over(_moments(_nearest(_distance(vectors, estimate), support)).coalesce(FEW), "mcd")
         change = after.join(estimate.select("stratum", F.col("logdet").alias("before")), "stratum").agg(
             F.max(F.abs(F.col("logdet") - F.col("before")))
         ).first()[0]

@@ -6,8 +6,9 @@ tokens of domain k, and nonnegative rates r (expected copies) are fitted so that
 expected tokens match the targets: minimise |sum_d n_d r_d p_d - T|^2 by projected gradient
 steps from r = 1. In the inner product weighted by n_d the gradient of a document is
 p_d . residual, so a step needs nothing but the k totals of the step before. They are one
-aggregation each; rates are folded again from the list of past residuals, so no step
-rewrites the table.
+aggregation each; rates are folded again from the list of past steps, so no step rewrites
+the table. Steps are scaled by the inverse of the k x k matrix of posterior products, and
+fall back to the plain gradient where that does not bring the totals nearer.
 
 The classifier is a linear discriminant over a few text statistics and the weights of a
 lexicon. It is fitted on a bounded sample of labelled rows (`sample_rows`); the lexicon has
@@ -175,21 +176,31 @@ def fit_rates(scored: DataFrame, weights: dict[str, float], budget: float, steps
     for a, b in pairs:
         i, j = DOMAINS.index(a), DOMAINS.index(b)
         gram[i, j] = gram[j, i] = float(first[f"g_{a}_{b}"]) / total
-    size = 1.0 / max(float(np.linalg.eigvalsh(gram)[-1]), 1e-9)
     share = sum(weights.values())
     target = [budget * weights.get(k, 0.0) / share for k in DOMAINS]
-    past: list[list[float]] = []
-    lead = [0.0] * len(DOMAINS)
-    while True:
+
+    def residual(past: list[list[float]]) -> np.ndarray:
         sums = scored.withColumn("r", _rate(past)).agg(
             *[F.sum(F.col("n_tokens") * F.col("r") * F.col(f"p_{k}")).alias(k) for k in DOMAINS]
         ).first()
-        rest = [float(sums[k]) / total - t for k, t in zip(DOMAINS, target)]
-        if len(past) >= steps or max(map(abs, rest)) < tolerance:
-            return past, rest
-        # heavy-ball momentum on the k totals: scarce domains have small curvature
-        lead = [0.6 * m + size * x for m, x in zip(lead, rest)]
-        past.append(list(lead))
+        return np.array([float(sums[k]) / total - t for k, t in zip(DOMAINS, target)])
+
+    # the scaled step is exact while no rate is held at zero; the plain one always descends
+    trace = max(float(np.trace(gram)), 1e-9)
+    scaled = np.linalg.inv(gram + 1e-6 * trace * np.eye(len(DOMAINS)))
+    plain = np.eye(len(DOMAINS)) / max(float(np.linalg.eigvalsh(gram)[-1]), 1e-9)
+    past: list[list[float]] = []
+    rest = residual(past)
+    while len(past) < steps and np.abs(rest).max() >= tolerance:
+        for scale in (scaled, plain):
+            trial = [*past, [float(x) for x in scale @ rest]]
+            after = residual(trial)
+            if np.linalg.norm(after) < 0.999 * np.linalg.norm(rest):
+                past, rest = trial, after
+                break
+        else:
+            break  # neither step gets nearer: the targets cannot be met better
+    return past, [float(x) for x in rest]
 
 
 def mix(
