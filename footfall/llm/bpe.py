@@ -54,6 +54,8 @@ class Codec:
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.words = regex.compile(PATTERN)
         longest = sorted(map(regex.escape, self.special), key=len, reverse=True)
+        # parts differ by punctuation more than by words
+        self.known = PartCache(lambda words: [self.merge(w.encode("utf-8")) for w in words])
         self.specials = regex.compile("|".join(longest)) if longest else None
 
     def merge(self, data: bytes) -> list[int]:
@@ -124,7 +126,7 @@ class Codec:
         return out + self._plain(text[start:])
 
     def _plain(self, text: str) -> list[int]:
-        return [i for w in self.words.findall(text) for i in self.merge(w.encode("utf-8"))]
+        return [i for ids in self.known.values(self.words.findall(text)) for i in ids]
 
     def decode(self, ids) -> str:
         return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")

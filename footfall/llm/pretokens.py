@@ -43,7 +43,7 @@ class PartCache:
     saves work: a part that was forgotten is computed again.
     """
 
-    def __init__(self, compute, size: int = 200_000, longest: int = 200):
+    def __init__(self, compute, size: int = 400_000, longest: int = 200):
         self.compute, self.size, self.longest = compute, size, longest
         self.young: dict = {}
         self.old: dict = {}
