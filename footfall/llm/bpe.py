@@ -21,6 +21,9 @@ from pyspark.sql import DataFrame, functions as F
 from footfall.llm.pretokens import PartCache, parts
 from footfall.llm.tables import text_or_empty, tokenizer_path
 
+#: Words whose ids a worker remembers.
+KNOWN_WORDS = 400_000
+
 #: No pair to merge; ranks are smaller.
 NONE = 1 << 60
 
@@ -55,7 +58,7 @@ class Codec:
         self.words = regex.compile(PATTERN)
         longest = sorted(map(regex.escape, self.special), key=len, reverse=True)
         # parts differ by punctuation more than by words
-        self.known = PartCache(lambda words: [self.merge(w.encode("utf-8")) for w in words])
+        self.known: dict[str, list[int]] = {}
         self.specials = regex.compile("|".join(longest)) if longest else None
 
     def merge(self, data: bytes) -> list[int]:
@@ -64,52 +67,49 @@ class Codec:
         ids = [self.byte_ids[b] for b in data]
         if n < 2:
             return ids
-        pairs, none = self.pairs, (NONE, 0)
+        find = self.pairs.get
         right = list(range(1, n + 1))  # neighbours among the symbols that are left
         left = list(range(-1, n - 1))
-        width = 1
-        while width < n:
-            width *= 2
+        width = 1 << (n - 1).bit_length()
         tree = [NONE] * (2 * width)  # rank * width + place: ties go to the left by themselves
-
+        merged = [0] * n  # what the pair at a place becomes
         for i in range(n - 1):
-            rank = pairs.get((ids[i], ids[i + 1]), none)[0]
-            if rank != NONE:
-                tree[width + i] = rank * width + i
+            pair = find((ids[i], ids[i + 1]))
+            if pair is not None:
+                tree[width + i] = pair[0] * width + i
+                merged[i] = pair[1]
         for k in range(width - 1, 0, -1):
             a, b = tree[2 * k], tree[2 * k + 1]
             tree[k] = a if a <= b else b
 
-        def put(i: int, value: int) -> None:
-            k = width + i
-            tree[k] = value
-            k >>= 1
-            while k:
-                a, b = tree[2 * k], tree[2 * k + 1]
-                low = a if a <= b else b
-                if tree[k] == low:
-                    return  # nothing changes above
-                tree[k] = low
-                k >>= 1
-
-        def rank_at(i: int) -> int:
-            j = right[i]
-            if j >= n:
-                return NONE
-            rank = pairs.get((ids[i], ids[j]), none)[0]
-            return NONE if rank == NONE else rank * width + i
-
         while tree[1] != NONE:
             i = tree[1] % width
             j = right[i]
-            ids[i] = pairs[ids[i], ids[j]][1]
-            right[i] = right[j]
-            if right[j] < n:
-                left[right[j]] = i
-            put(j, NONE)
-            put(i, rank_at(i))
-            if left[i] >= 0:
-                put(left[i], rank_at(left[i]))
+            ids[i] = merged[i]
+            after = right[i] = right[j]
+            if after < n:
+                left[after] = i
+            # the symbol that vanished, the new one, and its left neighbour
+            for place in (j, i, left[i]):
+                if place < 0:
+                    continue
+                value, beside = NONE, right[place]
+                if place != j and beside < n:
+                    pair = find((ids[place], ids[beside]))
+                    if pair is not None:
+                        value = pair[0] * width + place
+                        merged[place] = pair[1]
+                k = width + place
+                if tree[k] == value:
+                    continue
+                tree[k] = value
+                while k > 1:
+                    a, b = tree[k], tree[k ^ 1]
+                    k >>= 1
+                    low = a if a <= b else b
+                    if tree[k] == low:
+                        break  # nothing changes above
+                    tree[k] = low
         out, i = [], 0
         while i < n:
             out.append(ids[i])
@@ -126,7 +126,17 @@ class Codec:
         return out + self._plain(text[start:])
 
     def _plain(self, text: str) -> list[int]:
-        return [i for ids in self.known.values(self.words.findall(text)) for i in ids]
+        known, out = self.known, []
+        for word in self.words.findall(text):
+            ids = known.get(word)
+            if ids is None:
+                ids = self.merge(word.encode("utf-8"))
+                if len(known) >= KNOWN_WORDS:
+                    known.clear()
+                if len(word) <= 200:
+                    known[word] = ids
+            out += ids
+        return out
 
     def decode(self, ids) -> str:
         return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
