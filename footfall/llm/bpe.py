@@ -6,8 +6,8 @@ the left one when they are equal. The root is then the leftmost pair of lowest r
 changes the leaves of the new symbol, of its left neighbour and of the symbol that vanished,
 each in logarithmic time, until the root holds no mergeable pair.
 
-Merges are read from the vocabulary file. Texts are cut where the split pattern always cuts,
-and the results of repeated parts are kept; rows are independent, so the work is one pass
+Merges are read from the vocabulary file. Texts are cut into words by the split pattern, and
+the results of repeated words are kept; rows are independent, so the work is one pass
 over Arrow batches without a shuffle.
 """
 
@@ -18,11 +18,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.pretokens import PartCache, parts
 from footfall.llm.tables import text_or_empty, tokenizer_path
 
-#: Words whose ids a worker remembers.
-KNOWN_WORDS = 400_000
+#: Words that a generation of a worker's memory holds, and the longest of them.
+KNOWN_WORDS, LONGEST = 400_000, 200
 
 #: No pair to merge; ranks are smaller.
 NONE = 1 << 60
@@ -39,6 +38,20 @@ def byte_letters() -> list[str]:
     return [rest.get(b) or chr(b) for b in range(256)]
 
 
+class Words(dict):
+    """Coded words, made when first asked for. `older` words that are asked for again move over;
+    the rest of them is forgotten with the next generation, and made again if need be."""
+
+    def __init__(self, make, older=None):
+        self.make, self.older = make, dict(older or ())
+
+    def __missing__(self, word: str):
+        value = self.older.get(word) or self.make(word)
+        if len(word) <= LONGEST:
+            self[word] = value
+        return value
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
@@ -57,8 +70,7 @@ class Codec:
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.words = regex.compile(PATTERN)
         longest = sorted(map(regex.escape, self.special), key=len, reverse=True)
-        # parts differ by punctuation more than by words
-        self.known: dict[str, list[int]] = {}
+        self.known = Words(self.word)
         self.specials = regex.compile("|".join(longest)) if longest else None
 
     def merge(self, data: bytes) -> list[int]:
@@ -118,72 +130,56 @@ class Codec:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; special strings become their own id."""
-        out, start = [], 0
-        for m in self.specials.finditer(text) if self.specials else ():
-            out += self._plain(text[start : m.start()])
-            out.append(self.special[m[0]])
-            start = m.end()
-        return out + self._plain(text[start:])
-
-    def _plain(self, text: str) -> list[int]:
-        known, out = self.known, []
-        for word in self.words.findall(text):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.merge(word.encode("utf-8"))
-                if len(known) >= KNOWN_WORDS:
-                    known.clear()
-                if len(word) <= 200:
-                    known[word] = ids
-            out += ids
-        return out
+        return [i for ids, _, _ in self.pieces(text) for i in ids]
 
-    def decode(self, ids) -> str:
-        return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
-
-    def digests(self):
-        """text -> (number of ids, ids as decimals joined by commas, decoded bytes)."""
+    def coded(self, text: str) -> list[tuple]:
+        """The coded words of a text without special strings."""
+        words = self.known
+        if len(words) > KNOWN_WORDS:
+            self.known = words = Words(self.word, words)
+        return list(map(words.__getitem__, self.words.findall(text)))
 
-        def compute(texts):
-            out = []
-            for t in texts:
-                ids = self.encode(t)
-                out.append((len(ids), ",".join(map(str, ids)), b"".join([self.bytes_of[i] for i in ids])))
-            return out
+    def word(self, word: str) -> tuple:
+        """(ids, ids as decimals joined by commas, decoded bytes) of one word."""
+        ids = self.merge(word.encode("utf-8"))
+        return tuple(ids), ",".join(map(str, ids)), b"".join([self.bytes_of[i] for i in ids])
 
-        cache = PartCache(compute)
-
-        def run(text):
-            found = cache.values(parts(text))
-            if not found:
-                return 0, "", b""
-            n, ids, back = zip(*found)
-            return sum(n), ",".join(ids), b"".join(back)
+    def decode(self, ids) -> str:
+        return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
 
-        return run
+    def pieces(self, text: str) -> list[tuple]:
+        """The coded words and special strings of a text, in order."""
+        if self.specials is None or not self.specials.search(text):
+            return self.coded(text)
+        out, start = [], 0
+        for m in self.specials.finditer(text):
+            i = self.special[m[0]]
+            out += self.coded(text[start : m.start()])
+            out.append(((i,), str(i), self.bytes_of[i]))
+            start = m.end()
+        return out + self.coded(text[start:])
 
 
-_CODECS: dict[str, tuple] = {}
+_CODECS: dict[str, Codec] = {}
 
 
-def _codec(name: str):
-    """One codec per Python worker, with its cache of parts."""
+def _codec(name: str) -> Codec:
+    """One codec per Python worker, with the words it knows."""
     if name not in _CODECS:
-        codec = Codec(tokenizer_path(name))
-        _CODECS[name] = codec, codec.digests()
+        _CODECS[name] = Codec(tokenizer_path(name))
     return _CODECS[name]
 
 
 def _round_trip(name: str):
     def run(batches):
-        _, digests = _codec(name)
+        codec = _codec(name)
         for batch in batches:
             counts, ids_hex, text_hex = [], [], []
             for text in batch.column("text").to_pylist():
-                n, ids, back = digests(text)
-                counts.append(n)
-                ids_hex.append(hashlib.sha256(ids.encode("ascii")).hexdigest())
-                decoded = back.decode("utf-8", "replace").encode("utf-8")
+                found = codec.pieces(text)
+                counts.append(sum([len(ids) for ids, _, _ in found]))
+                ids_hex.append(hashlib.sha256(",".join([told for _, told, _ in found]).encode("ascii")).hexdigest())
+                decoded = b"".join([back for _, _, back in found]).decode("utf-8", "replace").encode("utf-8")
                 text_hex.append(hashlib.sha256(decoded).hexdigest())
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())],
@@ -207,7 +203,7 @@ def round_trip(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json") -> DataFra
 
 def _ids(name: str):
     def run(batches):
-        codec, _ = _codec(name)
+        codec = _codec(name)
         for batch in batches:
             ids = [codec.encode(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
@@ -217,7 +213,7 @@ def _ids(name: str):
 
 def _texts(name: str):
     def run(batches):
-        codec, _ = _codec(name)
+        codec = _codec(name)
         for batch in batches:
             texts = [codec.decode(i or ()) for i in batch.column("ids").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])

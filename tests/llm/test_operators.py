@@ -166,6 +166,17 @@ def test_bpe_round_trip(source):
     assert rows(bpe.round_trip(source), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(want, key=repr)
 
 
+def test_bpe_forgets_words_without_harm(monkeypatch):
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 5)
+    codec = bpe.Codec(tokenizer_path("byte_bpe_50k.json"))
+    for text in ["a few words here", "other words, a few more of them", "<|endoftext|>a few<|endoftext|>", "", "x" * 900] * 3:
+        want = library.encode(text, add_special_tokens=False).ids
+        assert codec.encode(text) == want
+        assert codec.decode(want) == library.decode(want, skip_special_tokens=False)
+        assert len(codec.known.older) <= 40
+
+
 def test_bpe_ids_come_back_as_text(odd):
     back = bpe.decode(bpe.encode(odd))
     assert rows(back, "doc_id", "text") == sorted(given(odd), key=repr)
