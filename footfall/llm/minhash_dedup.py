@@ -4,10 +4,10 @@
    its sketch bands. Rows with equal sets become one class, so copies cost nothing further.
 2. Classes that share a band are candidates. Instead of all pairs of a band, members are
    compared with centres: first with the smallest member, then, in bands whose members are not
-   yet in one component, with the next 1, 8, 64, ... members, each time only with members of
-   other components. When the rounds end, any two members of a band were compared or are
-   connected, so no component is missed, and a band of near copies costs one comparison a
-   member.
+   yet in one component, with 8, 64, ... members, those of the smallest components first, each
+   time only with members of other components. A centre then leaves its band. When the rounds
+   end, any two members of a band were compared or are connected, so no component is missed,
+   and a band of near copies costs one comparison a member.
 3. Compared pairs are confirmed on their full shingle sets, in later rounds inside the join, so
    that the many pairs of a group that are nearly but not quite alike are never rows. Sets are
    computed again for the classes in question only and never stored for the others.
@@ -29,8 +29,9 @@ from footfall.llm.shingles import shingle_sets, slices
 from footfall.llm.sketches import bands, sketch
 from footfall.llm.tables import hand_over, light, text_or_empty
 
-#: How much the number of centres grows from round to round.
-GROWTH = 8
+#: Centres of a band in the first round after its smallest member, and how much their number
+#: grows from round to round.
+FIRST, GROWTH = 8, 8
 
 #: Ids made for rows without one lie above any id of a table.
 MADE_ID = 1 << 62
@@ -137,22 +138,21 @@ def near_duplicates(
     links = hand_over(links, "near-links")
     labels = hand_over(components(links), "near-labels")
 
-    reached, step, ranked = 1, 1, None
+    # a centre was compared with its whole band, so the band goes on without it
+    rest, step, sets = members.where("node > centre").select("band", "node", "n"), FIRST, None
     while True:
-        if ranked is None:
-            split = _split_bands(members, labels)
-            place = F.row_number().over(W.partitionBy("band").orderBy("node"))
-            ranked = _with_sets(split.withColumn("place", place), classes, texts, width)
-        else:
-            ranked = _split_bands(ranked, labels)
-        ranked = hand_over(ranked, "near-open")
-        if ranked.where(F.col("place") > reached + 1).isEmpty():
+        members = hand_over(_split_bands(rest, labels), "near-open")
+        if members.isEmpty():
             break
-        fresh = hand_over(_compare(ranked, reached, reached + step, percent), "near-links")
+        if sets is None:
+            sets = hand_over(_full_sets(members, classes, texts, width), "near-sets")
+        centres = hand_over(_centres(members, step), "near-centres")
+        rest = hand_over(members.join(centres.select("band", "node"), ["band", "node"], "left_anti"), "near-rest")
+        fresh = hand_over(_compare(centres, rest, sets, percent), "near-links")
         if not fresh.isEmpty():
             stars = labels.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))
             labels = hand_over(components(stars.unionByName(fresh)), "near-labels")
-        reached, step = reached + step, step * GROWTH
+        rest, step = rest.select("band", "node", "n"), step * GROWTH
 
     # rows take the label of the head of their set; only sets with copies or links are joined
     found = heads.join(labels, F.col("head") == F.col("node"), "left").select(
@@ -167,37 +167,47 @@ def near_duplicates(
     )
 
 
-def _split_bands(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the bands whose members lie in more than one component, with labels."""
-    plain = members.drop("label", "centre")
-    named = plain.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    split = named.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("z"), F.count("*").alias("size"))
-    return named.join(split.where("a <> z AND size > 2").select("band"), "band")
+def _split_bands(rest: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the bands whose members lie in more than one component, with labels, and
+    with how many of the band share the label."""
+    named = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    kin = named.groupBy("band", "label").agg(F.count("*").alias("kin"))
+    split = named.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z")
+    return named.join(split.select("band"), "band").join(kin, ["band", "label"])
 
 
-def _with_sets(members: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Members with the bands and the full set of their class."""
-    members = hand_over(members, "near-split")
+def _centres(members: DataFrame, step: int) -> DataFrame:
+    """The next centres of each band, those of the smallest components first: once all but the
+    largest component were centres, nothing is left to compare. Spark cuts each band to
+    `step` rows before the shuffle."""
+    place = F.row_number().over(W.partitionBy("band").orderBy("kin", "node"))
+    return members.withColumn("place", place).where(F.col("place") <= step)
+
+
+def _full_sets(members: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Bands and full sets of the classes in split bands, one row each."""
     needed = hand_over(members.select("node").distinct(), "near-needed")
-    some = texts.join(light(needed, needed.count()), "node", "left_semi").select("node", "text")
+    needed = light(needed, needed.count())
+    some = texts.join(needed, "node", "left_semi").select("node", "text")
     sets = some.mapInArrow(_sets(width), "node BIGINT, shingles ARRAY<BIGINT>")
-    return members.join(classes.select("node", "bands"), "node").join(sets, "node")
+    return classes.join(needed, "node", "left_semi").select("node", "bands").join(sets, "node")
 
 
-def _compare(ranked: DataFrame, low: int, high: int, percent: int) -> DataFrame:
-    """Links between the members at places low + 1 to high of their band and those after them
-    in other components. A pair is compared in the first band it shares, inside the join, so
-    pairs that are no links are never rows."""
-    centre = ranked.where((F.col("place") > low) & (F.col("place") <= high)).select(
-        *[F.col(c).alias("c_" + c) for c in ("band", "node", "n", "place", "label", "bands", "shingles")]
-    )
+def _compare(centres: DataFrame, rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the centres of a band and its members in other components. A pair is
+    compared in the first band it shares, inside the join, so pairs that are no links are
+    never rows. Sets are joined here only, so rows between rounds stay narrow."""
+    own = ("band", "node", "n", "label", "place")
+    members = centres.select(*own).unionByName(rest.withColumn("place", F.lit(1 << 30)).select(*own)).join(sets, "node")
+    centre = centres.select(*own).join(sets, "node")
+    centre = centre.select(*[F.col(c).alias("c_" + c) for c in (*own, "bands", "shingles")])
     both = F.size(F.array_intersect("shingles", "c_shingles"))
     linked = (
         (F.col("place") > F.col("c_place")) & (F.col("label") != F.col("c_label")) & _comparable(percent, "n", "c_n")
         & (F.get(F.array_intersect("bands", "c_bands"), F.lit(0)) == F.col("band"))
         & (100 * both >= percent * (F.col("n") + F.col("c_n") - both))
     )
-    pairs = ranked.join(centre, (F.col("band") == F.col("c_band")) & linked)
+    pairs = members.join(centre, (F.col("band") == F.col("c_band")) & linked)
     return pairs.select(F.col("c_node").alias("u"), F.col("node").alias("v")).distinct()
 
 

@@ -139,6 +139,24 @@ def test_links_that_bypass_the_first_centre(docs):
     assert rows(minhash_dedup.near_duplicates(docs(*some), 85), "doc_id", "n_shingles", "component_id", "kept") == want
 
 
+def test_bands_that_need_several_rounds_of_centres(docs):
+    import random
+
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(200)]
+    some = [(1, " ".join(base))]
+    for g in range(40):  # alike enough to share bands, too different to link; the copies do link
+        own = base.copy()
+        for k in rng.sample(range(200), 5):
+            own[k] = f"g{g}x{k}"
+        some.append((100 + g, " ".join(own)))
+        own[rng.randrange(200)] = "y"
+        some.append((200 + g, " ".join(own)))
+    want = brute_components(some, 85)
+    assert len({r[2] for r in want}) > minhash_dedup.FIRST
+    assert rows(minhash_dedup.near_duplicates(docs(*some), 85), "doc_id", "n_shingles", "component_id", "kept") == want
+
+
 # -- 3, 8 ----------------------------------------------------------------------
 
 
