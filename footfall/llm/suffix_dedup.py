@@ -30,7 +30,7 @@ from footfall.llm.tables import digest, hand_over, light, text_or_empty
 #: Windows of a short string; they share LENGTH - BLOCK + 1 bytes.
 BLOCK = 32
 #: Bytes of short strings that are sorted at a time.
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 TEXT = ("rid", "did")  # what identifies a text: the smallest id with it, and its digest's hash
 
