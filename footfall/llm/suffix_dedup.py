@@ -35,6 +35,13 @@ CHUNK = 500_000
 TEXT = ("rid", "did")  # what identifies a text: the smallest id with it, and its digest's hash
 
 
+def _rows(batch, *names, step=256):
+    """The rows of a batch, of which `step` at a time are Python objects."""
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        yield from zip(*(part.column(c).to_pylist() for c in names))
+
+
 def _anchors(batches):
     for batch in batches:
         rids, dids = batch.column("rid"), batch.column("did")
@@ -55,7 +62,7 @@ def _cut(batches):
     names = [*TEXT, "core", "first", "bytes"]
     for batch in batches:
         rows = []
-        for rid, did, text, probes in zip(*(batch.column(c).to_pylist() for c in (*TEXT, "text", "probes"))):
+        for rid, did, text, probes in _rows(batch, *TEXT, "text", "probes"):
             data = text.encode("utf-8")
             for p in probes:
                 a, end, place = p["first"], p["first"] + p["count"], p["place"]
@@ -105,7 +112,7 @@ def _sort(batches):
 
     held, size, core = [], 0, None
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in (*TEXT, "first", "bytes", "core"))):
+        for row in _rows(batch, *TEXT, "first", "bytes", "core"):
             if size >= CHUNK and row[4] != core:
                 if (out := flush(held)) is not None:
                     yield out
@@ -122,7 +129,7 @@ def _apply(batches):
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
     for batch in batches:
         rows = []
-        for rid, did, text, spans in zip(*(batch.column(c).to_pylist() for c in (*TEXT, "text", "spans"))):
+        for rid, did, text, spans in _rows(batch, *TEXT, "text", "spans"):
             data, at, removed, runs = text.encode("utf-8"), 0, 0, 0
             kept, reached = hashlib.sha256(), -1
             for s in spans:
@@ -176,13 +183,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         texts.mapInArrow(_anchors, "rid BIGINT, did BIGINT, anchor BIGINT, covered BIGINT, place BIGINT, first BIGINT, count INT"),
         "repeat-anchors",
     )
+    # anchors that occur once are most of them: their strings alone are counted, and they go first
+    shared = hand_over(anchors.groupBy("anchor").count().where("count > 1").select("anchor"), "repeat-shared")
+    common = hand_over(anchors.join(light(shared, shared.count()), "anchor", "left_semi"), "repeat-common")
     kind = ["anchor", "covered"]
-    kinds = anchors.groupBy(*kind).agg(F.count("*").alias("c"), F.min(F.struct(*TEXT, "first")).alias("head"))
+    kinds = common.groupBy(*kind).agg(F.count("*").alias("c"), F.min(F.struct(*TEXT, "first")).alias("head"))
     kinds = hand_over(kinds, "repeat-kinds")
-    shared = kinds.groupBy("anchor").agg(F.sum("c").alias("members"), F.count("*").alias("kinds")).where("members > 1")
-    shared = hand_over(shared, "repeat-shared")
-    roles = hand_over(kinds.join(shared, "anchor").where("c > 1 OR kinds > 1"), "repeat-roles")
-    found = anchors.join(roles.select(*kind, "c", "kinds", "head"), kind).select(
+    roles = kinds.join(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor")
+    found = common.join(roles, kind).select(
         *TEXT, "place", "first", "count",
         (F.col("c") > 1).alias("settled"),
         ((F.col("kinds") > 1) & ((F.col("c") == 1) | (F.struct(*TEXT, "first") == F.col("head")))).alias("probe"),
