@@ -8,13 +8,18 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from footfall.functions.clock import day_number
 from footfall.operators.delivery import resend_key
-from footfall.operators.sessions import restarts_session, session_id
+from footfall.operators.sessions import restarts_session, session_id, sessions_per_device
 from footfall.schema import DEVICE, EVENT_ORDER, SERIAL, SESSION_TIMEOUT_S
 from footfall.streaming.ordered import CHUNK, in_order
 
 
+#: Milliseconds of the years 1 to 9999; device clocks outside have no timestamp.
+_FIRST_MS, _LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
 def with_event_ts(events: DataFrame) -> DataFrame:
-    return events.withColumn("event_ts", F.timestamp_millis("eventTime"))
+    at = F.col("eventTime")
+    return events.withColumn("event_ts", F.when(at.between(_FIRST_MS, _LAST_MS), F.timestamp_millis(at)))
 
 
 def stream_sessions(
@@ -23,12 +28,18 @@ def stream_sessions(
     tz="UTC",
     watermark: str = "1 hour",
     prefix: str = "",
+    ahead: str = "1 day",
 ) -> DataFrame:
     """Session rows by silence and calendar day, same as the batch rule without
     restarting events. A session window still joins events that are exactly its
-    gap apart, hence one millisecond less. Also runs on a plain table."""
+    gap apart, hence one millisecond less. Also runs on a plain table.
+
+    Events further `ahead` of the clock than that are left out, so that one wrong device
+    does not move the watermark past everyone's events. These events, and those behind the
+    watermark, are put right by `corrected_sessions`."""
     gap = F.session_window("event_ts", f"{timeout_s * 1000 - 1} milliseconds")
-    rows = with_event_ts(events).withColumn("__day", day_number("eventTime", tz))
+    rows = with_event_ts(events).where(F.col("event_ts") <= F.current_timestamp() + F.expr(f"INTERVAL {ahead}"))
+    rows = rows.withColumn("__day", day_number("eventTime", tz))
     return (
         rows.withWatermark("event_ts", watermark)
         .groupBy(*DEVICE, "__day", gap)
@@ -59,7 +70,7 @@ def _walk_sessions(timeout_ms: int):
         out = []
         for at, number, restarts, on in in_order(chunks, ("eventTime", "sn", "restarts", "day")):
             if last is not None and (at, number) < (last, sn):
-                late += 1  # older than what the state has seen: left to a batch run
+                late += 1  # older than what the state has seen: left to `corrected_sessions`
                 continue
             if start is None or restarts or on != day or at - last >= timeout_ms:
                 if start is not None:
@@ -106,13 +117,37 @@ def settled_sessions(rows: DataFrame) -> DataFrame:
     )
 
 
+def corrected_sessions(sessions: DataFrame, events: DataFrame, **rule) -> DataFrame:
+    """The stream's final session rows made equal to the batch rule on the stored `events`.
+
+    A device whose sessions hold another number of events than are stored had late events or a
+    wrong clock. All of its sessions are built anew; those of other devices stay. Only counts
+    are shuffled for the comparison. `rule` goes to `sessionize_v2`."""
+    events = events.where(F.col("eventTime").isNotNull())
+    counted = sessions.groupBy(*DEVICE).agg(F.sum("n_events").alias("__counted"))
+    stored = events.groupBy(*DEVICE).agg(F.count("*").alias("__stored")).alias("s")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in DEVICE]
+    astray = (
+        stored.join(counted.alias("c"), same, "left")
+        .where(~F.col("__stored").eqNullSafe(F.col("__counted")))
+        .select(*(F.col(f"s.{c}").alias(c) for c in DEVICE)).alias("a")
+    )
+
+    def split(rows, how):
+        return rows.alias("r").join(astray, [F.col(f"r.{c}").eqNullSafe(F.col(f"a.{c}")) for c in DEVICE], how)
+
+    again = sessions_per_device(split(events, "left_semi"), **rule)
+    return split(sessions, "left_anti").unionByName(again.select(*sessions.columns))
+
+
 def stream_dedupe(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop resent copies that arrive within `delay` of each other; the state
-    holds one key per event of that time."""
-    keyed = with_event_ts(events).withColumn("__unnumbered", resend_key(events)[-1])
+    """Drop resent copies that arrive within `delay` of each other; the state holds one key per
+    event of that time. `delay` is on the clock of arrival, so no device's clock makes other
+    events late, and nothing but copies is dropped."""
+    keyed = events.withColumns({"__arrived": F.current_timestamp(), "__unnumbered": resend_key(events)[-1]})
     names = [*DEVICE, *EVENT_ORDER, "__unnumbered"]
     return (
-        keyed.withWatermark("event_ts", delay)
+        keyed.withWatermark("__arrived", delay)
         .dropDuplicatesWithinWatermark(names)
-        .drop("event_ts", "__unnumbered")
+        .drop("__arrived", "__unnumbered")
     )

@@ -92,6 +92,44 @@ def test_dedupe(spark, table):
     assert rows_of(got, "deviceId", "sn", "eventName") == rows_of(table, "deviceId", "sn", "eventName")
 
 
+@pytest.fixture(scope="module")
+def disordered(spark):
+    """Three files: newer events first, a device 400 days ahead, then older events of others."""
+    path = new_dir(spark, "source")
+    parts = (
+        events(spark, (DAY + 9 * HOUR, "a"), (DAY + 9 * HOUR + 5, "b")),
+        events(spark, (DAY + 400 * 24 * HOUR, "c"), (4_000_000_000_000, "d"), (10**17, "e"), deviceId="ahead"),
+        events(spark, (DAY + 1, "f", {"sn": 7}), (DAY + HOUR, "g", {"sn": 8}), (DAY + 9 * HOUR + 9, "h", {"sn": 9})).unionByName(
+            events(spark, (DAY + 2, "i"), (DAY + 3, "j"), deviceId="other")),
+    )
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+_SESSION = ["deviceId", "seStartTime", "sessionId", "last_event", "n_events"]
+
+
+@pytest.mark.parametrize("restarts", [False, True])
+def test_late_and_misclocked_events_are_put_right(spark, disordered, restarts):
+    stored = scan_events(spark, disordered).where("eventTime < 10000000000000000")
+    stream = source(spark, disordered).where("eventTime < 10000000000000000")
+    if restarts:
+        rows = triggers.run_available(sessions.stream_sessions_with_triggers(stream), new_dir(spark, "s"), "update")
+        rows = sessions.settled_sessions(rows)
+    else:
+        rows = triggers.run_available(sessions.stream_sessions(stream, ahead="1000 days"), new_dir(spark, "s"))
+    want = batch_sessions.sessions_per_device(stored, triggers=restarts)
+    assert rows_of(rows, *_SESSION) != rows_of(want, *_SESSION)
+    got = sessions.corrected_sessions(rows, stored, triggers=restarts)
+    assert rows_of(got, *_SESSION) == rows_of(want, *_SESSION)
+
+
+def test_dedupe_loses_nothing_but_copies(spark, disordered):
+    got = triggers.run_available(sessions.stream_dedupe(source(spark, disordered)), new_dir(spark, "d"))
+    assert sorted(r.eventName for r in got.collect()) == list("abcdefghij")
+
+
 def test_flush_survives_a_replay(spark, files, table):
     out, requests, sent = new_dir(spark, "events"), new_dir(spark, "requests"), []
     for _ in range(2):  # a lost checkpoint: everything comes again, under the same epochs
