@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks import check
-from checks.fixtures import LINE_ORDER_ID, LINES_SQL, RAW_SQL, TRACK_SQL, order_events, raw, track
+from checks.fixtures import LINE_BODY, LINE_ORDER_ID, LINES_SQL, RAW_SQL, TRACK_SQL, order_events, raw, track
 from checks.windows import UP, V1_SQL, _STATE, _VISITS_SQL
 from footfall.operators import commerce, legacy
 from footfall.plans import rebuild
@@ -156,3 +156,21 @@ def legacy_table(spark, sf):
     tagged = F.when(F.col("k") % 20 == 0, F.concat("url", F.lit("&utm_campaign=c")))
     rows = rebuild.legacy_table(rows.withColumn("url", F.coalesce(tagged, "url")))
     return rows.select("event_id", "idsite", "_id", "e_a", "url", "cvar", "cdt", "new_visit", "_idvc", "_viewts", "_idts")
+
+
+@check("plan_legacy_orders", f"""WITH {LINES_SQL},
+parts AS (SELECT *,
+  CASE WHEN ln < 5 AND pk % 5 <> 0 THEN '["sku:p' || pk || '","t' || pk || '","c' || (pk % 5) || '","' || CAST(amt - ship AS DECIMAL(18,2)) || '",' || qty || ']' END AS one,
+  CASE WHEN ln < 5 AND qty > 25 THEN '["sku:g' || sk || '","gift","","1.00",1]' END AS two FROM lines),
+numbered AS (SELECT *, CAST(ok * 10 + ln AS BIGINT) AS sn FROM parts)
+SELECT sn, 's1' AS idsite, 'order' AS e_a, {LINE_BODY} AS e_n, NULL AS ec_id, NULL AS ec_items, NULL AS revenue, NULL AS ec_sh,
+  NULL AS ec_st, NULL AS idgoal, '{{"5":["systemvariable","{{Lifetime_seq:' || sn || '}}"]}}' AS cvar FROM numbered
+UNION ALL SELECT sn, 's1', 'order', '', {LINE_ORDER_ID}, '[' || concat_ws(',', one, two) || ']',
+  CAST(amt AS VARCHAR), CAST(ship AS VARCHAR), CAST(CAST(amt - ship AS DECIMAL(18,2)) AS VARCHAR), '0', NULL
+FROM numbered WHERE one IS NOT NULL OR two IS NOT NULL""")
+def legacy_table_of_orders(spark, sf):
+    """An order gives its own row and, with usable products, a second one that holds the revenue."""
+    absent = {c: F.lit(None).cast("string") for c in ("url", "title", "userId")}
+    rows = rebuild.legacy_table(order_events(spark, sf).withColumns(absent))
+    return rows.select(F.col("sn").cast("bigint").alias("sn"), "idsite", "e_a", "e_n", "ec_id", "ec_items",
+                       "revenue", "ec_sh", "ec_st", "idgoal", "cvar")

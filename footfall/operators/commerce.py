@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions import money, money_text
-from footfall.operators.bodies import parse_order
+from footfall.operators.bodies import BODY, parse_order
 from footfall.operators.legacy import custom_dimension, decode_custom_vars
 
 _KEPT = ("projectId", "siteId", "deviceId", "eventTime", "sn")
@@ -80,6 +80,28 @@ def legacy_order_items(orders: DataFrame) -> DataFrame:
     )
 
 
+def with_order_items(events: DataFrame) -> DataFrame:
+    """The events, and after each order that has qualifying products its legacy item row: the
+    same event without a body, with `ec_items`, `ec_id`, `revenue`, `ec_sh` and `ec_st`. These
+    are NULL on all other rows. A body is only parsed on orders; nothing is read twice."""
+    order = F.when(F.col("eventName") == "order", F.from_json("eventBody", BODY["order"]))
+    rows = events.withColumn("__order", order)
+    inner = {n: F.col(f"__order.orderInfo.{n}") for n in ("orderAMT", "shipAMT", "orderID")}
+    items = encode_legacy_items("__order.productInfo")
+    amounts = {
+        "ec_items": F.when(items != "[]", items),
+        "ec_id": inner["orderID"],
+        "revenue": money_text(inner["orderAMT"]),
+        "ec_sh": money_text(inner["shipAMT"]),
+        "ec_st": money_text(order_subtotal(inner["orderAMT"], inner["shipAMT"])),
+    }
+    rows = rows.withColumns(amounts).drop("__order")
+    both, one = F.array(F.lit(False), F.lit(True)), F.array(F.lit(False))
+    rows = rows.withColumn("__item", F.explode(F.when(F.col("ec_items").isNotNull(), both).otherwise(one)))
+    rows = rows.withColumns({c: F.when(F.col("__item"), F.col(c)) for c in amounts})
+    return rows.withColumn("eventBody", F.when(~F.col("__item"), F.col("eventBody"))).drop("__item")
+
+
 def decode_legacy_items(rows: DataFrame, items: str = "ec_items") -> DataFrame:
     """One row per item. Positions are only reliable when all five are present,
     because absent fields are skipped; other items keep `raw` and are marked."""

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from footfall.operators.commerce import with_order_items
 from footfall.operators.context import attribute_campaign, page_context
 from footfall.operators.delivery import dedupe_events
 from footfall.operators.filters import legacy_eligible
@@ -28,10 +29,11 @@ def ingest(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def legacy_table(events: DataFrame, tz="UTC", timeout_s: int = SESSION_TIMEOUT_S, hot=None) -> DataFrame:
     """Legacy rows of current events with everything the legacy client adds:
-    mapping, request time, custom variables, visit counters, static fields."""
+    mapping, request time, custom variables, visit counters, static fields. An order with
+    items gives two rows, the second with its items and revenue."""
     rows = Timeline(legacy_eligible(events), hot=hot)
     rows = visit_counters(sessionize_v1(rows, timeout_s)).frame()
-    rows = to_legacy(rows.withColumnRenamed("new_visit", "__opens"))
+    rows = to_legacy(with_order_items(rows.withColumnRenamed("new_visit", "__opens")))
     rows = request_vars(legacy_request_time(rows, tz))
     return (
         legacy_static(rows)

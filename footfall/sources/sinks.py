@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.utils import AnalysisException
 
+from footfall.operators.commerce import with_order_items
 from footfall.operators.delivery import dedupe_events, resend_key
-from footfall.operators.legacy import legacy_request_time, request_vars, to_legacy
+from footfall.operators.legacy import legacy_request_time, legacy_static, request_vars, to_legacy
 from footfall.schema import DEVICE, EVENT_ORDER
 from footfall.scratch import new_dir
 from footfall.sources.events import with_event_date
@@ -60,9 +61,9 @@ def write_idempotent(batch: DataFrame, epoch: int, path: str) -> None:
 
 
 def legacy_rows(events: DataFrame, tz="UTC") -> DataFrame:
-    """Legacy rows of current events. Visit counters need all earlier events of a
-    device; `plans.rebuild.legacy_table` adds them."""
-    return request_vars(legacy_request_time(to_legacy(events), tz))
+    """Legacy rows of current events, item rows of orders included. Visit counters need all
+    earlier events of a device; `plans.rebuild.legacy_table` adds them."""
+    return legacy_static(request_vars(legacy_request_time(to_legacy(with_order_items(events)), tz)))
 
 
 def fan_out(events: DataFrame, current_path: str, legacy_path: str, epoch: int = 0, tz="UTC") -> None:

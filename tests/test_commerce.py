@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
 from footfall.operators import bodies, clicks, commerce, filters
+from footfall.plans import rebuild
+from footfall.sources import sinks
 from tests.conftest import rows_of
 from tests.helpers import DAY, events
 
@@ -132,3 +134,19 @@ def test_stepper_numbers_are_written_like_g(spark):
     rows = spark.createDataFrame([(i, 1, "stepper", None, n, False) for i, n in enumerate(numbers)],
                                  "element_id INT, child_no INT, kind STRING, text STRING, number DOUBLE, hidden BOOLEAN")
     assert [r.eContent for r in element_text(rows).orderBy("element_id").collect()] == ["%g" % n for n in numbers]
+
+
+def test_legacy_table_has_a_row_with_the_items_of_an_order(spark):
+    product = '{"sku":"a","productTitle":"t","productRealPrice":"1.10","productQuantity":2}'
+    body = "{" + INFO % '"orderID":"o1",' + ',"productInfo":[%s]}'
+    rows = events(
+        spark, (DAY, "pageview", {"url": "u"}), (DAY + 1, "order", {"eventBody": body % product}),
+        (DAY + 2, "order", {"eventBody": body % ""}), (DAY + 3, "order", {"eventBody": "oops"}), (DAY + 4, None),
+    )
+    for legacy in (rebuild.legacy_table(rows), sinks.legacy_rows(rows)):
+        got = rows_of(legacy, "sn", "e_a", "e_n", "ec_items", "ec_id", "revenue", "ec_sh", "ec_st", "idgoal", "cvar", "idsite")
+        assert len(got) == 6
+        (item,) = [r for r in got if r[3]]
+        assert item[1:9] == ("order", "", '[["sku:a","t","","1.10",2]]', "o1", "10.05", "0.06", "9.99", "0")
+        assert item[9] is None and item[10] == "s1" and item[0] == 2
+        assert all(r[3:9] == (None,) * 6 and r[9] for r in got if not r[3])
