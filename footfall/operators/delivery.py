@@ -92,8 +92,8 @@ def dedupe_events(events: DataFrame) -> DataFrame:
     """Drop resent copies. A user can be attached between two sends, so of copies the one that
     knows the user stays. Each map task sends one row per event at most."""
     known = [c for c in ("userId", "userProperty") if c in events.columns]
-    order = [F.col(c).desc_nulls_last() for c in known] or [F.lit(0)]
-    w = W.partitionBy(*DEVICE, *EVENT_ORDER, "__unnumbered").orderBy(*order)
     keyed = events.withColumn("__unnumbered", resend_key(events)[-1])
-    first = keyed.withColumn("__copy", F.row_number().over(w)).where(F.col("__copy") == 1)
-    return first.drop("__unnumbered", "__copy")
+    keys = [*DEVICE, *EVENT_ORDER, "__unnumbered"]
+    # in a struct NULL is the smallest, so what knows more comes last
+    best = F.max_by(F.struct(*events.columns), F.struct(F.lit(0), *known))
+    return keyed.groupBy(*keys).agg(best.alias("__best")).select("__best.*")
