@@ -5,12 +5,14 @@ before and after it are weighted by place, summed and squashed; a two-level soft
 then word in the class) gives its probability. A document's score is the sum of the log
 probabilities of all its tokens, each masked in turn.
 
-Tokens are words by digest: the most frequent ones of the whole corpus have ids of their own,
-the others share hash buckets. The vocabulary counts and the training cover every token of
-every document. Training is data parallel: the documents are dealt into `rounds` by a hash,
+Tokens are words by digest: the most frequent ones of the whole corpus have ids of their own
+in the network, the others share its hash buckets, and a word's probability there is that of
+its bucket times its share of the bucket's count. The counts of all words stay a table, which
+is joined to the tokens by digest. The counts and the training cover every token of every
+document. Training is data parallel: the documents are dealt into `rounds` by a hash,
 in each round every task trains a copy of the network on its part of them in numpy, and the
 copies are averaged by tokens, block by block and in two shuffled steps, so only the averaged
-network (some 40,000 numbers) ever reaches the driver.
+network (some 40,000 numbers), the most frequent words and the buckets' sums ever reach the driver.
 """
 
 import numpy as np
@@ -18,17 +20,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.llm.shingles import slices, words
-from footfall.llm.tables import text_or_empty
+from footfall.llm.tables import hand_over, text_or_empty
 
 WINDOW = 2
 PLACES = [*range(-WINDOW, 0), *range(1, WINDOW + 1)]
 CLASSES, IN_CLASS = 32, 32
 SIZE = CLASSES * IN_CLASS
 BUCKETS = 64
+#: Words with an id of their own; the buckets' ids follow.
+TOP = SIZE - BUCKETS
 DIM = 16
 #: Tokens of a training or scoring step.
 STEP = 4096
 RATE = 0.1
+#: Log counts are summed as whole numbers of this fraction, so that no order of rows matters.
+UNITS = 1 << 32
 #: Numbers of a parameter block, and how many partial averages a block has.
 BLOCK, PARTIALS = 4096, 64
 #: Distinct words that a task holds before it passes their counts on.
@@ -64,8 +70,7 @@ def initial(counts: np.ndarray, seed: int = 11) -> np.ndarray:
 
 def to_ids(digests: np.ndarray, vocabulary: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Token ids: the rank of frequent words, a hash bucket after them for the others."""
-    top = SIZE - BUCKETS
-    ids = top + (digests % np.uint64(BUCKETS)).astype(np.int64)
+    ids = TOP + (digests % np.uint64(BUCKETS)).astype(np.int64)
     if len(vocabulary):
         at = np.minimum(np.searchsorted(vocabulary, digests), len(vocabulary) - 1)
         known = vocabulary[at] == digests
@@ -187,19 +192,23 @@ def _count(batches):
         yield out()
 
 
-def vocabulary(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Digests of the most frequent words (sorted), their ids by frequency, counts by id."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """How often each word occurs in all texts: word (its digest), n."""
     counts = docs.mapInArrow(_count, "word BIGINT, n BIGINT").groupBy("word").agg(F.sum("n").alias("n"))
-    top = SIZE - BUCKETS
-    found = counts.orderBy(F.desc("n"), "word").limit(top).collect()
+    return hand_over(counts, "lm-words")
+
+
+def vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests of the most frequent words (sorted), their ids by frequency, counts by id."""
+    found = counts.orderBy(F.desc("n"), "word").limit(TOP).collect()
     bucket = F.pmod(F.col("word"), F.lit(BUCKETS))  # two's complement: the same as unsigned
     all_rest = {r["b"]: r["n"] for r in counts.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).collect()}
     by_id = np.zeros(SIZE, np.float64)
     for b, n in all_rest.items():
-        by_id[top + b] = n
+        by_id[TOP + b] = n
     for i, r in enumerate(found):
         by_id[i] = r["n"]
-        by_id[top + r["word"] % BUCKETS] -= r["n"]
+        by_id[TOP + r["word"] % BUCKETS] -= r["n"]
     digests = np.array([r["word"] for r in found], np.int64).view(np.uint64)
     order = np.argsort(digests)
     return digests[order], order.astype(np.int64), np.maximum(by_id, 0)
@@ -241,9 +250,11 @@ def _mean(table: pa.Table) -> pa.Table:
 
 
 def fit(docs: DataFrame, rounds: int = 4):
-    """The network and its vocabulary, trained on every token of `docs` (doc_id, text) once."""
-    known, order, counts = vocabulary(docs.select("text"))
-    net = initial(counts).astype(np.float32)
+    """The network, its vocabulary and the table of all words' counts, trained on every token
+    of `docs` (doc_id, text) once."""
+    counts = word_counts(docs.select("text"))
+    known, order, by_id = vocabulary(counts)
+    net = initial(by_id).astype(np.float32)
     kind = "block INT, part INT, tokens DOUBLE, numbers ARRAY<DOUBLE>"
     turn = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(rounds))
     for i in range(rounds):
@@ -257,27 +268,31 @@ def fit(docs: DataFrame, rounds: int = 4):
         if not means:
             continue
         net = np.concatenate([np.array(means[b]) for b in sorted(means)]).astype(np.float32)
-    return net, known, order
+    return (net, known, order, by_id), counts
 
 
 def _score(model):
     def run(batches):
-        flat_net, known, order = model
+        flat_net, known, order, by_id = model
         net = unpack(flat_net)
+        share = np.zeros(SIZE)  # the part of a word's share that its bucket gives
+        share[TOP:] = -np.log(np.maximum(by_id[TOP:], 1))
         for batch in batches:
             for row, data, offsets in slices(batch.column("text")):
                 digests, at = words(data, offsets)
-                flat, place = padded(to_ids(digests, known, order), at)
-                sums = np.concatenate([[0.0], np.cumsum(log_probs(net, flat, place))])
-                n = np.diff(at)
+                ids = to_ids(digests, known, order)
+                flat, place = padded(ids, at)
+                sums = np.concatenate([[0.0], np.cumsum(log_probs(net, flat, place) + share[ids])])
+                n, rare = np.diff(at), ids >= TOP
+                ends = np.concatenate([[0], np.cumsum(rare)])[at]
                 total = sums[at[1:]] - sums[at[:-1]]
                 yield pa.record_batch(
                     [
                         batch.column("doc_id").slice(row, len(n)), pa.array(n, pa.int64()),
-                        pa.array(np.round(total, 4)),
-                        pa.array(np.round(total / np.maximum(n, 1), 6), mask=n == 0),
+                        pa.array(total),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(digests[rare].view(np.int64))),
                     ],
-                    names=["doc_id", "n_tokens", "log_likelihood", "mean_log_prob"],
+                    names=["doc_id", "n_tokens", "total", "words"],
                 )
 
     return run
@@ -289,7 +304,23 @@ def score(docs: DataFrame, rounds: int = 4) -> DataFrame:
     Null or empty texts have no tokens: likelihood 0 and a null mean. Null and repeated ids are
     rows like any other; an empty table gives an empty result; other columns are ignored. A
     table without any word scores by an untrained network.
+
+    The network is run once; what it leaves open, the counts of the words in its buckets, comes
+    from a join of (row, word) with the table of counts. Words that occur once add nothing.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    model = fit(rows, rounds)
-    return rows.mapInArrow(_score(model), "doc_id BIGINT, n_tokens BIGINT, log_likelihood DOUBLE, mean_log_prob DOUBLE")
+    model, counts = fit(rows, rounds)
+    scored = rows.mapInArrow(_score(model), "doc_id BIGINT, n_tokens BIGINT, total DOUBLE, words ARRAY<BIGINT>")
+    scored = hand_over(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    part = F.round(F.log("n") * UNITS).cast("bigint")
+    # the counts grow with the corpus and are never broadcast
+    counted = counts.where("n > 1").select("word", part.alias("part")).hint("merge")
+    added = (
+        scored.select("row", F.explode("words").alias("word")).join(counted, "word")
+        .groupBy("row").agg(F.sum("part").alias("added"))
+    )
+    total = F.col("total") + F.coalesce("added", F.lit(0)) / UNITS
+    return scored.drop("words").join(added, "row", "left").select(
+        "doc_id", "n_tokens", F.round(total, 4).alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, F.round(total / F.col("n_tokens"), 6)).alias("mean_log_prob"),
+    )

@@ -267,6 +267,24 @@ def test_scores_of_odd_rows(odd):
     assert lm_scoring.score(odd).count() == odd.count()
 
 
+def test_words_of_one_bucket_have_their_own_probability(docs):
+    import numpy as np
+
+    from footfall.llm.shingles import words
+
+    names = [f"rare{i}" for i in range(200)]
+    data = " ".join(names).encode()
+    digests, _ = words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    buckets = digests % np.uint64(lm_scoring.BUCKETS)
+    common, once = np.array(names)[buckets == buckets[0]][:2]
+    frequent = [(i, " ".join(f"w{i * 32 + k}" for k in range(32) for _ in range(60))) for i in range(30)]
+    # the same bucket in the same surroundings: the words' counts alone tell the texts apart
+    asked = [(100, f"w1 w2 {common} w3 w4"), (101, f"w1 w2 {once} w3 w4"), (102, " ".join([common] * 39))]
+    got = {r.doc_id: r for r in lm_scoring.score(docs(*frequent, *asked)).collect()}
+    assert abs(got[100].log_likelihood - got[101].log_likelihood - np.log(40)) < 1e-3
+    assert abs(got[100].mean_log_prob * 5 - got[100].log_likelihood) < 1e-4
+
+
 # -- 5 -------------------------------------------------------------------------
 
 
