@@ -349,6 +349,27 @@ def test_groups_stay_together_and_large_ones_fill_shards(docs):
     assert sorted(cells.values(), reverse=True)[:5] == [10] * 5
 
 
+def test_full_shards_swap_members(docs):
+    import numpy as np
+
+    def cut(rows):
+        shards = defaultdict(set)
+        got = sharding.assign(docs(*rows)).collect()
+        sizes = Counter(r.shard for r in got)
+        assert max(sizes.values()) - min(sizes.values()) <= 1
+        for r in got:
+            shards[r.doc_id // 2].add(r.shard)
+        return sum(len(s) > 1 for s in shards.values())
+
+    pairs = [(i, f"text {i // 2}") for i in range(800)]
+    assert cut(pairs) <= 8  # no row without a copy, so no place is ever free
+    assert cut([*pairs, *[(1000 + 2 * i, f"single {i}") for i in range(24)]]) <= 8
+    # a cycle of three and a free place; the wish back to the full shard stays
+    wished = np.array([[0, 5, 0], [0, 0, 4], [3, 0, 0]])
+    assert sharding._admitted(wished, [0, 0, 0]).tolist() == [[0, 3, 0], [0, 0, 3], [3, 0, 0]]
+    assert sharding._admitted(wished, [0, 0, 9]).tolist() == [[0, 4, 0], [0, 0, 4], [3, 0, 0]]
+
+
 # -- 7 -------------------------------------------------------------------------
 
 
