@@ -9,12 +9,13 @@
    meet, is cut into short strings. Strings are grouped by the digest of the bytes common to
    all their windows; groups of one hold no repeat. The groups are dealt to tasks and their
    suffixes sorted and merged by the difference-cover algorithm (`suffixes`), whose sorted
-   neighbours with 200 common bytes are the repeats.
+   neighbours with 200 common bytes are the repeats. Windows of groups above `GROUP` strings are
+   counted by digest instead, combined in the map tasks, so no task holds such a group.
 4. The removed ranges of each text are merged and applied to its bytes.
 
 Nothing but anchors, digests and short strings is shuffled. Groups are runs of sorted rows; a
-task holds about `CHUNK` bytes of them at a time, and one group more at most. Group members
-have different surroundings within 231 bytes, and share their middle.
+task holds about `CHUNK` bytes of them at a time, and one group of `GROUP` strings more at most.
+Group members have different surroundings within 231 bytes, and share their middle.
 """
 
 import hashlib
@@ -31,6 +32,8 @@ from footfall.llm.tables import digest, hand_over, light, text_or_empty
 BLOCK = 32
 #: Bytes of short strings that are sorted at a time.
 CHUNK = 500_000
+#: Short strings of one group that may meet in a task.
+GROUP = 2_000
 
 TEXT = ("rid", "did")  # what identifies a text: the smallest id with it, and its digest's hash
 
@@ -86,6 +89,31 @@ def _batch(rows, names):
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
+def _windows(batches):
+    """Every window of short strings: its digest and where it begins."""
+    for batch in batches:
+        for part in (batch.slice(at, 1024) for at in range(0, batch.num_rows, 1024)):
+            rows = [
+                (rid, did, first + k, hashlib.blake2b(data[k : k + LENGTH], digest_size=16).digest())
+                for rid, did, first, data in _rows(part, *TEXT, "first", "bytes")
+                for k in range(len(data) - LENGTH + 1)
+            ]
+            if rows:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[*TEXT, "start", "window"])
+
+
+def _counted(strings: DataFrame) -> DataFrame:
+    """Repeated ranges of groups of any size. Equal windows lie in strings of one group, so
+    windows are counted without it."""
+    windows = strings.mapInArrow(_windows, "rid BIGINT, did BIGINT, start BIGINT, window BINARY")
+    twice = hand_over(
+        windows.groupBy("window").agg(F.count("*").alias("c")).where("c > 1").select("window"), "repeat-windows"
+    )
+    hit = windows.join(light(twice, twice.count()), "window", "left_semi")
+    return hit.select(*TEXT, "start", (F.col("start") + LENGTH).alias("end"))
+
+
 def _sort(batches):
     """Repeated ranges (rid, did, start, end) of rows sorted by core."""
 
@@ -203,9 +231,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         texts.join(probes, list(TEXT)).mapInArrow(_cut, "rid BIGINT, did BIGINT, core BINARY, first BIGINT, bytes BINARY"),
         "repeat-strings",
     )
-    cores = hand_over(strings.groupBy("core").agg(F.count("*").alias("c")).where("c > 1").select("core"), "repeat-cores")
-    dealt = strings.join(cores, "core").repartition("core").sortWithinPartitions("core")
+    cores = hand_over(strings.groupBy("core").agg(F.count("*").alias("c")).where("c > 1"), "repeat-cores")
+    large = cores.where(F.col("c") > GROUP).select("core")
+    n_large = large.count()
+    few = strings.join(light(large, n_large), "core", "left_anti") if n_large else strings
+    dealt = few.join(cores.where(F.col("c") <= GROUP).select("core"), "core").repartition("core").sortWithinPartitions("core")
     sorted_ranges = dealt.mapInArrow(_sort, "rid BIGINT, did BIGINT, start BIGINT, end BIGINT")
+    if n_large:
+        many = strings.join(light(large, n_large), "core", "left_semi")
+        sorted_ranges = sorted_ranges.unionByName(_counted(many))
     settled = found.where("settled").select(
         *TEXT, F.col("first").alias("start"), (F.col("first") + F.col("count") - 1 + LENGTH).alias("end")
     )

@@ -454,6 +454,35 @@ def test_repeats_of_given_rows(spark):
     assert rows(suffix_dedup.remove_repeats(table(spark, SF, "documents")), *COLUMNS_9) == brute_removed(pairs)
 
 
+def test_large_groups_of_strings_never_meet_in_a_task(docs, monkeypatch):
+    import random
+
+    rng = random.Random(7)
+    noise = lambda n: "".join(rng.choices("abcdefghij klmnop", k=n))
+    passage = noise(420)
+    # some surroundings are shared too, on one side
+    sides = [noise(300) for _ in range(8)]
+    texts = [(i, (sides[i % 8] if i % 3 else noise(300)) + passage + noise(300)) for i in range(40)]
+    texts += [(100 + i, noise(500)) for i in range(5)]
+    sort = suffix_dedup._sort
+
+    def watched(batches):
+        seen = Counter()
+
+        def counted():
+            for batch in batches:
+                seen.update(batch.column("core").to_pylist())
+                assert max(seen.values()) <= 4
+                yield batch
+
+        yield from sort(counted())
+
+    monkeypatch.setattr(suffix_dedup, "_sort", watched)
+    monkeypatch.setattr(suffix_dedup, "GROUP", 4, raising=False)
+    got = suffix_dedup.remove_repeats(docs(*texts))
+    assert rows(got, *got.columns) == brute_removed(texts)
+
+
 def test_repeats_at_the_edge_of_length(docs):
     import random
 
