@@ -3,7 +3,9 @@
 Every document gets a vector of transformed statistics. Per language and source, the
 minimum covariance determinant estimate of centre and scatter is found by concentration
 steps: distances to the current estimate, the share `support` of the rows with the smallest
-distances, a new estimate from those, until the determinants stay. A document is rejected
+distances, a new estimate from those, until the determinants stay. The nearest rows spread
+less than all do, so their scatter is raised by the factor that makes it right for normal
+rows, and squared distances are held against a chi-square quantile. A document is rejected
 when its Mahalanobis distance to the estimate of its group exceeds `cutoff`.
 
 Statistics are counted inside a row by array functions. Estimation works on a narrow table:
@@ -12,6 +14,7 @@ estimates, and the quantile of distances comes from a histogram, so no group mee
 task. The inverse is applied by a Cholesky solution written in column arithmetic.
 """
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -20,17 +23,46 @@ from footfall.llm.tables import SPACE, digest, hand_over, light, text_or_empty
 
 #: The vector's members and the least spread that counts in each. A statistic that is
 #: nearly constant in a group, such as symbols in clean prose, would otherwise make any
-#: other value an outlier.
+#: other value an outlier. Shares reach 1 (`x_lines`) and, within the base rule, the root of
+#: a half (`x_repeats`); with these floors either passes CUTOFF alone.
 FLOORS = {
     "x_length": 0.5,
     "x_word": 0.10,
     "x_symbols": 0.05,
-    "x_lines": 0.20,
-    "x_repeats": 0.20,
+    "x_lines": 0.215,
+    "x_repeats": 0.155,
 }
 NAMES = tuple(FLOORS)
 SIZE = len(NAMES)
 
+
+def chi_square(x: float, degrees: int) -> float:
+    """Probability that a chi-square variable of `degrees` is at most x."""
+    at, below = (1, math.erf(math.sqrt(x / 2))) if degrees % 2 else (2, 1 - math.exp(-x / 2))
+    while at < degrees:
+        below -= (x / 2) ** (at / 2) * math.exp(-x / 2) / math.gamma(at / 2 + 1)
+        at += 2
+    return below
+
+
+def chi_square_quantile(share: float, degrees: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(middle, degrees) < share else (low, middle)
+    return high
+
+
+def consistency(support: float) -> float:
+    """What the scatter of the nearest `support` of normal rows is multiplied by."""
+    if support >= 1:
+        return 1.0
+    return support / chi_square(chi_square_quantile(support, SIZE), SIZE + 2)
+
+
+#: Squared distance that one of a thousand normal rows exceeds.
+CUTOFF = chi_square_quantile(0.999, SIZE)
+
 #: Histogram of distances: cells per factor of two, cells in all.
 CELLS_PER_DOUBLING, CELLS = 16, 1024
 
@@ -116,8 +148,9 @@ def _vector(df: DataFrame) -> DataFrame:
     })
 
 
-def _moments(rows: DataFrame) -> DataFrame:
+def _moments(rows: DataFrame, support: float) -> DataFrame:
     """Per stratum: rows, means, scatter with the floors, its Cholesky factor and log determinant."""
+    raised = consistency(support)
     shift = {n: F.col(n) for n in NAMES}
     sums = [F.sum(shift[n]).alias("s_" + n) for n in NAMES]
     cross = [
@@ -129,7 +162,7 @@ def _moments(rows: DataFrame) -> DataFrame:
     factor: dict[tuple[int, int], Column] = {}
     for i in range(SIZE):
         for j in range(i + 1):
-            cov = F.col(f"c_{i}_{j}") / F.col("m") - F.col(f"mu_{i}") * F.col(f"mu_{j}")
+            cov = (F.col(f"c_{i}_{j}") / F.col("m") - F.col(f"mu_{i}") * F.col(f"mu_{j}")) * raised
             if i == j:
                 cov = F.greatest(cov, F.lit(0.0)) + F.lit(FLOORS[NAMES[i]] ** 2)
             rest = cov - sum((factor[i, k] * factor[j, k] for k in range(j)), F.lit(0.0))
@@ -178,9 +211,9 @@ def mcd(vectors: DataFrame, support: float, steps: int, tolerance: float) -> Dat
     start = vectors.join(middle, "stratum").withColumn(
         "d2", reduce(lambda a, b: a + b, [((F.col(n) - F.col("mid_" + n)) / FLOORS[n]) ** 2 for n in NAMES])
     )
-    estimate = hand_over(_moments(_nearest(start, support)).coalesce(FEW), "mcd")
+    estimate = hand_over(_moments(_nearest(start, support), support).coalesce(FEW), "mcd")
     for _ in range(steps):
-        after = hand_over(_moments(_nearest(_distance(vectors, estimate), support)).coalesce(FEW), "mcd")
+        after = hand_over(_moments(_nearest(_distance(vectors, estimate), support), support).coalesce(FEW), "mcd")
         change = after.join(estimate.select("stratum", F.col("logdet").alias("before")), "stratum").agg(
             F.max(F.abs(F.col("logdet") - F.col("before")))
         ).first()[0]
@@ -191,7 +224,7 @@ def mcd(vectors: DataFrame, support: float, steps: int, tolerance: float) -> Dat
 
 
 def judge(
-    docs: DataFrame, support: float = 0.75, cutoff: float = 60.0, min_rows: int = 100,
+    docs: DataFrame, support: float = 0.75, cutoff: float = CUTOFF, min_rows: int = 100,
     steps: int = 10, tolerance: float = 1e-3, carry=(),
 ) -> DataFrame:
     """One row per document: doc_id, lang, source, the counts, base_failed, distance, kept.

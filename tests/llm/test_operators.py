@@ -422,6 +422,34 @@ def test_junk_goes_and_clean_stays(spark):
     assert all(r.kept for r in clean) and not any(r.kept for r in junk)
 
 
+def test_duplicate_lines_repeats_and_symbols_reject(docs):
+    import random
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=5))
+    line = lambda n: " ".join(word() for _ in range(n))
+    clean = [(2 * i, "\n".join(line(6) for _ in range(20))) for i in range(150)]
+    # 19 of 20 lines are one word again, so no three words repeat often; a half of the words repeats
+    same = (1000, line(101) + "\nfoo" * 19)
+    passage = line(29)
+    half = (1002, f"{passage}\n{line(62)}\n{passage}")
+    symbols = (1004, "\n".join(line(6) for _ in range(20)) + " #" * 10)
+    got = {r.doc_id: r for r in quality_rules.judge(docs(*clean, same, half, symbols)).collect()}
+    assert not any(got[i].base_failed or got[i].kept for i in (1000, 1002, 1004))
+    assert all(got[i].kept for i, _ in clean)
+    # where a group has none, either share alone goes past the cutoff
+    for name, reach in (("x_lines", 1), ("x_repeats", 0.5)):
+        assert reach / quality_rules.FLOORS[name] ** 2 > quality_rules.CUTOFF
+    assert abs(quality_rules.CUTOFF - 20.515) < 1e-3 and abs(quality_rules.consistency(0.75) - 1.4) < 0.05
+
+
+def test_no_labelled_clean_row_is_lost(spark):
+    where = "/root/testdata/sf0.1"
+    got = quality_rules.judge(table(spark, where, "documents")).join(table(spark, where, "labels"), "doc_id")
+    assert got.where("quality = 1 AND NOT base_failed AND NOT kept").count() == 0
+    assert got.where("quality = 0 AND kept").count() == 0
+
+
 # -- 9 -------------------------------------------------------------------------
 
 
