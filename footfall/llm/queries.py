@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.llm import (
-    bpe, chat, exact_dedup, lm_scoring, minhash_dedup, quality_rules, sharding, source_mixing, suffix_dedup,
-    token_counts,
+    bpe, chat, exact_dedup, lm_scoring, minhash_dedup, periodic_runs, quality_rules, sharding, source_mixing,
+    suffix_dedup, token_counts,
 )
 from footfall.llm.tables import table
 
@@ -58,11 +58,16 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summarise(chat.format_chats(given.unionByName(extra)))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_minhash_dedup, op3_token_counts, op4_lm_scoring, op5_source_mixing,
         op6_sharding, op7_quality_rules, op8_bpe_codec, op9_suffix_array_dedup, op10_chat_format,
+        op13_periodic_runs,
     )
 }
 

@@ -97,8 +97,9 @@ def _pieces(data: np.ndarray):
         at = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, lowered: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Word digests of the texts, and where each text's words begin (one more than texts)."""
+    table = _LOWERED if lowered else _TABLE
     digests, begins = [], []
     cuts = np.zeros(len(data) + 1, bool)
     cuts[offsets] = True  # words do not cross texts
@@ -113,7 +114,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         last = np.ones(len(piece), bool)
         last[:-1] = ~inside[1:] | cuts[at + 1 : at + len(piece)]
         ends = np.flatnonzero(inside & last) + 1
-        digests.append(spans_digest(prefix_sums(piece, _LOWERED), starts, ends))
+        digests.append(spans_digest(prefix_sums(piece, table), starts, ends))
         begins.append(starts + at)
     if not digests:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
