@@ -97,16 +97,17 @@ def _pieces(data: np.ndarray):
         at = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lowered: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Word digests of the texts, and where each text's words begin (one more than texts)."""
-    table = _LOWERED if lowered else _TABLE
-    digests, begins = [], []
+def cut_words(
+    data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE, table: np.ndarray = _LOWERED
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests, starts and ends of the words of the texts: maximal runs of bytes outside `gaps`."""
+    digests, begins, stops = [], [], []
     cuts = np.zeros(len(data) + 1, bool)
     cuts[offsets] = True  # words do not cross texts
     for at, piece in _pieces(data):
         if not len(piece):
             continue
-        inside = ~_SPACE[piece]
+        inside = ~gaps[piece]
         fresh = cuts[at : at + len(piece)].copy()
         fresh[0] = True
         fresh[1:] |= ~inside[:-1]
@@ -116,9 +117,16 @@ def words(data: np.ndarray, offsets: np.ndarray, lowered: bool = True) -> tuple[
         ends = np.flatnonzero(inside & last) + 1
         digests.append(spans_digest(prefix_sums(piece, table), starts, ends))
         begins.append(starts + at)
+        stops.append(ends + at)
     if not digests:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(digests), np.searchsorted(np.concatenate(begins), offsets)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(digests), np.concatenate(begins), np.concatenate(stops)
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lowered: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Word digests of the texts, and where each text's words begin (one more than texts)."""
+    digests, begins, _ = cut_words(data, offsets, table=_LOWERED if lowered else _TABLE)
+    return digests, np.searchsorted(begins, offsets)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[np.ndarray]:
