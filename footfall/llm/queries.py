@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.llm import (
     bpe, chat, exact_dedup, lm_scoring, minhash_dedup, periodic_runs, phrases, quality_rules, sharding,
-    source_mixing, suffix_dedup, token_counts,
+    source_mixing, suffix_dedup, token_counts, toxicity,
 )
 from footfall.llm.tables import table
 
@@ -58,6 +58,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summarise(chat.format_chats(given.unionByName(extra)))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -71,7 +75,7 @@ QUERIES = {
     for f in (
         op1_exact_dedup, op2_minhash_dedup, op3_token_counts, op4_lm_scoring, op5_source_mixing,
         op6_sharding, op7_quality_rules, op8_bpe_codec, op9_suffix_array_dedup, op10_chat_format,
-        op12_phrase_mining, op13_periodic_runs,
+        op11_toxicity, op12_phrase_mining, op13_periodic_runs,
     )
 }
 
