@@ -51,11 +51,13 @@ class Sizes:
     #: Tokens of a level that tasks know by rank.
     ranked: int = 1_000_000
     #: Ranks that are counted in dense tiles, and the side of a tile.
-    head: int = 2048
+    head: int = 1024
     tile: int = 512
     #: Tiles, and entries of the sparse lists, before a task passes counts on.
     tiles: int = 64
-    entries: int = 1_000_000
+    entries: int = 600_000
+    #: Bytes of text that are worked on at a time.
+    slice: int = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -132,24 +134,29 @@ class _Tiles:
     def __init__(self, sizes: Sizes):
         self.side, self.across = sizes.tile, -(-sizes.head // sizes.tile)
         self.held: dict[int, np.ndarray] = {}
+        self.added = 0
 
     def add(self, u, v):
+        self.added += len(u)
         tile = (u // self.side) * self.across + v // self.side
         order = np.argsort(tile, kind="stable")
         cell = ((u % self.side) * self.side + v % self.side)[order]
         tile = tile[order]
         cuts = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1], [True]])) if len(tile) else []
         for a, b in zip(cuts, cuts[1:]):
-            counts = np.bincount(cell[a:b], minlength=self.side**2)
+            counts = np.bincount(cell[a:b], minlength=self.side**2).astype(np.int32)
             t = int(tile[a])
-            self.held[t] = self.held[t] + counts if t in self.held else counts
+            if t in self.held:
+                self.held[t] += counts
+            else:
+                self.held[t] = counts
 
     def counts(self):
         """(rank, rank, count) of the pairs that occurred."""
         for t, counts in self.held.items():
             cell = np.flatnonzero(counts)
             row, column = divmod(t, self.across)
-            yield row * self.side + cell // self.side, column * self.side + cell % self.side, counts[cell]
+            yield row * self.side + cell // self.side, column * self.side + cell % self.side, counts[cell].astype(np.int64)
 
 
 def _count_words(sizes: Sizes):
@@ -171,7 +178,7 @@ def _count_words(sizes: Sizes):
             held.clear()
 
         for lang, texts in _texts(batches):
-            for _, data, offsets in slices(texts):
+            for _, data, offsets in slices(texts, sizes.slice):
                 keys, starts, ends, _ = _words(data, offsets)
                 if not len(keys):
                     continue
@@ -216,7 +223,7 @@ def _count_pairs(levels: list[Level], sizes: Sizes):
             held.clear()
 
         for lang, texts in _texts(batches):
-            for _, data, offsets in slices(texts):
+            for _, data, offsets in slices(texts, sizes.slice):
                 keys, _, _, follows = _words(data, offsets)
                 for level in levels:
                     ranks, live = level.ranks(lang, keys)
@@ -236,6 +243,7 @@ def _count_pairs(levels: list[Level], sizes: Sizes):
                 sparse.add(pair_keys(u, v), u, v)
                 if (
                     sum(len(t.held) for t, _ in held.values()) > sizes.tiles
+                    or tiles.added > 1 << 30  # cells have 32 bits
                     or sum(s.size for _, s in held.values()) > sizes.entries
                 ):
                     yield from out()
