@@ -77,15 +77,21 @@ def encode_bulk(spark, sf):
     return payloads.select("siteId", "deviceId", "batch", "n_events", body.alias("body"))
 
 
-@check("snk2_write_idempotent", f"WITH {TRACK_SQL} {_ROWS_SQL}")
+@check("snk2_write_idempotent", f"""WITH {TRACK_SQL} SELECT siteId, deviceId, CAST(sn AS BIGINT) AS sn, eventTime, eventName, url,
+  CASE WHEN k >= 40 THEN coalesce(userId, 'late') END AS userId, CAST(CASE WHEN k >= 40 THEN 1 ELSE 0 END AS BIGINT) AS version
+FROM track""")
 def write_idempotent(spark, sf):
-    """Two overlapping epochs, the second one replayed."""
+    """Two overlapping epochs, the second one replayed; its copies know the user, those of the
+    first do not."""
     path = new_dir(spark, "idempotent")
     rows = track(spark, sf, "k", "projectId", "siteId", "deviceId", "sn", *_FLAT)
-    sinks.write_idempotent(rows.where("k < 70").drop("k"), 0, path)
+    first = rows.where("k < 70").withColumn("userId", F.lit(None).cast("string"))
+    sinks.write_idempotent(first.drop("k"), 0, path)
     for _ in range(2):
-        sinks.write_idempotent(rows.where("k >= 40").drop("k"), 1, path)
-    return _rows(stored.scan_events(spark, path))
+        second = rows.where("k >= 40").withColumn("userId", F.coalesce("userId", F.lit("late")))
+        sinks.write_idempotent(second.drop("k"), 1, path)
+    found = sinks.read_events(spark, path)
+    return found.select("siteId", "deviceId", F.col("sn").cast("bigint").alias("sn"), "eventTime", "eventName", "url", "userId", "version")
 
 
 @check("snk3_fan_out", f"""WITH {TRACK_SQL}

@@ -89,11 +89,15 @@ def resend_key(events: DataFrame) -> list:
 
 
 def dedupe_events(events: DataFrame) -> DataFrame:
-    """Drop resent copies. A user can be attached between two sends, so of copies the one that
-    knows the user stays. Each map task sends one row per event at most."""
+    """Drop resent copies. A user or a property can be attached between two sends, so the one row
+    that stays knows what any copy knows (of different values the greatest). Each map task sends
+    one row per event at most."""
     known = [c for c in ("userId", "userProperty") if c in events.columns]
     keyed = events.withColumn("__unnumbered", resend_key(events)[-1])
     keys = [*DEVICE, *EVENT_ORDER, "__unnumbered"]
     # in a struct NULL is the smallest, so what knows more comes last
     best = F.max_by(F.struct(*events.columns), F.struct(F.lit(0), *known))
-    return keyed.groupBy(*keys).agg(best.alias("__best")).select("__best.*")
+    grouped = keyed.groupBy(*keys).agg(best.alias("__best"), *[F.max(c).alias("__" + c) for c in known])
+    return grouped.select(
+        *[F.col("__" + c if c in known else f"__best.{c}").alias(c) for c in events.columns]
+    )

@@ -1,65 +1,66 @@
 """Writers that survive replays."""
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.utils import AnalysisException
 
 from footfall.operators.commerce import with_order_items
 from footfall.operators.delivery import dedupe_events, resend_key
 from footfall.operators.legacy import legacy_request_time, legacy_static, request_vars, to_legacy
 from footfall.schema import DEVICE, EVENT_ORDER
 from footfall.scratch import new_dir
+from footfall.sources.epochs import EpochTable, same_keys
 from footfall.sources.events import with_event_date
 
 
-def read_if_there(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+#: What a later copy of an event may know that an earlier one does not.
+FACTS = ("userId", "userProperty")
+_UNNUMBERED = "__unnumbered"
+_KEYS = (*DEVICE, *EVENT_ORDER, _UNNUMBERED)
 
 
-def new_events(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Events of the batch that are not stored yet, without copies."""
-    batch = with_event_date(batch)
-    if stored is None:
-        return dedupe_events(batch)
-    # a resend has the time of its original, so only the batch's days matter;
-    # days are few, and naming them prunes the folders of the stored table
-    days = [r.event_date for r in batch.select("event_date").distinct().collect()]
-    stored = stored.where(F.col("event_date").isin(days) | F.col("event_date").isNull())
+def event_table(spark, path: str) -> EpochTable:
+    return EpochTable(spark, path, _KEYS, part="event_date")
 
-    def keyed(df):
-        return df.withColumn("__unnumbered", resend_key(df)[-1])
 
-    new, old = keyed(dedupe_events(batch)).alias("new"), keyed(stored).alias("old")
-    names = (*DEVICE, *EVENT_ORDER, "__unnumbered")
-    same = F.lit(True)
-    for n in names:
-        same = same & F.col(f"new.{n}").eqNullSafe(F.col(f"old.{n}"))
-    return new.join(old, same, "left_anti").drop("__unnumbered")
+def read_events(spark, path: str, days: DataFrame | None = None) -> DataFrame | None:
+    """The stored events, each as the copies together know it, with `version`, the epoch that
+    last had something to add; None before the first. `days` (one date column) names what to open."""
+    rows = event_table(spark, path).read(days)
+    return None if rows is None else rows.drop(_UNNUMBERED)
 
 
-def write_idempotent(batch: DataFrame, epoch: int, path: str) -> None:
-    """Append the batch's new events to `path`, partitioned by day and epoch.
-    A replay of an epoch compares with the other epochs only and replaces its
-    own folders, so it ends in the same table. Use as a `foreachBatch` body."""
-    spark = batch.sparkSession
-    stored = read_if_there(spark, path)
-    if stored is not None:
-        stored = stored.where(F.col("batch_id") != epoch)
-    rows = new_events(batch, stored).withColumn("batch_id", F.lit(epoch))
-    (
-        # one well-sized set of files per day; AQE splits days that are too large
-        rows.hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
-        .parquet(path)
+def restated(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Events of the batch, without copies, that are new or that know something which the
+    stored copy does not; what either knows is kept. The greater value of a fact holds, so
+    the order of the copies, and how they fall into batches, makes no difference."""
+    batch = dedupe_events(batch)
+    batch = batch.withColumn(_UNNUMBERED, resend_key(batch)[-1])
+    facts = [c for c in FACTS if c in batch.columns]
+    if stored is None:
+        return batch
+    old = stored.select(*_KEYS, *[F.col(c).alias("__old_" + c) if c in stored.columns else F.lit(None).cast("string").alias("__old_" + c) for c in facts], F.lit(True).alias("__there"))
+    joined = batch.alias("n").join(old.alias("o"), same_keys("n", "o", _KEYS), "left")
+    merged = {c: F.greatest(F.col("n." + c), F.col("o.__old_" + c)) for c in facts}
+    more = F.lit(False)
+    for c, value in merged.items():
+        more = more | ~value.eqNullSafe(F.col("o.__old_" + c))
+    return joined.where(F.col("o.__there").isNull() | more).select(
+        *[merged[c].alias(c) if c in merged else F.col("n." + c) for c in batch.columns]
     )
 
 
+def write_idempotent(batch: DataFrame, epoch: int, path: str) -> None:
+    """Store the batch's new events, and restate those that a copy in it knows more about.
+
+    A batch is compared with the stored files of its own days, since a resend has the time of
+    its original. A replayed epoch is compared with the epochs before it and replaces its own
+    commit, so it ends in the same table. Use as a `foreachBatch` body; read by `read_events`."""
+    table = event_table(batch.sparkSession, path)
+    batch = with_event_date(batch)
+    stored = table.read(parts=batch.select("event_date"), before=epoch)
+    rows = restated(batch, stored).withColumn("version", F.lit(epoch).cast("bigint"))
+    table.write(rows, epoch)
+
+
 def legacy_rows(events: DataFrame, tz="UTC") -> DataFrame:
     """Legacy rows of current events, item rows of orders included. Visit counters need all
     earlier events of a device; `plans.rebuild.legacy_table` adds them."""

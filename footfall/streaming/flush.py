@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.operators.identity import backfill_user
 from footfall.schema import EVENTS_PER_REQUEST, USER_HORIZON_S
-from footfall.sources.sinks import fan_out, read_if_there, write_idempotent
+from footfall.sources.sinks import event_table, fan_out, write_idempotent
 from footfall.sources.wire import encode_bulk
 from footfall.streaming.triggers import trigger_from_interval
 
@@ -12,15 +12,15 @@ from footfall.streaming.triggers import trigger_from_interval
 def flush_to(
     events_path: str, requests_path: str | None = None, n: int = EVENTS_PER_REQUEST, send=None
 ):
-    """A `foreachBatch` body: append the new events, and turn exactly those into
-    requests of n. A replayed epoch replaces its own output in both tables.
-    `send(requests, epoch)` gets the stored requests; it may see an epoch again."""
+    """A `foreachBatch` body: store the new events, and turn exactly those into requests of n,
+    an event that a later copy knows more about once more. A replayed epoch replaces its own
+    output in both tables. `send(requests, epoch)` gets the stored requests; it may see an
+    epoch again."""
 
     def flush(batch: DataFrame, epoch: int) -> None:
         write_idempotent(batch, epoch, events_path)
-        stored = read_if_there(batch.sparkSession, events_path) if requests_path else None
-        if stored is not None:
-            added = stored.where(F.col("batch_id") == epoch)
+        added = event_table(batch.sparkSession, events_path).at(epoch) if requests_path else None
+        if added is not None:
             target = f"{requests_path}/batch_id={epoch}"
             encode_bulk(added, n).write.mode("overwrite").parquet(target)
             if send:
@@ -62,10 +62,13 @@ def late_user_attach(
     stored: DataFrame, since_ms: int, until_ms: int, horizon_s: int = USER_HORIZON_S, hot=None
 ) -> DataFrame:
     """Stored events of [since, until) that gain a user when those up to
-    `horizon_s` later are known, with that user. Only this time range is read."""
-    span = stored.where(
-        (F.col("eventTime") >= since_ms) & (F.col("eventTime") < until_ms + horizon_s * 1000)
-    )
+    `horizon_s` later are known, with that user. Only this time range is read; where the
+    table has an `event_date`, only its folders."""
+    last_ms = until_ms + horizon_s * 1000
+    span = stored.where((F.col("eventTime") >= since_ms) & (F.col("eventTime") < last_ms))
+    if "event_date" in stored.columns:
+        first, last = (F.date_add(F.lit("1970-01-01").cast("date"), F.lit(ms // 86_400_000)) for ms in (since_ms, last_ms))
+        span = span.where(F.col("event_date").between(first, last))
     anonymous = F.col("userId").isNull()
     restated = backfill_user(span.withColumn("__was", anonymous), horizon_s, hot=hot)
     gained = F.col("__was") & F.col("userId").isNotNull() & (F.col("eventTime") < until_ms)

@@ -84,7 +84,7 @@ def test_many_copies_of_one_event(spark):
 
 
 def stored(spark, path):
-    return rows_of(scan_events(spark, path), "eventTime", "eventName")
+    return rows_of(sinks.read_events(spark, path), "eventTime", "eventName")
 
 
 def test_replays_and_resends_end_in_the_same_table(spark):
@@ -117,6 +117,52 @@ def test_empty_batches(spark):
     assert stored(spark, path) == [(DAY, "a")]
 
 
+def test_what_a_later_copy_knows_is_kept(spark):
+    def batch(**facts):
+        return events(spark, (DAY, "a", {"sn": 1, **facts}), (DAY + 86_400_000, "b", {"sn": 2}))
+
+    path = new_dir(spark, "t")
+    copies = [batch(), batch(userId="u"), batch(userProperty="p"), batch(), batch(userId="u")]
+    for epoch, copy in enumerate(copies):
+        sinks.write_idempotent(copy, epoch, path)
+    names = ("eventName", "userId", "userProperty", "version")
+    want = [("a", "u", "p", 2), ("b", None, None, 0)]
+    assert rows_of(sinks.read_events(spark, path), *names) == want
+    for epoch in (1, 2, 0):  # replays
+        sinks.write_idempotent(copies[epoch], epoch, path)
+        assert rows_of(sinks.read_events(spark, path), *names) == want
+    table = sinks.event_table(spark, path)
+    assert rows_of(table.at(2), "eventName", "userId", "userProperty") == [("a", "u", "p")]
+    assert table.at(3) is None or table.at(3).isEmpty()
+
+
+def test_one_copy_knows_the_user_another_the_property(spark):
+    rows = events(spark, (DAY, "a", {"sn": 1, "userId": "u"}), (DAY, "a", {"sn": 1, "userProperty": "p"}), (DAY, "a", {"sn": 1}))
+    assert rows_of(delivery.dedupe_events(rows), "userId", "userProperty") == [("u", "p")]
+
+
+def test_a_batch_opens_the_files_of_its_days_only(spark):
+    path = new_dir(spark, "t")
+    for epoch in range(3):
+        sinks.write_idempotent(events(spark, (DAY + epoch * 86_400_000, "a")), epoch, path)
+    table = sinks.event_table(spark, path)
+    days = spark.sql("SELECT DATE'2024-01-02' AS d")
+    files = table.versions(days).inputFiles()
+    assert len(files) == 1 and "__part=2024-01-02" in files[0]
+    table.compact(1)
+    assert {f.split("/")[-3].split("-")[0] for f in table.versions().inputFiles()} == {"base", "epoch"}
+    assert len(table.versions().inputFiles()) == 3
+    assert stored(spark, path) == [(DAY + i * 86_400_000, "a") for i in range(3)]
+
+
+def test_an_epoch_without_a_commit_does_not_exist(spark):
+    path = new_dir(spark, "t")
+    sinks.write_idempotent(events(spark, (DAY, "a")), 0, path)
+    with_event_date(events(spark, (DAY, "lost"))).withColumn("__part", F.lit("2024-01-01")).write.partitionBy("__part").parquet(
+        f"{path}/data/epoch-1-broken")
+    assert stored(spark, path) == [(DAY, "a")]
+
+
 def test_dates_and_quarantine(spark):
     rows = events(spark, (DAY - 1, "a"), (DAY, "b"), (None, "c"))
     good, bad = split_untimed(rows)

@@ -8,6 +8,7 @@ from footfall.operators import context as batch_context
 from footfall.operators import identity, sessions as batch_sessions
 from footfall.operators.timeline import Timeline
 from footfall.scratch import new_dir
+from footfall.sources import sinks
 from footfall.sources.events import scan_events, stream_events
 from footfall.streaming import context, flush, sessions, triggers
 from tests.conftest import rows_of
@@ -140,7 +141,7 @@ def test_flush_survives_a_replay(spark, files, table):
             .trigger(**triggers.trigger_from_interval(-1)).start()
         )
         query.awaitTermination()
-    assert rows_of(scan_events(spark, out), "deviceId", "sn") == rows_of(table, "deviceId", "sn")
+    assert rows_of(sinks.read_events(spark, out), "deviceId", "sn") == rows_of(table, "deviceId", "sn")
     stored = spark.read.parquet(requests)
     assert stored.agg(F.sum("n_events"), F.max("n_events")).first() == (table.count(), 7)
     assert sent[:3] == sent[3:]
