@@ -33,16 +33,21 @@ def trigger(spark, sf):
 SELECT siteId, deviceId, seStartTime, max(eventTime) AS last_event, count(*) AS n_events
 FROM sess GROUP BY {DEVICE_SQL}, seStartTime""")
 def stream_sessions(spark, sf):
-    rows = sessions.stream_sessions(stream(spark, sf, *_STATE))
-    return triggers.run_available(rows, new_dir(spark, "sessions"), "complete").select(
-        "siteId", "deviceId", "seStartTime", "last_event", "n_events")
+    path = new_dir(spark, "sessions")
+    sessions.stream_stitched_sessions(stream(spark, sf, *_STATE), path, new_dir(spark, "stream"), interval_s=-1).awaitTermination()
+    return sessions.read_sessions(spark, path).select("siteId", "deviceId", "seStartTime", "last_event", "n_events")
 
 
 @check("str3_stream_sessions_with_triggers", f"WITH {TRACK_SQL}, {sessions_sql()} {SESSION_TABLE_SQL}".replace(
     "min(eventTime) AS first_event, ", ""))
 def stream_sessions_with_triggers(spark, sf):
-    rows = sessions.stream_sessions_with_triggers(stream(spark, sf, *_STATE))
-    return sessions.settled_sessions(triggers.run_available(rows, new_dir(spark, "sessions"), "update"))
+    """Three epochs that deal the events by a hash, so that most of them come late."""
+    path = new_dir(spark, "sessions")
+    body = sessions.continue_sessions(path)
+    rows = track(spark, sf, *_STATE)
+    for epoch in range(3):
+        body(rows.where(F.pmod(F.xxhash64("sn"), F.lit(3)) == epoch), epoch)
+    return sessions.read_sessions(spark, path)
 
 
 @check("str4_stream_dedupe", f"WITH {TRACK_SQL} SELECT event_id, eventName FROM track")
@@ -65,8 +70,9 @@ ref AS (SELECT projectId AS pp, siteId AS ps, deviceId AS pd, sn AS psn, came AS
 SELECT siteId, deviceId, CAST(sn AS BIGINT) AS sn, u AS url, t AS title, referrer, utm, pushContent, user AS userId,
   token AS registrationID FROM ctx LEFT JOIN ref ON projectId = pp AND siteId = ps AND deviceId = pd AND view_sn = psn""")
 def stream_context(spark, sf):
-    rows = context.stream_context(stream(spark, sf))
-    rows = triggers.run_available(rows, new_dir(spark, "context"))
+    path = new_dir(spark, "context")
+    context.stream_context(stream(spark, sf), path, new_dir(spark, "stream"), interval_s=-1).awaitTermination()
+    rows = context.read_context(spark, path)
     return rows.select("siteId", "deviceId", F.col("sn").cast("bigint").alias("sn"), "url", "title", "referrer",
                        "utm", "pushContent", "userId", "registrationID")
 

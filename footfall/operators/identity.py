@@ -1,9 +1,10 @@
 """Who was signed in, carried along the events of a device."""
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.operators.timeline import on_timeline
-from footfall.schema import LOGIN, LOGOUT, PUSH_INIT, REGISTER, USER_HORIZON_S
+from footfall.schema import DEVICE, LOGIN, LOGOUT, PUSH_INIT, REGISTER, USER_HORIZON_S
+from footfall.scratch import hand_over
 
 
 def _logs_out(cleared) -> Column:
@@ -70,6 +71,29 @@ def backfill_user(events, horizon_s: int = USER_HORIZON_S):
     )
 
 
+def backfill_between(
+    batch: DataFrame, held: DataFrame | None = None, horizon_s: int = USER_HORIZON_S, until_ms: int | None = None, hot=None,
+) -> tuple[DataFrame, DataFrame]:
+    """`backfill_user` over the edge of two runs: (rows whose user is settled, rows to hold).
+
+    A row without a user waits while its device may still name one within the horizon: until
+    the device has a later event, or the time `until_ms` has come. `held` are the rows that the
+    run before held. The settled rows of all runs and what the last one holds are the rows of
+    one run over everything, if each device's events come in order."""
+    rows = batch if held is None else batch.unionByName(held)
+    newest = rows.groupBy(*DEVICE).agg(F.max("eventTime").alias("__newest")).alias("d")
+    line = backfill_user(rows, horizon_s, hot=hot).alias("r")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"d.{c}")) for c in DEVICE]
+    limit = F.col("eventTime") + horizon_s * 1000
+    waits = F.col("userId").isNull() & (limit >= F.col("__newest"))
+    if until_ms is not None:
+        waits = waits & (limit >= until_ms)
+    marked = hand_over(
+        line.join(newest, same).select("r.*", F.coalesce(waits, F.lit(False)).alias("__waits")), "backfill"
+    )
+    return marked.where("NOT __waits").drop("__waits"), marked.where("__waits").drop("__waits")
+
+
 @on_timeline
 def resolve_user(events, horizon_s: int = USER_HORIZON_S, clears: Column | None = None):
     """The user of every event, from both directions."""

@@ -215,6 +215,8 @@ class Timeline:
         own = [(kind, n, F.when(counts, v)) for kind, n, v in steps]
         # the state after a row; what looks back strictly does not include the row itself
         kept = {n: f"__kept_{self._fills}_{n}" for kind, n, _ in steps if kind != "next"}
+        if any(kind == "peak" for kind, _, _ in steps):
+            raise ValueError("peak is not carried between runs")
         out = self._fill(own + [("last", kept[n], v) for kind, n, v in own if kind == "before"])
 
         def with_held(kind: str, local: str, n: str) -> Column:
@@ -308,6 +310,7 @@ _STEPS = {
     "next": _Step(_last, _oldest, backwards=True),
     "total": _Step(F.sum, lambda c, _: F.sum(c), _add),
     "lowest": _Step(F.min, lambda c, _: F.min(c), F.least),
+    "peak": _Step(F.max, lambda c, _: F.max(c), F.greatest, end=-1),
 }
 
 

@@ -27,12 +27,11 @@ def ingest(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return dedupe_events(events.select(*EVENT_COLUMNS, "extra")), bad
 
 
-def legacy_table(events: DataFrame, tz="UTC", timeout_s: int = SESSION_TIMEOUT_S, hot=None) -> DataFrame:
-    """Legacy rows of current events with everything the legacy client adds:
-    mapping, request time, custom variables, visit counters, static fields. An order with
-    items gives two rows, the second with its items and revenue."""
-    rows = Timeline(legacy_eligible(events), hot=hot)
-    rows = visit_counters(sessionize_v1(rows, timeout_s)).frame()
+def _visits(events: DataFrame, timeout_s: int, **run) -> Timeline:
+    return visit_counters(sessionize_v1(Timeline(legacy_eligible(events), **run), timeout_s))
+
+
+def _legacy(rows: DataFrame, tz) -> DataFrame:
     rows = to_legacy(with_order_items(rows.withColumnRenamed("new_visit", "__opens")))
     rows = request_vars(legacy_request_time(rows, tz))
     return (
@@ -43,6 +42,37 @@ def legacy_table(events: DataFrame, tz="UTC", timeout_s: int = SESSION_TIMEOUT_S
     )
 
 
+def legacy_table(events: DataFrame, tz="UTC", timeout_s: int = SESSION_TIMEOUT_S, hot=None) -> DataFrame:
+    """Legacy rows of current events with everything the legacy client adds:
+    mapping, request time, custom variables, visit counters, static fields. An order with
+    items gives two rows, the second with its items and revenue."""
+    return _legacy(_visits(events, timeout_s, hot=hot).frame(), tz)
+
+
+def continue_legacy(
+    events: DataFrame, state: DataFrame | None, tz="UTC", timeout_s: int = SESSION_TIMEOUT_S, hot=None,
+) -> tuple[DataFrame, DataFrame]:
+    """`legacy_table` of events that follow those of `state`, and the state after them: the visits
+    of each device so far. Events older than the state have no counters."""
+    line = _visits(events, timeout_s, hot=hot, state=state, keep=True).settled("visits")
+    return _legacy(line.frame(), tz), line.snapshot()
+
+
+def continue_state(
+    events: DataFrame, state: DataFrame | None, timeout_s: int = SESSION_TIMEOUT_S, tz="UTC", hot=None,
+) -> tuple[DataFrame, DataFrame]:
+    """Session, campaign, page and user state of events that follow those of `state`, and the
+    state of their devices after them. Users that a later event names are given back by
+    `backfill_between`. Events older than the state are marked in `late`."""
+    line = Timeline(events, hot=hot, state=state, keep=True)
+    line = page_context(attribute_campaign(sessionize_v2(line, timeout_s, tz)))
+    line = carry_registration(line)
+    if "userProperty" in events.columns:
+        line = carry_user_property(line)
+    line = carry_user(line).settled("state")
+    return line.frame("late"), line.snapshot()
+
+
 def rebuild_state(
     events: DataFrame,
     timeout_s: int = SESSION_TIMEOUT_S,

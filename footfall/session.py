@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # merge the sessions of a device inside each map task before the shuffle
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # texts are long: what a Python worker holds at a time
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # device state of streams outside the JVM heap, with incremental checkpoints
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -2,9 +2,9 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.operators.commerce import with_order_items
 from footfall.operators.delivery import dedupe_events, resend_key
-from footfall.operators.legacy import legacy_request_time, legacy_static, request_vars, to_legacy
+from footfall.operators.filters import not_opted_out, sample_events
+from footfall.plans.rebuild import continue_legacy
 from footfall.schema import DEVICE, EVENT_ORDER
 from footfall.scratch import new_dir
 from footfall.sources.epochs import EpochTable, same_keys
@@ -61,25 +61,35 @@ def write_idempotent(batch: DataFrame, epoch: int, path: str) -> None:
     table.write(rows, epoch)
 
 
-def legacy_rows(events: DataFrame, tz="UTC") -> DataFrame:
-    """Legacy rows of current events, item rows of orders included. Visit counters need all
-    earlier events of a device; `plans.rebuild.legacy_table` adds them."""
-    return legacy_static(request_vars(legacy_request_time(to_legacy(with_order_items(events)), tz)))
+def _replace_epoch(rows: DataFrame, path: str, epoch: int) -> None:
+    (
+        rows.withColumn("batch_id", F.lit(epoch)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
 
+def fan_out(
+    events: DataFrame, current_path: str, legacy_path: str, epoch: int = 0, tz="UTC",
+    visits_path: str | None = None, opted_out: DataFrame | None = None, rate: int = 100,
+) -> None:
+    """Write the events to the current table and their mapping to the legacy one.
 
-def fan_out(events: DataFrame, current_path: str, legacy_path: str, epoch: int = 0, tz="UTC") -> None:
-    """Write the events to the current table and their mapping to the legacy
-    one, reading the input once."""
-    events = events.persist()
+    Visit counters go on from the epoch before: the table at `visits_path` (by default beside the
+    legacy one) has one row per device, and no history is read. Devices that opted out, and events
+    outside the sample of `rate`, are left out of the legacy table only, and do not count there.
+    A replayed epoch replaces its own rows and state."""
+    visits = EpochTable(events.sparkSession, visits_path or f"{legacy_path}-visits", DEVICE)
+    events = events.persist()  # the input is read once
     try:
-        for rows, path in ((events, current_path), (legacy_rows(events, tz), legacy_path)):
-            rows = rows.withColumn("batch_id", F.lit(epoch))
-            (
-                rows.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id")
-                .parquet(path)
-            )
+        _replace_epoch(events, current_path, epoch)
+        legacy = events.where(F.col("eventTime").isNotNull())
+        if opted_out is not None:
+            legacy = not_opted_out(legacy, opted_out)
+        rows, state = continue_legacy(sample_events(legacy, rate), visits.read(before=epoch), tz)
+        _replace_epoch(rows, legacy_path, epoch)
+        visits.write(state, epoch)
     finally:
         events.unpersist()
 

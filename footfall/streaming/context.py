@@ -1,127 +1,66 @@
 """Page, campaign and user state of devices on streams."""
 
-from collections.abc import Iterator
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from footfall.operators.context import attribute_campaign, page_context
+from footfall.operators.identity import carry_registration, carry_user, carry_user_property
+from footfall.operators.timeline import Timeline
+from footfall.schema import DEVICE, SERIAL
+from footfall.sources.epochs import EpochTable
+from footfall.streaming.triggers import trigger_from_interval
 
-from footfall.schema import (
-    DEVICE, LOGIN, LOGOUT, OPEN_CHANNEL, PAGEVIEW, PUSH, PUSH_CAMPAIGN, PUSH_INIT, REGISTER,
-    SERIAL,
-)
-from footfall.streaming.ordered import CHUNK, in_order
+#: Epochs after which the state of all devices is written anew, so that reading it opens few files.
+COMPACT = 50
 
-_STATE = (
-    "last LONG, sn DECIMAL(20,0), url STRING, title STRING, referrer STRING, utm STRING, "
-    "push STRING, user STRING, property STRING, token STRING"
-)
-_FIELDS = [f.split()[0] for f in _STATE.split(", ")]
-_INPUT = (
-    "eventTime", "sn", "eventName", "url", "title", "userId", "userProperty", "native",
-    "channel", "content", "token",
-)
+_TEXTS = ("eventName", "eventBody", "url", "title", "userId", "userProperty", "bridgeInfo")
 _ROW = (
-    "projectId STRING, siteId STRING, deviceId STRING, eventTime LONG, sn DECIMAL(20,0), "
-    "eventName STRING, url STRING, title STRING, referrer STRING, utm STRING, "
-    "pushContent STRING, userId STRING, userProperty STRING, registrationID STRING, late BOOLEAN"
+    *DEVICE, "eventTime", "sn", "eventName", "url", "title", "referrer", "utm", "pushContent", "userId",
+    "userProperty", "registrationID", "late",
 )
-_ROW_NAMES = [f.split()[0] for f in _ROW.split(", ")]
-
 
-def _tagged(url, utm, push):
-    if not utm or url is None:
-        return url
-    text = f"{url}{'&' if '?' in url else '?'}utm_campaign={utm}"
-    return f"{text}&pushContent={push}" if push else text
 
-
-def _advance(s: dict, r: dict) -> tuple:
-    """One event against the state of its device, which is changed in place;
-    gives the columns of the event from url on."""
-    name, url = r["eventName"], r["url"]
-    utm = push = None
-    if name == OPEN_CHANNEL:
-        s["utm"] = r["channel"] or ""
-    elif name == PUSH:
-        s["utm"], s["push"] = PUSH_CAMPAIGN, r["content"] or ""
-    elif name == PUSH_INIT and r["token"] is not None:
-        s["token"] = r["token"]
-    elif name == PAGEVIEW:
-        if r["native"] and s["utm"]:
-            utm, push = s["utm"], s["push"] or None
-            s["utm"] = s["push"] = None
-            url = _tagged(url, utm, push)
-        if url is not None:
-            s["referrer"], s["url"] = s["url"], url
-        if r["title"] is not None:
-            s["title"] = r["title"]
-    if r["userId"] is not None:
-        s["user"] = r["userId"]
-    if r["userProperty"] is not None:
-        s["property"] = r["userProperty"]
-    title = r["title"] if r["title"] is not None else s["title"]
-    token = s["token"] if name in (REGISTER, LOGIN) else None
-    row = (
-        url if url is not None else s["url"], title, s["referrer"], utm, push,
-        s["user"], s["property"], token, False,
+def _state_table(spark: SparkSession, path: str) -> EpochTable:
+    return EpochTable(spark, f"{path}/state", DEVICE)
+
+
+def continue_context(path: str):
+    """A `foreachBatch` body: the operators of a batch run, on the rows of one micro-batch, going
+    on from the devices' state after the last one. Each epoch leaves its rows and the state of
+    the devices in it; a replay starts from the same state and replaces both."""
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        states = _state_table(spark, path)
+        given = [F.col(c) if c in batch.columns else F.lit(None).cast("string").alias(c) for c in _TEXTS]
+        rows = batch.where(F.col("eventTime").isNotNull()).select(
+            *DEVICE, "eventTime", F.coalesce("sn", F.lit(0)).cast(SERIAL).alias("sn"), *given
+        )
+        line = Timeline(rows, state=states.read(before=epoch), keep=True)
+        line = page_context(attribute_campaign(line))
+        line = carry_user_property(carry_user(carry_registration(line))).settled("context")
+        line.frame("late").select(*_ROW).write.mode("overwrite").parquet(f"{path}/rows/epoch={epoch}")
+        states.write(line.snapshot(), epoch)
+        if epoch and epoch % COMPACT == 0:
+            states.compact(epoch - 1)
+
+    return run
+
+
+def stream_context(events: DataFrame, path: str, checkpoint: str, interval_s: float = 20):
+    """Start the query that gives url, title, referrer, campaign, user, user property and
+    registration id of every event, by `attribute_campaign`, `page_context`,
+    `carry_registration`, `carry_user` and `carry_user_property` with one row of state per device.
+
+    The rows of a micro-batch are put in order. One that is older than what its device's state has
+    seen already is passed on as it is, with `late` set, for a batch run. Rows without a time are
+    left out. Read the result by `read_context`."""
+    return (
+        events.writeStream.foreachBatch(continue_context(path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_from_interval(interval_s))
+        .start()
     )
-    if name == LOGOUT:  # the logout itself still has the user
-        s["user"] = s["property"] = None
-    return row
-
-
-def _step(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    s = dict(zip(_FIELDS, state.get)) if state.exists else dict.fromkeys(_FIELDS)
-    out = []
-    for row in in_order(chunks, _INPUT):
-        r = dict(zip(_INPUT, row))
-        head = (*key, r["eventTime"], r["sn"], r["eventName"])
-        if s["last"] is not None and row[:2] < (s["last"], s["sn"]):
-            # older than what the state has seen: passed on as it is, for a batch run
-            rest = (r["url"], r["title"], None, None, None, r["userId"], r["userProperty"], None, True)
-        else:
-            s["last"], s["sn"] = row[:2]
-            rest = _advance(s, r)
-        out.append((*head, *rest))
-        if len(out) == CHUNK:
-            yield pd.DataFrame(out, columns=_ROW_NAMES)
-            out = []
-    state.update(tuple(s[f] for f in _FIELDS))
-    yield pd.DataFrame(out, columns=_ROW_NAMES)
 
 
-def stream_context(events: DataFrame) -> DataFrame:
-    """Url, title, referrer, campaign, user, user property and registration id
-    of every event, from one small state per device. Same rules as
-    `attribute_campaign` followed by `page_context`, `carry_user`,
-    `carry_user_property` and `carry_registration`.
-
-    Events in a micro-batch are put in order. One that is older than what the
-    device's state has seen already is passed on with `late` set. Append mode."""
-    native = F.col("bridgeInfo").isNull() if "bridgeInfo" in events.columns else F.lit(True)
-    name = F.col("eventName")
-
-    def field(event, path):  # JSON only where it is needed
-        return F.when(name == event, F.get_json_object("eventBody", path))
-
-    def given(column):
-        return F.col(column) if column in events.columns else F.lit(None).cast("string")
-
-    slim = events.where(F.col("eventTime").isNotNull()).select(
-        *DEVICE,
-        "eventTime",
-        F.coalesce("sn", F.lit(0)).cast(SERIAL).alias("sn"),
-        "eventName",
-        given("url").alias("url"),
-        given("title").alias("title"),
-        given("userId").alias("userId"),
-        given("userProperty").alias("userProperty"),
-        native.alias("native"),
-        field(OPEN_CHANNEL, "$.openChannelName").alias("channel"),
-        field(PUSH, "$.pushContent").alias("content"),
-        field(PUSH_INIT, "$.pushManager.registrationID").alias("token"),
-    )
-    return slim.groupBy(*DEVICE).applyInPandasWithState(
-        _step, _ROW, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
+def read_context(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/rows").select(*_ROW)

@@ -1,16 +1,15 @@
 """Sessions and duplicates on streams."""
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from footfall.functions.clock import day_number
 from footfall.operators.delivery import resend_key
 from footfall.operators.sessions import restarts_session, session_id, sessions_per_device
+from footfall.operators.timeline import NO_HOT_KEYS, Timeline
 from footfall.schema import DEVICE, EVENT_ORDER, SERIAL, SESSION_TIMEOUT_S
-from footfall.streaming.ordered import CHUNK, in_order
+from footfall.scratch import hand_over
+from footfall.sources.epochs import EpochTable, same_keys
+from footfall.streaming.triggers import trigger_from_interval
 
 
 #: Milliseconds of the years 1 to 9999; device clocks outside have no timestamp.
@@ -53,68 +52,115 @@ def stream_sessions(
     )
 
 
-_STATE = "start LONG, last LONG, sn DECIMAL(20,0), day LONG, n LONG"
-_SESSION_ROW = (
-    "projectId STRING, siteId STRING, deviceId STRING, seStartTime LONG, last_event LONG, "
-    "n_events LONG, late_events LONG"
-)
-_ROW_NAMES = [f.split()[0] for f in _SESSION_ROW.split(", ")]
-
-
-def _walk_sessions(timeout_ms: int):
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        start = last = sn = day = None
-        n = late = 0
-        if state.exists:
-            start, last, sn, day, n = state.get
-        out = []
-        for at, number, restarts, on in in_order(chunks, ("eventTime", "sn", "restarts", "day")):
-            if last is not None and (at, number) < (last, sn):
-                late += 1  # older than what the state has seen: left to `corrected_sessions`
-                continue
-            if start is None or restarts or on != day or at - last >= timeout_ms:
-                if start is not None:
-                    out.append((*key, start, last, n, 0))
-                start, n = at, 0
-                if len(out) >= CHUNK:
-                    yield pd.DataFrame(out, columns=_ROW_NAMES)
-                    out = []
-            last, sn, day, n = at, number, on, n + 1
-        state.update((start, last, sn, day, n))
-        out.append((*key, start, last, n, late))
-        yield pd.DataFrame(out, columns=_ROW_NAMES)
-
-    return step
+#: A session never goes over midnight, so what a late event can change lies in its device's day.
+_DAY = (*DEVICE, "day")
+_PLACE = ("at", "sn")
 
 
-def stream_sessions_with_triggers(
-    events: DataFrame, timeout_s: int = SESSION_TIMEOUT_S, tz="UTC", prefix: str = ""
-) -> DataFrame:
-    """Session rows by the full batch rule, restarting events included, from one
-    small state per device. Every micro-batch gives the sessions it touched, so
-    of the rows with one (device, seStartTime) the one with most events holds.
-
-    Use update mode, and bound the rows per trigger at the source: one task puts
-    the events that a device has in one micro-batch in order."""
-    slim = events.where(F.col("eventTime").isNotNull()).select(
-        *DEVICE,
-        "eventTime",
-        F.coalesce("sn", F.lit(0)).cast(SERIAL).alias("sn"),
-        restarts_session().alias("restarts"),
-        day_number("eventTime", tz).alias("day"),
-    )
-    rows = slim.groupBy(*DEVICE).applyInPandasWithState(
-        _walk_sessions(timeout_s * 1000), _SESSION_ROW, _STATE, "update",
-        GroupStateTimeout.NoTimeout,
+def slim_events(events: DataFrame, tz="UTC") -> DataFrame:
+    """What sessions need of the events that have a time."""
+    return events.where(F.col("eventTime").isNotNull()).select(
+        *DEVICE, day_number("eventTime", tz).alias("day"), F.col("eventTime").alias("at"),
+        F.coalesce("sn", F.lit(0)).cast(SERIAL).alias("sn"), restarts_session().alias("restarts"),
     )
-    return rows.withColumn("sessionId", session_id(prefix=prefix))
 
 
-def settled_sessions(rows: DataFrame) -> DataFrame:
-    """Final session rows out of everything the stream has given."""
-    return rows.groupBy(*DEVICE, "sessionId", "seStartTime").agg(
-        F.max("last_event").alias("last_event"), F.max("n_events").alias("n_events")
-    )
+def _fragments(slim: DataFrame) -> DataFrame:
+    """Each event as a piece of a session: where it begins and ends, whether it begins anew."""
+    place = F.struct(*_PLACE)
+    return slim.select(*_DAY, place.alias("first"), place.alias("last"), F.lit(1).cast("bigint").alias("n"), F.col("restarts").alias("opens"))
+
+
+def _to_recut(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored sessions with a fresh restarting event inside, which ends them earlier."""
+    inside = Timeline(
+        stored.select(*_DAY, F.col("first.at").alias("at"), F.col("first.sn").alias("sn"), F.struct("first", "last").alias("session"))
+        .unionByName(fresh.where("restarts").select(*_DAY, *_PLACE), allowMissingColumns=True),
+        _DAY, _PLACE, NO_HOT_KEYS,
+    ).before(__in=F.col("session")).frame()
+    place = F.struct(*_PLACE)
+    hit = F.col("session").isNull() & (place > F.col("__in.first")) & (place <= F.col("__in.last"))
+    return inside.where(hit).select(*_DAY, "__in.*").distinct()
+
+
+def stitch(stored: DataFrame | None, fresh: DataFrame, timeout_s: int, earlier=None) -> DataFrame:
+    """Sessions of the device days that have fresh events (`slim_events`), from those stored.
+
+    A stored session is an interval without a gap of `timeout_s`, so events that fall into it only
+    add to its count, and events near its ends stretch or join it. Only one that restarts sessions
+    can cut a stored one; then that session's own events are needed, which `earlier(days)` reads."""
+    pieces = _fragments(fresh)
+    if stored is not None:
+        days = fresh.select(*_DAY).distinct()
+        stored = stored.alias("s").join(days.alias("d"), same_keys("s", "d", _DAY), "left_semi")
+        if earlier is not None:
+            cut = hand_over(_to_recut(stored, fresh), "recut")
+            if not cut.isEmpty():
+                same = same_keys("s", "c", (*_DAY, "first"))
+                stored = stored.alias("s").join(cut.alias("c"), same, "left_anti")
+                within = same_keys("e", "c", _DAY) & F.struct("e.at", "e.sn").between(F.col("c.first"), F.col("c.last"))
+                events = earlier(cut.select("day"))
+                pieces = pieces.unionByName(_fragments(events.alias("e").join(cut.alias("c"), within).select("e.*")))
+        pieces = pieces.unionByName(stored.select(*pieces.columns))
+    line = Timeline(pieces.withColumns({"at": F.col("first.at"), "sn": F.col("first.sn")}), _DAY, _PLACE)
+    new = F.col("opens") | F.col("reach").isNull() | (F.col("at") - F.col("reach") >= timeout_s * 1000)
+    line = line.fill(peak={"reach": F.col("last.at")}).total(number=new.cast("bigint"))
+    return line.frame().groupBy(*_DAY, "number").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"),
+        F.min_by("opens", F.struct("at", "sn", ~F.col("opens"))).alias("opens"),
+    ).drop("number")
+
+
+def _tables(spark, path: str) -> tuple[EpochTable, EpochTable]:
+    return EpochTable(spark, f"{path}/sessions", _DAY, "day"), EpochTable(spark, f"{path}/events", _DAY, "day")
+
+
+def continue_sessions(path: str, timeout_s: int = SESSION_TIMEOUT_S, tz="UTC", triggers: bool = True):
+    """A `foreachBatch` body that stitches the events of an epoch into the stored sessions. It
+    reads the days that have events, and writes the device days that changed."""
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        sessions, events = _tables(batch.sparkSession, path)
+        fresh = hand_over(slim_events(batch, tz), "fresh")
+        if not triggers:
+            fresh = fresh.withColumn("restarts", F.lit(False))
+        stored = sessions.read(fresh.select("day"), before=epoch)
+        found = stitch(stored, fresh, timeout_s, (lambda days: events.versions(days, before=epoch)) if triggers else None)
+        sessions.write(found, epoch)
+        if triggers:
+            events.write(fresh, epoch)
+
+    return run
+
+
+def _start(events: DataFrame, body, checkpoint: str, interval_s: float):
+    writer = events.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger_from_interval(interval_s)).start()
+
+
+def stream_stitched_sessions(
+    events: DataFrame, path: str, checkpoint: str, timeout_s: int = SESSION_TIMEOUT_S, tz="UTC", interval_s: float = 20,
+):
+    """Start the query that keeps the sessions by silence and calendar day at `path`. Events may
+    come in any order and with any clock: nothing is dropped, and after every epoch the table
+    equals the batch rule without restarting events on all that has come. Events without a time
+    belong to no session. Read it by `read_sessions`."""
+    return _start(events, continue_sessions(path, timeout_s, tz, triggers=False), checkpoint, interval_s)
+
+
+def stream_sessions_with_triggers(
+    events: DataFrame, path: str, checkpoint: str, timeout_s: int = SESSION_TIMEOUT_S, tz="UTC", interval_s: float = 20,
+):
+    """The same by the full batch rule, restarting events included. The events' times are kept
+    beside the sessions, and opened only for the sessions that a late restarting event cuts."""
+    return _start(events, continue_sessions(path, timeout_s, tz), checkpoint, interval_s)
+
+
+def read_sessions(spark, path: str, prefix: str = "") -> DataFrame:
+    rows = _tables(spark, path)[0].read()
+    return rows.select(
+        *DEVICE, F.col("first.at").alias("seStartTime"), F.col("last.at").alias("last_event"), F.col("n").alias("n_events"),
+    ).withColumn("sessionId", session_id(prefix=prefix))
 
 
 def corrected_sessions(sessions: DataFrame, events: DataFrame, **rule) -> DataFrame:

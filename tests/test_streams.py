@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from checks.fixtures import track
 from footfall.operators import context as batch_context
 from footfall.operators import identity, sessions as batch_sessions
+from footfall.operators.filters import not_opted_out, sample_events
 from footfall.operators.timeline import Timeline
 from footfall.scratch import new_dir
 from footfall.sources import sinks
@@ -51,16 +52,57 @@ def test_session_windows_on_a_plain_table(table):
     assert rows_of(got, "deviceId", "seStartTime", "n_events") == rows_of(want, "deviceId", "seStartTime", "n_events")
 
 
-def test_sessions_with_restarting_events(spark, files, table):
-    rows = sessions.stream_sessions_with_triggers(source(spark, files))
-    got = sessions.settled_sessions(triggers.run_available(rows, new_dir(spark, "s"), "update"))
-    want = batch_sessions.sessions_per_device(table)
+def stitched(spark, stream, restarts, **rule):
+    path = new_dir(spark, "sessions")
+    start = sessions.stream_sessions_with_triggers if restarts else sessions.stream_stitched_sessions
+    start(stream, path, new_dir(spark, "checkpoint"), interval_s=-1, **rule).awaitTermination()
+    return sessions.read_sessions(spark, path)
+
+
+@pytest.mark.parametrize("restarts", [False, True])
+def test_stitched_sessions(spark, files, table, restarts):
+    got = stitched(spark, source(spark, files), restarts)
+    want = batch_sessions.sessions_per_device(table, triggers=restarts)
     names = ["siteId", "deviceId", "seStartTime", "sessionId", "last_event", "n_events"]
     assert rows_of(got, *names) == rows_of(want, *names)
 
 
+@pytest.mark.parametrize("restarts", [False, True])
+def test_shuffled_arrival_equals_the_batch(spark, table, restarts):
+    """Rows dealt to four epochs by a hash of their number, so that most of them are late."""
+    path, want = new_dir(spark, "sessions"), batch_sessions.sessions_per_device(table, timeout_s=6 * 3600, triggers=restarts)
+    body = sessions.continue_sessions(path, 6 * 3600, triggers=restarts)
+    for epoch in (0, 1, 1, 2, 3):  # one is replayed
+        body(table.where(F.pmod(F.xxhash64("sn"), F.lit(4)) == epoch), epoch)
+    names = ["siteId", "deviceId", "seStartTime", "sessionId", "last_event", "n_events"]
+    assert rows_of(sessions.read_sessions(spark, path), *names) == rows_of(want, *names)
+
+
+def test_a_late_event_joins_two_sessions_and_a_late_restart_cuts_one(spark):
+    path = new_dir(spark, "sessions")
+    body = sessions.continue_sessions(path, 1800)
+
+    def now():
+        rows = sessions.read_sessions(spark, path)
+        return rows_of(rows.select(((F.col("seStartTime") - DAY) / 1000).cast("int"), ((F.col("last_event") - DAY) / 1000).cast("int"), "n_events"))
+
+    body(events(spark, (DAY, "a"), (DAY + 60_000, "b"), (DAY + 2_400_000, "c")), 0)
+    assert now() == [(0, 60, 2), (2400, 2400, 1)]
+    body(events(spark, (DAY + 1_000_000, "d", {"sn": 9})), 1)
+    assert now() == [(0, 2400, 4)]
+    body(events(spark, (DAY + 30_000, "openChannel", {"sn": 10})), 2)
+    assert now() == [(0, 0, 1), (30, 2400, 4)]
+    body(events(spark, (DAY + 40_000, "e", {"sn": 11}), (DAY + 86_400_000, "next", {"sn": 12})), 3)
+    assert now() == [(0, 0, 1), (30, 2400, 5), (86400, 86400, 1)]
+    # the day before is not opened for the next day's events
+    files = sessions._tables(spark, path)[0].versions(spark.sql("SELECT 19724 AS day")).inputFiles()
+    assert len(files) == 1
+
+
 def test_context(spark, files, table):
-    got = triggers.run_available(context.stream_context(source(spark, files)), new_dir(spark, "c"))
+    path = new_dir(spark, "c")
+    context.stream_context(source(spark, files), path, new_dir(spark, "checkpoint"), -1).awaitTermination()
+    got = context.read_context(spark, path)
     line = batch_context.page_context(batch_context.attribute_campaign(Timeline(table)))
     line = identity.carry_user_property(identity.carry_user(identity.carry_registration(line)))
     names = ["deviceId", "sn", "url", "title", "referrer", "utm", "pushContent", "userId", "userProperty", "registrationID"]
@@ -68,20 +110,27 @@ def test_context(spark, files, table):
     assert got.where("late").count() == 0
 
 
+def test_context_survives_a_replay_and_compaction(spark, files, table, monkeypatch):
+    monkeypatch.setattr(context, "COMPACT", 2)
+    path = new_dir(spark, "c")
+    body = context.continue_context(path)
+    parts = [table.where(F.col("eventTime").between(DAY + a * 24 * HOUR, DAY + b * 24 * HOUR - 1)) for a, b in ((0, 8), (8, 20), (20, 400))]
+    for epoch in (0, 1, 1, 2, 2):
+        body(parts[epoch], epoch)
+    line = identity.carry_user(batch_context.page_context(batch_context.attribute_campaign(Timeline(table)))).frame()
+    names = ["deviceId", "sn", "url", "referrer", "utm", "userId"]
+    assert rows_of(context.read_context(spark, path), *names) == rows_of(line, *names)
+    assert context._state_table(spark, path).read().count() == table.select("projectId", "siteId", "deviceId").distinct().count()
+
+
 def test_late_events_are_kept_and_marked(spark):
-    path = new_dir(spark, "source")
+    path = new_dir(spark, "c")
+    body = context.continue_context(path)
     login = {"userId": "u1"}
-    events(spark, (DAY + 5, "login", login), (DAY + 6, "a")).coalesce(1).write.mode("append").parquet(path)
-    events(spark, (DAY + 1, "old", {"sn": 9}), (DAY + 7, "b", {"sn": 10})).coalesce(1).write.mode("append").parquet(path)
-    rows = context.stream_context(source(spark, path))
-    got = triggers.run_available(rows, new_dir(spark, "c"))
-    assert rows_of(got, "eventName", "userId", "late") == [
+    body(events(spark, (DAY + 5, "login", login), (DAY + 6, "a")), 0)
+    body(events(spark, (DAY + 1, "old", {"sn": 9}), (DAY + 7, "b", {"sn": 10})), 1)
+    assert rows_of(context.read_context(spark, path), "eventName", "userId", "late") == [
         ("a", "u1", False), ("b", "u1", False), ("login", "u1", False), ("old", None, True)]
-    rows = sessions.stream_sessions_with_triggers(source(spark, path))
-    got = triggers.run_available(rows, new_dir(spark, "s"), "update")
-    assert got.agg(F.sum("late_events")).first()[0] == 1
-    (settled,) = sessions.settled_sessions(got).collect()
-    assert settled.n_events == 3
 
 
 def test_dedupe(spark, table):
@@ -112,17 +161,20 @@ _SESSION = ["deviceId", "seStartTime", "sessionId", "last_event", "n_events"]
 
 
 @pytest.mark.parametrize("restarts", [False, True])
-def test_late_and_misclocked_events_are_put_right(spark, disordered, restarts):
+def test_late_and_misclocked_events_are_placed(spark, disordered, restarts):
     stored = scan_events(spark, disordered).where("eventTime < 10000000000000000")
     stream = source(spark, disordered).where("eventTime < 10000000000000000")
-    if restarts:
-        rows = triggers.run_available(sessions.stream_sessions_with_triggers(stream), new_dir(spark, "s"), "update")
-        rows = sessions.settled_sessions(rows)
-    else:
-        rows = triggers.run_available(sessions.stream_sessions(stream, ahead="1000 days"), new_dir(spark, "s"))
     want = batch_sessions.sessions_per_device(stored, triggers=restarts)
+    assert rows_of(stitched(spark, stream, restarts), *_SESSION) == rows_of(want, *_SESSION)
+
+
+def test_windows_are_put_right(spark, disordered):
+    stored = scan_events(spark, disordered).where("eventTime < 10000000000000000")
+    stream = source(spark, disordered).where("eventTime < 10000000000000000")
+    rows = triggers.run_available(sessions.stream_sessions(stream, ahead="1000 days"), new_dir(spark, "s"))
+    want = batch_sessions.sessions_per_device(stored, triggers=False)
     assert rows_of(rows, *_SESSION) != rows_of(want, *_SESSION)
-    got = sessions.corrected_sessions(rows, stored, triggers=restarts)
+    got = sessions.corrected_sessions(rows, stored, triggers=False)
     assert rows_of(got, *_SESSION) == rows_of(want, *_SESSION)
 
 
@@ -155,6 +207,37 @@ def test_fan_out_stream(spark, files, table):
     assert spark.read.parquet(old).count() == table.count() - skipped
 
 
+def test_fan_out_counts_visits_without_the_history(spark, table):
+    from footfall.plans.rebuild import legacy_table
+    from footfall.sources.sinks import fan_out
+
+    new, old = new_dir(spark, "new"), new_dir(spark, "old")
+    out = table.select("projectId", "siteId", "deviceId").distinct().orderBy("deviceId").limit(2)
+    cuts = [0, DAY + 8 * 24 * HOUR + 7 * HOUR, DAY + 20 * 24 * HOUR, 10**14]
+    parts = [table.where(F.col("eventTime").between(a, b - 1)) for a, b in zip(cuts, cuts[1:])]
+    for epoch in (0, 1, 1, 2):
+        fan_out(parts[epoch], new, old, epoch, opted_out=out, rate=60)
+    kept = sample_events(not_opted_out(table, out), 60)
+    names = ["idsite", "_id", "cdt", "e_a", "cvar", "new_visit", "_idvc", "_viewts", "_idts"]
+    assert rows_of(spark.read.parquet(old), *names) == rows_of(legacy_table(kept), *names)
+    assert spark.read.parquet(new).count() == table.count()
+
+
+def test_users_are_attached_over_the_edge_of_runs(spark, table):
+    cuts = [0, DAY + 8 * 24 * HOUR + 7 * HOUR, DAY + 20 * 24 * HOUR, 10**14]
+    held, settled = None, []
+    for a, b in zip(cuts, cuts[1:]):
+        part = table.where(F.col("eventTime").between(a, b - 1))
+        done, held = identity.backfill_between(part, held, 36_000)
+        settled.append(done)
+    got = settled[0].unionByName(settled[1]).unionByName(settled[2]).unionByName(held)
+    want = identity.backfill_user(table, 36_000)
+    assert rows_of(got, "deviceId", "sn", "userId") == rows_of(want, "deviceId", "sn", "userId")
+    assert 0 < held.count() < table.count() / 2
+    done, rest = identity.backfill_between(table.limit(0), held, 36_000, until_ms=10**14)
+    assert rest.isEmpty() and done.count() == held.count()
+
+
 def test_default_source_is_bounded(spark, files, table):
     rows = stream_events(spark, files)
     assert triggers.run_available(rows, new_dir(spark, "b")).count() == table.count()
