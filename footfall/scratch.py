@@ -18,9 +18,11 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def hand_over(df: DataFrame, label: str) -> DataFrame:
+def hand_over(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """The rows by way of a table in the shared folder: computed once, columnar,
-    and still there when an executor is lost."""
+    and still there when an executor is lost. `by` names the last column, to keep its values
+    in folders of their own."""
     path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
