@@ -9,10 +9,13 @@ Tokens are words by digest: the most frequent ones of the whole corpus have ids
 in the network, the others share its hash buckets, and a word's probability there is that of
 its bucket times its share of the bucket's count. The counts of all words stay a table, which
 is joined to the tokens by digest. The counts and the training cover every token of every
-document. Training is data parallel: the documents are dealt into `rounds` by a hash,
-in each round every task trains a copy of the network on its part of them in numpy, and the
+document. Texts become ids once, in a table that training and scoring read. Training is data
+parallel: the documents are dealt by a hash into `rounds`, and those of a round into parts of
+about PART tokens. A copy of the network is trained on each part in numpy, and the
 copies are averaged by tokens, block by block and in two shuffled steps, so only the averaged
 network (some 40,000 numbers), the most frequent words and the buckets' sums ever reach the driver.
+Parts and their order hang on the rows and their number alone, so scores do not change with
+the files, partitions or machines that the rows come from.
 """
 
 import numpy as np
@@ -31,12 +34,14 @@ BUCKETS = 64
 TOP = SIZE - BUCKETS
 DIM = 16
 #: Tokens of a training or scoring step.
-STEP = 4096
+STEP = 8192
 RATE = 0.1
 #: Log counts are summed as whole numbers of this fraction, so that no order of rows matters.
 UNITS = 1 << 32
 #: Numbers of a parameter block, and how many partial averages a block has.
 BLOCK, PARTIALS = 4096, 64
+#: Tokens that one copy of the network is trained on in a round.
+PART = 2_000_000
 #: Distinct words that a task holds before it passes their counts on.
 HELD_WORDS = 500_000
 
@@ -214,15 +219,37 @@ def vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return digests[order], order.astype(np.int64), np.maximum(by_id, 0)
 
 
-def _train(net: np.ndarray, known: np.ndarray, order: np.ndarray):
+def _ids(known: np.ndarray, order: np.ndarray):
+    """The ids of each text's words, and the digests of those that share a bucket."""
     def run(batches):
-        def texts():
-            for batch in batches:
-                for _, data, offsets in slices(batch.column("text")):
-                    digests, at = words(data, offsets)
-                    yield padded(to_ids(digests, known, order), at)
+        for batch in batches:
+            for row, data, offsets in slices(batch.column("text")):
+                digests, at = words(data, offsets)
+                ids = to_ids(digests, known, order)
+                rare = ids >= TOP
+                ends = np.concatenate([[0], np.cumsum(rare)])[at]
+                n = len(at) - 1
+                yield pa.record_batch(
+                    [
+                        batch.column("doc_id").slice(row, n), batch.column("deal").slice(row, n), pa.array(np.diff(at), pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int16))),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(digests[rare].view(np.int64))),
+                    ],
+                    names=["doc_id", "deal", "n_tokens", "ids", "words"],
+                )
+
+    return run
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a batch in a row, and where each text's begin."""
+    at = column.offsets.to_numpy().astype(np.int64)
+    return column.values.to_numpy(zero_copy_only=False)[at[0] : at[-1]].astype(np.int64), at - at[0]
+
 
-        after, tokens = train(net, texts())
+def _train(net: np.ndarray):
+    def run(batches):
+        after, tokens = train(net, (padded(*_flat(batch.column("ids"))) for batch in batches))
         if tokens:
             blocks = [after[a : a + BLOCK] for a in range(0, len(after), BLOCK)]
             yield pa.record_batch(
@@ -250,17 +277,25 @@ def _mean(table: pa.Table) -> pa.Table:
 
 
 def fit(docs: DataFrame, rounds: int = 4):
-    """The network, its vocabulary and the table of all words' counts, trained on every token
-    of `docs` (doc_id, text) once."""
+    """The network, trained on every token of `docs` (doc_id, text) once; the counts of its ids,
+    the table of all words' counts, and the texts as ids (doc_id, deal, n_tokens, ids, words, row)."""
     counts = word_counts(docs.select("text"))
     known, order, by_id = vocabulary(counts)
     net = initial(by_id).astype(np.float32)
+    dealt = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("deal"), "text")
+    texts = hand_over(
+        dealt.mapInArrow(
+            _ids(known, order), "doc_id BIGINT, deal BIGINT, n_tokens BIGINT, ids ARRAY<SMALLINT>, words ARRAY<BIGINT>"
+        ).withColumns({"row": F.monotonically_increasing_id(), "turn": F.pmod("deal", F.lit(rounds)).cast("int")}),
+        "lm-ids", by="turn",
+    )
+    parts = max(1, -(-int(by_id.sum()) // (rounds * PART)))
     kind = "block INT, part INT, tokens DOUBLE, numbers ARRAY<DOUBLE>"
-    turn = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(rounds))
     for i in range(rounds):
-        copies = docs.where(turn == i).select("text").mapInArrow(
-            _train(net, known, order), "block INT, tokens DOUBLE, numbers ARRAY<DOUBLE>"
-        )
+        # ids only, dealt by the row's own hash and trained on in its order
+        turn = texts.where(F.col("turn") == i).select("deal", "ids")
+        turn = turn.repartition(parts, F.expr(f"deal div {rounds}")).sortWithinPartitions("deal")
+        copies = turn.mapInArrow(_train(net), "block INT, tokens DOUBLE, numbers ARRAY<DOUBLE>")
         part = F.pmod(F.spark_partition_id(), F.lit(PARTIALS)).cast("int")
         copies = copies.select("block", part.alias("part"), "tokens", "numbers")
         halves = copies.groupBy("block", "part").applyInArrow(_mean, kind)
@@ -268,32 +303,23 @@ def fit(docs: DataFrame, rounds: int = 4):
         if not means:
             continue
         net = np.concatenate([np.array(means[b]) for b in sorted(means)]).astype(np.float32)
-    return (net, known, order, by_id), counts
+    return (net, by_id), counts, texts
 
 
 def _score(model):
     def run(batches):
-        flat_net, known, order, by_id = model
+        flat_net, by_id = model
         net = unpack(flat_net)
         share = np.zeros(SIZE)  # the part of a word's share that its bucket gives
         share[TOP:] = -np.log(np.maximum(by_id[TOP:], 1))
         for batch in batches:
-            for row, data, offsets in slices(batch.column("text")):
-                digests, at = words(data, offsets)
-                ids = to_ids(digests, known, order)
-                flat, place = padded(ids, at)
-                sums = np.concatenate([[0.0], np.cumsum(log_probs(net, flat, place) + share[ids])])
-                n, rare = np.diff(at), ids >= TOP
-                ends = np.concatenate([[0], np.cumsum(rare)])[at]
-                total = sums[at[1:]] - sums[at[:-1]]
-                yield pa.record_batch(
-                    [
-                        batch.column("doc_id").slice(row, len(n)), pa.array(n, pa.int64()),
-                        pa.array(total),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(digests[rare].view(np.int64))),
-                    ],
-                    names=["doc_id", "n_tokens", "total", "words"],
-                )
+            ids, at = _flat(batch.column("ids"))
+            flat, place = padded(ids, at)
+            sums = np.concatenate([[0.0], np.cumsum(log_probs(net, flat, place) + share[ids])])
+            yield pa.record_batch(
+                [batch.column("doc_id"), batch.column("n_tokens"), batch.column("row"), pa.array(sums[at[1:]] - sums[at[:-1]])],
+                names=["doc_id", "n_tokens", "row", "total"],
+            )
 
     return run
 
@@ -309,18 +335,19 @@ def score(docs: DataFrame, rounds: int = 4) -> DataFrame:
     from a join of (row, word) with the table of counts. Words that occur once add nothing.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    model, counts = fit(rows, rounds)
-    scored = rows.mapInArrow(_score(model), "doc_id BIGINT, n_tokens BIGINT, total DOUBLE, words ARRAY<BIGINT>")
-    scored = hand_over(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    model, counts, texts = fit(rows, rounds)
+    scored = texts.select("doc_id", "n_tokens", "row", "ids").mapInArrow(
+        _score(model), "doc_id BIGINT, n_tokens BIGINT, row BIGINT, total DOUBLE"
+    )
     part = F.round(F.log("n") * UNITS).cast("bigint")
     # the counts grow with the corpus and are never broadcast
     counted = counts.where("n > 1").select("word", part.alias("part")).hint("merge")
     added = (
-        scored.select("row", F.explode("words").alias("word")).join(counted, "word")
+        texts.select("row", F.explode("words").alias("word")).join(counted, "word")
         .groupBy("row").agg(F.sum("part").alias("added"))
     )
     total = F.col("total") + F.coalesce("added", F.lit(0)) / UNITS
-    return scored.drop("words").join(added, "row", "left").select(
+    return scored.join(added, "row", "left").select(
         "doc_id", "n_tokens", F.round(total, 4).alias("log_likelihood"),
         F.when(F.col("n_tokens") > 0, F.round(total / F.col("n_tokens"), 6)).alias("mean_log_prob"),
     )
