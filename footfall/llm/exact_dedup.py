@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm.tables import digest, hand_over, light, new_dir
+from footfall.llm.tables import digest, hand_over, new_dir, only_chosen
 
 INDEX_COLUMNS = "digest BINARY, keep_id BIGINT"
 
@@ -83,14 +83,7 @@ def open_index(spark: SparkSession) -> DigestIndex:
 
 
 def keep_first_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns.
-
-    The rows to go are anti-joined by (id, digest): they are fewer than those that stay.
-    """
-    gone = dedup(docs, index).where(~F.col("kept")).select(
-        F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__digest")
-    ).distinct()
-    gone = hand_over(gone, "copies")
-    gone = light(gone, gone.count())
-    same = F.col("__id").eqNullSafe(docs["doc_id"].cast("bigint")) & (F.col("__digest") == digest())
-    return docs.join(gone, same, "left_anti")
+    """The rows of `docs` that stay, with all their columns: one of each text, as `dedup` decides;
+    of rows that repeat the id too, or that all have none, any one."""
+    rows = hand_over(dedup(docs, index).select("doc_id", F.unhex("text_sha256").alias("digest"), "kept"), "copies")
+    return only_chosen(docs, rows.select("doc_id", "digest"), rows.where("kept").select("doc_id", "digest"), "digest")

@@ -27,15 +27,12 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from footfall.llm.components import components
 from footfall.llm.shingles import shingle_sets, slices
 from footfall.llm.sketches import bands, sketch
-from footfall.llm.tables import hand_over, light, text_or_empty
+from footfall.llm.tables import hand_over, light, only_chosen, text_or_empty
 
 #: Centres of a band in the first round after its smallest member, and how much their number
 #: grows from round to round.
 FIRST, GROWTH = 8, 8
 
-#: Ids made for rows without one lie above any id of a table.
-MADE_ID = 1 << 62
-
 
 def band_count(threshold: float, rows: int, miss: float) -> int:
     return math.ceil(math.log(miss) / math.log(1 - threshold**rows))
@@ -47,15 +44,16 @@ def _signatures(width: int, rows: int, count: int):
             for at, data, offsets in slices(batch.column("text")):
                 sets = shingle_sets(data, offsets, width)
                 keys = bands(sketch(sets, rows * count), rows).view(np.int64)
+                nodes = b"".join(hashlib.sha256(s.tobytes()).digest()[:8] for s in sets)
                 yield pa.record_batch(
                     [
-                        batch.column("node").slice(at, len(sets)),
                         batch.column("doc_id").slice(at, len(sets)),
+                        batch.column("text_id").slice(at, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([hashlib.sha256(s.tobytes()).digest()[:16] for s in sets], pa.binary()),
+                        pa.array(np.frombuffer(nodes, np.int64)),
                         pa.array([k if len(s) else [] for k, s in zip(keys, sets)], pa.list_(pa.int64())),
                     ],
-                    names=["node", "doc_id", "n_shingles", "set_id", "bands"],
+                    names=["doc_id", "text_id", "n_shingles", "node", "bands"],
                 )
 
     return run
@@ -74,20 +72,29 @@ def _sets(width: int):
     return run
 
 
-def _with_node(docs: DataFrame) -> DataFrame:
-    made = F.lit(MADE_ID) + F.xxhash64(text_or_empty()).bitwiseAND(F.lit(MADE_ID - 1))
-    doc_id = F.col("doc_id").cast("bigint")
-    return docs.select(F.coalesce(doc_id, made).alias("node"), doc_id.alias("doc_id"), text_or_empty().alias("text"))
+def _with_text_id(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_id"), text_or_empty().alias("text")
+    )
+
 
+def _full_sets(nodes: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Full sets of some classes (node, shingles), from the text of one row each. A row that is
+    repeated gives its set once."""
+    needed = classes.join(nodes, "node", "left_semi").select("node", "doc_id", "text_id")
+    needed = hand_over(needed, "near-needed")
+    needed = light(needed, needed.count()).alias("n")
+    same = F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("t.text_id") == F.col("n.text_id"))
+    some = texts.alias("t").join(needed, same).select("node", "text")
+    sets = some.mapInArrow(_sets(width), "node BIGINT, shingles ARRAY<BIGINT>")
+    return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (u, v) whose full sets reach the threshold."""
     pairs = hand_over(pairs.distinct(), "near-pairs")
-    needed = hand_over(
-        pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "near-needed"
-    )
-    some = texts.join(light(needed, needed.count()), "node", "left_semi").select("node", "text")
-    sets = hand_over(some.mapInArrow(_sets(width), "node BIGINT, shingles ARRAY<BIGINT>"), "near-sets")
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    sets = hand_over(_full_sets(nodes, classes, texts, width), "near-sets")
     a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
@@ -112,21 +119,28 @@ def near_duplicates(
     null component_id and keeps all its rows. Rows that repeat an id are linked by their own
     texts. An empty table gives an empty result; other columns are ignored.
     """
+    return _decided(docs, percent, width, rows, miss).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _decided(docs: DataFrame, percent: int, width: int = 5, rows: int = 5, miss: float = 1e-6) -> DataFrame:
+    """`near_duplicates` with `text_id`, a number for each row, and the label of its component,
+    null for rows that are alone."""
     count = band_count(percent / 100, rows, miss)
-    texts = _with_node(docs)
+    texts = _with_text_id(docs)
     signed = hand_over(
         texts.mapInArrow(
             _signatures(width, rows, count),
-            "node BIGINT, doc_id BIGINT, n_shingles BIGINT, set_id BINARY, bands ARRAY<BIGINT>",
-        ),
+            "doc_id BIGINT, text_id BIGINT, n_shingles BIGINT, node BIGINT, bands ARRAY<BIGINT>",
+        ).withColumn("row", F.monotonically_increasing_id()),
         "near-signatures",
     )
     filled = signed.where("n_shingles > 0")
+    # rows with equal sets are one class, a node; one of its rows stands for it
     heads = hand_over(
-        filled.groupBy("set_id").agg(F.min("node").alias("head"), F.max("node").alias("other")), "near-classes"
+        filled.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("low"), F.count("*").alias("copies")),
+        "near-classes",
     )
-    # each class once, by its smallest row
-    classes = filled.join(heads.select("set_id", F.col("head").alias("node")), ["set_id", "node"])
+    classes = filled.join(heads.select("row"), "row")
     entries = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band")).distinct()
     shared = entries.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("centre")).where("c > 1")
     shared = hand_over(shared, "near-bands")
@@ -134,7 +148,7 @@ def near_duplicates(
 
     centres = members.where("node = centre").select("band", F.col("node").alias("u"), F.col("n").alias("m"))
     pairs = members.where("node > centre").join(centres, "band").where(_comparable(percent))
-    links = _confirmed(pairs.select("u", F.col("node").alias("v")), texts, width, percent)
+    links = _confirmed(pairs.select("u", F.col("node").alias("v")), classes, texts, width, percent)
     links = hand_over(links, "near-links")
     labels = hand_over(components(links), "near-labels")
 
@@ -145,28 +159,43 @@ def near_duplicates(
         if members.isEmpty():
             break
         if sets is None:
-            sets = hand_over(_full_sets(members, classes, texts, width), "near-sets")
+            nodes = members.select("node").distinct()
+            sets = hand_over(
+                _full_sets(nodes, classes, texts, width).join(classes.select("node", "bands"), "node"), "near-sets"
+            )
         centres = hand_over(_centres(members, step), "near-centres")
         rest = hand_over(members.join(centres.select("band", "node"), ["band", "node"], "left_anti"), "near-rest")
         fresh = hand_over(_compare(centres, rest, sets, percent), "near-links")
         if not fresh.isEmpty():
-            stars = labels.where("node <> label").select(F.col("node").alias("u"), F.col("label").alias("v"))
-            labels = hand_over(components(stars.unionByName(fresh)), "near-labels")
+            labels = hand_over(_relabelled(labels, fresh), "near-labels")
         rest, step = rest.select("band", "node", "n"), step * GROWTH
 
-    # rows take the label of the head of their set; only sets with copies or links are joined
-    found = heads.join(labels, F.col("head") == F.col("node"), "left").select(
-        "set_id", "head", "other", F.coalesce("label", "head").alias("label")
+    # rows take the component of their class; only classes with copies or links are joined
+    named = heads.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    low = named.groupBy("label").agg(F.min("low").alias("component_id"), F.count("*").alias("classes"))
+    found = named.join(low, "label").where("copies > 1 OR classes > 1").select("node", "label", "component_id")
+    found = hand_over(found.withColumn("__found", F.lit(True)), "near-found")
+    rows_ = signed.join(found, "node", "left").withColumn(
+        "component_id", F.when(F.col("__found"), F.col("component_id")).otherwise(F.col("doc_id"))
     )
-    found = hand_over(found.where("head <> other OR label <> head").select("set_id", "label"), "near-found")
-    named = signed.join(found, "set_id", "left").withColumn("label", F.coalesce("label", "node"))
-    named = named.withColumn("component_id", F.when(F.col("label") < MADE_ID, F.col("label")))
-    return named.select(
-        "doc_id", "n_shingles", "component_id",
+    return rows_.select(
+        "doc_id", "text_id", "n_shingles", "component_id",
         (F.col("component_id").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
+        "label", "row",
     )
 
 
+def _relabelled(labels: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Labels after new links: what is searched again is the graph of labels that they join."""
+    a, b = labels.alias("a"), labels.alias("b")
+    joined = fresh.join(a, F.col("u") == F.col("a.node"), "left").join(b, F.col("v") == F.col("b.node"), "left")
+    pairs = joined.select(F.coalesce("a.label", "u").alias("u"), F.coalesce("b.label", "v").alias("v")).distinct()
+    merged = hand_over(components(pairs), "near-merged").select(F.col("node").alias("was"), F.col("label").alias("now"))
+    old = labels.join(merged, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label"))
+    new = merged.join(labels, F.col("was") == F.col("node"), "left_anti")
+    return old.unionByName(new.select(F.col("was").alias("node"), F.col("now").alias("label")))
+
+
 def _split_bands(rest: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the bands whose members lie in more than one component, with labels, and
     with how many of the band share the label."""
@@ -184,15 +213,6 @@ def _centres(members: DataFrame, step: int) -> DataFrame:
     return members.withColumn("place", place).where(F.col("place") <= step)
 
 
-def _full_sets(members: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Bands and full sets of the classes in split bands, one row each."""
-    needed = hand_over(members.select("node").distinct(), "near-needed")
-    needed = light(needed, needed.count())
-    some = texts.join(needed, "node", "left_semi").select("node", "text")
-    sets = some.mapInArrow(_sets(width), "node BIGINT, shingles ARRAY<BIGINT>")
-    return classes.join(needed, "node", "left_semi").select("node", "bands").join(sets, "node")
-
-
 def _compare(centres: DataFrame, rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the centres of a band and its members in other components. A pair is
     compared in the first band it shares, inside the join, so pairs that are no links are
@@ -212,8 +232,11 @@ def _compare(centres: DataFrame, rest: DataFrame, sets: DataFrame, percent: int)
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: one document of each component."""
-    gone = near_duplicates(docs, percent).where(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    gone = hand_over(gone, "near-gone")
-    gone = light(gone.where("__id IS NOT NULL"), gone.count())
-    return docs.join(gone, docs["doc_id"].cast("bigint") == F.col("__id"), "left_anti")
+    """The rows of `docs` that stay, with all their columns: one row of each component, that with
+    the smallest id (of equal ids any one; a null id only where there is no other). Rows without
+    shingles all stay. Decisions are by id and text, so a repeated id does not mix rows."""
+    rows = hand_over(_decided(docs, percent), "near-decided")
+    grouped = rows.where("label IS NOT NULL")
+    first = grouped.where("doc_id <=> component_id").groupBy("label").agg(F.min("row").alias("row"))
+    chosen = grouped.join(first, ["label", "row"]).select("doc_id", "text_id")
+    return only_chosen(docs, grouped.select("doc_id", "text_id"), chosen, "text_id")

@@ -131,9 +131,9 @@ def fit(
     return Classifier(lexicon, weights)
 
 
-def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
+def posteriors(docs: DataFrame, model: Classifier, keep=()) -> DataFrame:
     """doc_id, n_tokens and p_<domain>, which sum to one."""
-    rows = features(docs, model.lexicon)
+    rows = features(docs, model.lexicon, keep)
     scores = []
     for bias, *w in model.weights:
         if bias == -math.inf:
@@ -145,7 +145,7 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     rows = rows.withColumn("top", top)
     rows = rows.withColumns({f"e_{k}": F.exp(F.col(f"e_{k}") - F.col("top")) for k in DOMAINS})
     total = sum((F.col(f"e_{k}") for k in DOMAINS), F.lit(0.0))
-    return rows.select("doc_id", "n_tokens", *[(F.col(f"e_{k}") / total).alias(f"p_{k}") for k in DOMAINS])
+    return rows.select(*keep, "doc_id", "n_tokens", *[(F.col(f"e_{k}") / total).alias(f"p_{k}") for k in DOMAINS])
 
 
 def _rate(steps: list[list[float]]) -> Column:
@@ -206,7 +206,7 @@ def fit_rates(scored: DataFrame, weights: dict[str, float], budget: float, steps
 def mix(
     docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None,
     budget: float = 1.0,
-    sample_rows: int = 20_000, steps: int = 60, tolerance: float = 2e-3,
+    sample_rows: int = 20_000, steps: int = 60, tolerance: float = 2e-3, keep=(),
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, p_<domain>, rate, copies.
 
@@ -217,12 +217,12 @@ def mix(
     target cannot be met, the rates are those with the least squared distance found.
     """
     model = fit(docs, labels, sample_rows)
-    scored = hand_over(posteriors(docs, model), "mix-posteriors")
+    scored = hand_over(posteriors(docs, model, keep), "mix-posteriors")
     past, _ = fit_rates(scored, weights or TARGETS, budget, steps, tolerance)
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mix")), F.lit(1_000_000)) / 1_000_000.0
     rated = scored.withColumn("rate", _rate(past))
     return rated.select(
-        "doc_id", "n_tokens", *[F.round(f"p_{k}", 9).alias(f"p_{k}") for k in DOMAINS],
+        *keep, "doc_id", "n_tokens", *[F.round(f"p_{k}", 9).alias(f"p_{k}") for k in DOMAINS],
         F.round("rate", 9).alias("rate"),
         F.floor(F.col("rate") + draw).cast("bigint").alias("copies"),
     )
@@ -230,10 +230,15 @@ def mix(
 
 def copies_of(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, budget: float = 1.0) -> DataFrame:
     """The rows of `docs`, each as often as its `copies` say, with all their columns. Most have
-    one; only the others' ids are joined."""
-    plan = mix(docs, labels, weights, budget=budget)
-    other = plan.where("copies <> 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")).distinct()
+    one; only the others' ids are joined, with a digest of the text, so rows that repeat an id, or
+    have none, get what their own text is given."""
+    taken = {c.lower() for c in docs.columns}
+    kind = next(n for n in (f"__text{i}" for i in range(99)) if n not in taken)
+    named = docs.withColumn(kind, F.xxhash64(text_or_empty()))
+    plan = mix(named, labels, weights, budget=budget, keep=[kind])
+    other = plan.where("copies <> 1").select(F.col("doc_id").alias("o_id"), F.col(kind).alias("o_text"), F.col("copies").alias("o_copies")).distinct()
     other = hand_over(other, "mix-copies")
-    joined = docs.join(light(other, other.count()), docs["doc_id"].cast("bigint") == F.col("__id"), "left")
-    times = F.coalesce("__copies", F.lit(1)).cast("int")
-    return joined.withColumn("__n", F.explode(F.array_repeat(F.lit(1), times))).select(*[joined[c] for c in docs.columns])
+    same = F.col("r.doc_id").cast("bigint").eqNullSafe(F.col("o.o_id")) & (F.col(f"r.{kind}") == F.col("o.o_text"))
+    joined = named.alias("r").join(light(other, other.count()).alias("o"), same, "left")
+    times = F.coalesce("o.o_copies", F.lit(1)).cast("int")
+    return joined.withColumn("__n", F.explode(F.array_repeat(F.lit(1), times))).select(*[F.col(f"r.{c}") for c in docs.columns])

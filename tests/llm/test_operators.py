@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from footfall.llm import (
@@ -108,6 +109,23 @@ def test_near_duplicates(source, percent):
     assert got == brute_components(given(source), percent)
 
 
+def test_repeated_and_very_large_ids(docs):
+    tail = PROSE + " tail"
+    unique = " ".join(f"u{i}" for i in range(30))
+    big = 1 << 62
+    given_rows = [(3, tail), (5, unique), (5, PROSE), (big + 5, "q " * 9 + unique[:40]), (big + 6, "q " * 9 + unique[:40]), (None, PROSE), (None, "z y x w v u"), (None, "z y x w v u")]
+    got = rows(minhash_dedup.near_duplicates(docs(*given_rows), 80), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == brute_components(given_rows, 80)
+    kept = rows(minhash_dedup.keep_one_of_each(docs(*given_rows)), "doc_id", "text")
+    assert kept == sorted([(3, tail), (5, unique), (big + 5, given_rows[3][1]), (None, "z y x w v u")], key=repr)
+
+
+def test_one_of_equal_rows_stays(spark, docs):
+    given_rows = [(5, "same text"), (5, "same text"), (None, "q"), (None, "q"), (6, "other"), (4, "same text"), (None, None), (7, "")]
+    kept = rows(exact_dedup.keep_first_copies(docs(*given_rows), exact_dedup.open_index(spark)), "doc_id", "text")
+    assert kept == sorted([(5, "same text"), (None, "q"), (6, "other"), (7, "")], key=repr)
+
+
 def test_chain_of_near_duplicates_is_one_component(docs):
     words = [f"w{i}" for i in range(300)]
     chain = []
@@ -261,6 +279,26 @@ def test_training_learns_from_both_sides(spark, docs):
     assert scored > unigram * 0.8
 
 
+def test_numbers_of_one_row_repeated_are_gapless_and_spread(spark):
+    from footfall.llm.tables import numbered
+
+    same = spark.range(100_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'x' AS g", "id % 3 AS h")
+    plain = numbered(same, "n", ["doc_id", "g"])
+    assert plain.agg({"n": "min"}).first()[0] == 0 and plain.agg({"n": "max"}).first()[0] == 99_999
+    assert plain.select("n").distinct().count() == 100_000
+    assert "SinglePartition" not in plain._jdf.queryExecution().executedPlan().toString()
+    inner = numbered(same.withColumn("h", F.when(F.col("h") > 0, F.col("h"))), "n", ["doc_id", "g"], ["h"])
+    found = inner.groupBy("h").agg(F.max("n").alias("top"), F.countDistinct("n").alias("n")).collect()
+    assert len(found) == 3 and all(r.top + 1 == r.n for r in found)
+
+
+def test_scores_do_not_hang_on_partitions(spark):
+    docs = table(spark, SF, "documents")
+    one, many = (rows(lm_scoring.score(docs.repartition(n)), "doc_id", "log_likelihood") for n in (1, 16))
+    assert [r[0] for r in one] == [r[0] for r in many]
+    assert max(abs(a[1] - b[1]) / max(1, abs(a[1])) for a, b in zip(one, many)) < 1e-4
+
+
 def test_scores_of_odd_rows(odd):
     got = {(r.doc_id, r.n_tokens): r for r in lm_scoring.score(odd).collect()}
     assert got[1, 0].log_likelihood == 0 and got[1, 0].mean_log_prob is None
