@@ -7,6 +7,8 @@ from checks.fixtures import LINE_BODY, LINE_ORDER_ID, LINES_SQL, RAW_SQL, TRACK_
 from checks.windows import UP, V1_SQL, _STATE, _VISITS_SQL
 from footfall.operators import commerce, legacy
 from footfall.plans import rebuild
+from footfall.scratch import new_dir
+from footfall.sources.sinks import fan_out
 
 _LANDED_URL = "CASE WHEN k % 20 = 0 THEN url || '&utm_campaign=c' ELSE url END"
 
@@ -144,18 +146,36 @@ def transaction(spark, sf):
     return commerce.parse_transaction(rows).select("o_orderkey", "identifier")
 
 
-@check("plan_legacy_table", f"""WITH {TRACK_SQL}, {LEGACY_SQL},
+LEGACY_TABLE_SQL = f"""WITH {TRACK_SQL}, {LEGACY_SQL},
 landed AS (SELECT * FROM track WHERE eventName NOT IN ('initJPush', 'jPush', 'openChannel')), {V1_SQL}, {_VISITS_SQL}
 SELECT l.event_id, l.siteId AS idsite, l.deviceId AS _id, l.e_a, l.url, {CVAR_SQL.replace("CAST(sn", "CAST(l.sn")} AS cvar,
   strftime(make_timestamp(l.eventTime // 1000 * 1000000), '%Y-%m-%d %H:%M:%S') AS cdt,
   CASE WHEN a.new_visit THEN '1' END AS new_visit, CAST(a.n AS VARCHAR) AS _idvc,
   CAST(b.earlier // 1000 AS VARCHAR) AS _viewts, CAST(b.first_start // 1000 AS VARCHAR) AS _idts
-FROM numbered a JOIN visits b USING (projectId, siteId, deviceId, n) JOIN legacy l ON l.event_id = a.event_id""")
-def legacy_table(spark, sf):
+FROM numbered a JOIN visits b USING (projectId, siteId, deviceId, n) JOIN legacy l ON l.event_id = a.event_id"""
+_LEGACY = ("event_id", "idsite", "_id", "e_a", "url", "cvar", "cdt", "new_visit", "_idvc", "_viewts", "_idts")
+
+
+def _landing(spark, sf):
     rows = track(spark, sf, "event_id", "k", *_STATE, "url", "title", "userId")
     tagged = F.when(F.col("k") % 20 == 0, F.concat("url", F.lit("&utm_campaign=c")))
-    rows = rebuild.legacy_table(rows.withColumn("url", F.coalesce(tagged, "url")))
-    return rows.select("event_id", "idsite", "_id", "e_a", "url", "cvar", "cdt", "new_visit", "_idvc", "_viewts", "_idts")
+    return rows.withColumn("url", F.coalesce(tagged, "url"))
+
+
+@check("plan_legacy_table", LEGACY_TABLE_SQL)
+def legacy_table(spark, sf):
+    return rebuild.legacy_table(_landing(spark, sf)).select(*_LEGACY)
+
+
+@check("snk3_fan_out_visits", LEGACY_TABLE_SQL)
+def fan_out_visits(spark, sf):
+    """Three epochs, each counting visits on from the one before; the last one is replayed."""
+    rows, old = _landing(spark, sf), new_dir(spark, "legacy")
+    cuts = [0, 1704500000000, 1705300000000, 10**14]
+    for epoch in (0, 1, 2, 2):
+        part = rows.where((F.col("eventTime") >= cuts[epoch]) & (F.col("eventTime") < cuts[epoch + 1]))
+        fan_out(part, new_dir(spark, "current"), old, epoch)
+    return spark.read.parquet(old).select(*_LEGACY)
 
 
 @check("plan_legacy_orders", f"""WITH {LINES_SQL},

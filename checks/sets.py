@@ -9,6 +9,8 @@ from checks.legacy import mapped
 from checks.windows import _STATE
 from footfall.operators import bridge, delivery
 from footfall.operators.bodies import parse_h5
+from footfall.operators.legacy import legacy_request_time
+from footfall.functions.clock import utc_text
 
 _HOST = """SELECT event_id, 'p1' AS projectId, 's1' AS siteId, CASE WHEN k % 3 = 0 THEN 1 END AS dupFlag,
   CASE WHEN k % 3 = 0 THEN 'p2' ELSE 'p1' END AS sourceProjectId FROM track WHERE k % 11 <> 0"""
@@ -43,6 +45,25 @@ def unify_protocols(spark, sf):
     return rows.groupBy("protocol", name.alias("name")).agg(F.count("*").alias("n"))
 
 
+_SECOND = "strftime(make_timestamp(eventTime // 1000 * 1000000), '%Y-%m-%d %H:%M:%S')"
+
+
+@check("set3_unpaired_protocols", f"""WITH {TRACK_SQL},
+v1 AS (SELECT deviceId, {_SECOND} AS cdt, eventName AS name FROM track
+  WHERE eventName NOT IN ('initJPush', 'jPush', 'openChannel') AND k % 7 <> 0),
+v2 AS (SELECT deviceId, {_SECOND} AS cdt, eventName AS name FROM track WHERE k % 5 <> 0
+  UNION ALL SELECT deviceId, {_SECOND}, eventName FROM track WHERE k % 5 = 1)
+SELECT 'v1' AS protocol, * FROM (FROM v1 EXCEPT ALL FROM v2) UNION ALL SELECT 'v2', * FROM (FROM v2 EXCEPT ALL FROM v1)""")
+def unpaired_protocols(spark, sf):
+    """A seventh of the one side and a fifth of the other are lost, some of the other are doubled."""
+    keys = ("deviceId", "cdt", "name")
+    name = F.coalesce("e_a", F.when(F.col("search").isNotNull(), "search"))
+    v1 = legacy_request_time(mapped(spark, sf).where("k % 7 <> 0")).select("deviceId", "cdt", name.alias("name"))
+    v2 = track(spark, sf, "k", *_STATE).withColumn("cdt", utc_text("eventTime")).withColumn("name", F.col("eventName"))
+    v2 = v2.where("k % 5 <> 0").unionByName(v2.where("k % 5 = 1")).select(*keys)
+    return bridge.unpaired(v1, v2, keys).select("protocol", *keys)
+
+
 @check("set4_dedupe_events", f"""WITH {TRACK_SQL} SELECT event_id, eventName,
   CASE WHEN k % 3 = 0 THEN 'late' ELSE userId END AS userId FROM track""")
 def dedupe_events(spark, sf):

@@ -7,7 +7,8 @@ from checks.aggregates import SESSION_TABLE_SQL
 from checks.fixtures import DEVICE_SQL, TRACK_SQL, as_track, track
 from checks.windows import AHEAD, BEFORE, CAMPAIGN_SQL, UP, W, _STATE, sessions_sql
 from footfall.scratch import new_dir
-from footfall.sources.sinks import debug_sink as debug_sink_
+from footfall.sources.events import stream_events
+from footfall.sources.sinks import debug_sink as debug_sink_, read_events
 from footfall.streaming import context, flush, sessions, triggers
 
 
@@ -50,12 +51,20 @@ def stream_sessions_with_triggers(spark, sf):
     return sessions.read_sessions(spark, path)
 
 
-@check("str4_stream_dedupe", f"WITH {TRACK_SQL} SELECT event_id, eventName FROM track")
+@check("str4_stream_dedupe", f"""WITH {TRACK_SQL} SELECT siteId, deviceId, CAST(sn AS BIGINT) AS sn, eventName,
+  CASE WHEN k % 3 = 0 THEN 'late' ELSE userId END AS userId, CAST(CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS version
+FROM track""")
 def stream_dedupe(spark, sf):
-    names = ("event_id", *_STATE, "url", "title")
-    twice = stream(spark, sf, *names).unionByName(stream(spark, sf, *names))
-    rows = sessions.stream_dedupe(twice).select("event_id", "eventName")
-    return triggers.run_available(rows, new_dir(spark, "dedupe"))
+    """Two epochs: all events, then a third of them again, now with a user."""
+    source, path = new_dir(spark, "copies"), new_dir(spark, "best")
+    rows = track(spark, sf, "k", *_STATE, "url", "title", "userId")
+    again = rows.where("k % 3 = 0")
+    first = rows.withColumn("userId", F.when(F.col("k") % 3 != 0, F.col("userId")))
+    for part in (first, again.withColumn("userId", F.lit("late"))):
+        part.drop("k").coalesce(1).write.mode("append").parquet(source)
+    files = stream_events(spark, source, files_per_trigger=1)
+    flush.stream_best_copies(files, path, new_dir(spark, "stream"), -1).awaitTermination()
+    return read_events(spark, path).select("siteId", "deviceId", F.col("sn").cast("bigint").alias("sn"), "eventName", "userId", "version")
 
 
 @check("str5_stream_context", f"""WITH {TRACK_SQL}, {CAMPAIGN_SQL},

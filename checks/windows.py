@@ -1,12 +1,19 @@
 """Device state: sessions, page context, campaigns, identity, counters."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import check
 from checks.fixtures import DEVICE_SQL, TRACK_SQL, track
 from footfall.operators import context, delivery, identity, sessions
 from footfall.operators.timeline import Timeline
-from footfall.plans.rebuild import rebuild_state
+from footfall.operators.identity import backfill_between
+from footfall.plans.rebuild import continue_state, rebuild_state
+from footfall.schema import DEVICE
+from footfall.scratch import new_dir
+from footfall.sources.epochs import EpochTable
+from footfall.sources.stored import DeviceStore
 
 W = f"(PARTITION BY {DEVICE_SQL} ORDER BY eventTime, sn)"
 UP = f"(PARTITION BY {DEVICE_SQL} ORDER BY eventTime, sn ROWS UNBOUNDED PRECEDING)"
@@ -203,14 +210,43 @@ def resolve_user(spark, sf):
     return rows.select("event_id", "userId")
 
 
-@check("plan_rebuild_state", f"""WITH {TRACK_SQL}, {CARRIED_SQL}, {RESOLVED_SQL}, {sessions_sql("resolved")}, {CAMPAIGN_SQL.replace("FROM track", "FROM sess")},
+REBUILD_SQL = f"""WITH {TRACK_SQL}, {CARRIED_SQL}, {RESOLVED_SQL}, {sessions_sql("resolved")}, {CAMPAIGN_SQL.replace("FROM track", "FROM sess")},
 moves AS (SELECT *, last_value(url IGNORE NULLS) OVER {BEFORE} AS came FROM tagged),
 ctx AS (SELECT *, last_value(url IGNORE NULLS) OVER {UP} AS page_url, last_value(title IGNORE NULLS) OVER {UP} AS page_title,
   max(CASE WHEN url IS NOT NULL THEN sn END) OVER {UP} AS view_sn FROM moves),
 ref AS (SELECT projectId AS pp, siteId AS ps, deviceId AS pd, sn AS psn, came AS referrer FROM moves WHERE url IS NOT NULL)
 SELECT event_id, seStartTime, page_url AS url, page_title AS title, referrer, utm, pushContent, userId FROM ctx
-LEFT JOIN ref ON projectId = pp AND siteId = ps AND deviceId = pd AND view_sn = psn""")
+LEFT JOIN ref ON projectId = pp AND siteId = ps AND deviceId = pd AND view_sn = psn"""
+_REBUILT = ("event_id", "seStartTime", "url", "title", "referrer", "utm", "pushContent", "userId")
+
+
+@check("plan_rebuild_state", REBUILD_SQL)
 def rebuild(spark, sf):
     rows = track(spark, sf, "event_id", *_STATE, "url", "title", "userId", "userProperty")
-    return rebuild_state(rows, horizon_s=3600).select(
-        "event_id", "seStartTime", "url", "title", "referrer", "utm", "pushContent", "userId")
+    return rebuild_state(rows, horizon_s=3600).select(*_REBUILT)
+
+
+@check("plan_daily_state", REBUILD_SQL)
+def daily_state(spark, sf):
+    """Four runs, each going on from the state and the waiting rows of the one before."""
+    rows = track(spark, sf, "event_id", *_STATE, "url", "title", "userId", "userProperty")
+    cuts = [0, 1704300000000, 1704700000000, 1705800000000, 10**14]
+    states, held, out = EpochTable(spark, new_dir(spark, "states"), DEVICE), None, None
+    for run, (first, end) in enumerate(zip(cuts, cuts[1:])):
+        part = rows.where((F.col("eventTime") >= first) & (F.col("eventTime") < end))
+        done, state = continue_state(part, states.read(before=run))
+        states.write(state, run)
+        settled, held = backfill_between(done.drop("late"), held, 3600)
+        out = settled if out is None else out.unionByName(settled)
+    return out.unionByName(held).select(*_REBUILT)
+
+
+@check("src1_device_store", REBUILD_SQL)
+def device_store(spark, sf):
+    """State over a table that is stored by device, in two batches of days."""
+    rows = track(spark, sf, "event_id", *_STATE, "url", "title", "userId", "userProperty")
+    store = DeviceStore(spark, f"stored_{uuid.uuid4().hex}", new_dir(spark, "stored"), 8)
+    cut = 1705000000000
+    for batch, part in enumerate((rows.where(F.col("eventTime") < cut), rows.where(F.col("eventTime") >= cut))):
+        store.append(part, batch, busy=5)
+    return rebuild_state(store.scan(), horizon_s=3600, hot=store.hot()).select(*_REBUILT)

@@ -8,7 +8,7 @@ from checks.legacy import CVAR_SQL, LEGACY_SQL, mapped
 from checks.windows import W
 from footfall.operators import legacy
 from footfall.operators.bridge import unify_protocols
-from footfall.plans.rebuild import ingest
+from footfall.plans.rebuild import ingest, ingest_legacy
 from footfall.scratch import new_dir
 from footfall.sources import events as stored
 from footfall.sources import sinks, wire
@@ -133,3 +133,23 @@ def ingested(spark, sf):
     again = payloads.unionByName(payloads).unionByName(payloads.where("batch % 3 = 0"))
     events, _ = ingest(again.select("body"))
     return _rows(events)
+
+
+@check("plan_ingest_legacy", f"""WITH {TRACK_SQL}, {LEGACY_SQL}
+SELECT siteId AS idsite, deviceId, e_c, e_a, e_n, search, url, title, {CVAR_SQL} AS cvar, new_visit, ec_tx FROM legacy""")
+def ingested_legacy(spark, sf):
+    """All legacy requests sent twice, beside bodies that cannot be read."""
+    payloads = wire.encode_bulk_v1(_legacy(spark, sf)).select("body")
+    part = spark.read.parquet(f"{sf}/part.parquet").select(F.concat(F.lit("{no "), "p_name").alias("body"))
+    rows, _ = ingest_legacy(payloads.unionByName(payloads).unionByName(part))
+    return rows.select(*_V1)
+
+
+@check("plan_ingest_quarantine", """SELECT p_partkey, p_partkey % 3 = 0 AS untimed FROM part""")
+def quarantine(spark, sf):
+    """Bodies of both kinds that go to quarantine: unreadable ones, and events without a time."""
+    part = spark.read.parquet(f"{sf}/part.parquet")
+    untimed = F.concat(F.lit('{"requests":["?idsite=s1&e_a=a&title='), F.col("p_partkey").cast("string"), F.lit('"]}'))
+    body = F.when(F.col("p_partkey") % 3 == 0, untimed).otherwise(F.concat(F.lit("{no "), F.col("p_partkey").cast("string")))
+    rows, bad = ingest_legacy(part.select(body.alias("body"), "p_partkey"))
+    return bad.select("p_partkey", (~F.col("malformed")).alias("untimed"))

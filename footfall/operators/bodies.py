@@ -9,6 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from footfall.functions import json_object
+from footfall.operators.filters import valid_custom_name
 from footfall.schema import DEVICE, KNOWN_EVENTS
 
 _UD = "udVariable MAP<STRING,STRING>"
@@ -133,3 +134,13 @@ def encode(rows: DataFrame, name: str) -> DataFrame:
     return rows.select(
         *kept, F.lit(name).alias("eventName"), F.to_json(F.struct(*fields)).alias("eventBody")
     )
+
+
+def encode_custom(rows: DataFrame, name: str = "eventName", variables: str = "vars") -> DataFrame:
+    """`eventBody` of events with a name of the caller's own, from their variables (a map), which
+    are the whole body; the way back of `parse_custom`. Rows whose name is not made of letters,
+    digits and underscores, or has a body of its own, are dropped."""
+    rows = valid_custom_name(rows.withColumnRenamed(name, "eventName"))
+    rows = rows.where(~F.col("eventName").isin(*KNOWN_EVENTS))
+    body = F.to_json(F.coalesce(F.col(variables), F.create_map().cast("map<string,string>")))
+    return rows.withColumn("eventBody", body).drop(variables)

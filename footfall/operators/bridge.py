@@ -1,6 +1,6 @@
 """Events of web pages embedded in an app, and both protocols side by side."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 
 def _bridge_json(source_project, host_project, source_site, host_site, flag):
@@ -60,3 +60,29 @@ def unify_protocols(legacy: DataFrame, events: DataFrame) -> DataFrame:
     return legacy.withColumn("protocol", F.lit("v1")).unionByName(
         events.withColumn("protocol", F.lit("v2")), allowMissingColumns=True
     )
+
+
+def unpaired(legacy: DataFrame, events: DataFrame, keys, order=()) -> DataFrame:
+    """Rows of either protocol that the other has no partner for, told apart by `protocol`.
+
+    Rows are paired by `keys` (such as device, second and name), equal ones one to one: of m and
+    n rows with the same keys, m - n of the larger side are left, the last ones by `order`. Keys
+    are counted first, combined in the map tasks, so only rows of keys with unequal counts are
+    shuffled. Null keys pair with null keys."""
+    keys, order = list(keys), list(order) or list(keys)
+    sides = {"v1": legacy, "v2": events}
+    counts = None
+    for name, rows in sides.items():
+        some = rows.select(*keys, *[F.lit(int(name == other)).alias(other) for other in sides])
+        counts = some if counts is None else counts.unionByName(some)
+    counts = counts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sides]).where("v1 <> v2").alias("c")
+    out = None
+    for name, rows in sides.items():
+        other = next(c for c in sides if c != name)
+        same = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+        more = rows.alias("r").join(counts.where(F.col(name) > F.col(other)), same).select("r.*", F.col(f"c.{other}").alias("__pairs"))
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+        left = more.withColumn("__rank", rank).where("__rank > __pairs").drop("__rank", "__pairs")
+        left = left.withColumn("protocol", F.lit(name))
+        out = left if out is None else out.unionByName(left, allowMissingColumns=True)
+    return out

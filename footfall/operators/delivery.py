@@ -19,14 +19,20 @@ def order_v1(legacy: DataFrame) -> DataFrame:
     return parse_lifetime_seq(legacy).orderBy("cdt", F.col("lifetime_seq").asc_nulls_last(), *ties)
 
 
+#: Groups of map tasks whose candidates meet first, so that a device with rows in m tasks sends
+#: n rows from each of SLICES groups to its last task, and a group's task gets n * m / SLICES.
+SLICES = 64
+
+
 def _oldest(events: DataFrame, n: int, keys, order) -> DataFrame:
-    # Spark keeps the first n rows per key in every map task before the shuffle
-    # (WindowGroupLimit; `configure` allows it for any n), so a hot key sends n rows
-    # per task at most.
-    w = W.partitionBy(*keys).orderBy(*order)
-    return events.withColumn("queue_position", F.row_number().over(w)).where(
-        F.col("queue_position") <= n
-    )
+    # Spark keeps the first n rows per key in every map task before each shuffle
+    # (WindowGroupLimit; `configure` allows it for any n)
+    def first(rows, by):
+        place = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+        return rows.withColumn("queue_position", place).where(F.col("queue_position") <= n)
+
+    sliced = events.withColumn("__slice", F.pmod(F.spark_partition_id(), F.lit(SLICES)))
+    return first(first(sliced, (*keys, "__slice")).drop("__slice", "queue_position"), keys)
 
 
 def take_oldest(events: DataFrame, n: int, keys=DEVICE, order=EVENT_ORDER) -> DataFrame:

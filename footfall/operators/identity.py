@@ -14,26 +14,29 @@ def _logs_out(cleared) -> Column:
     return F.coalesce(left, F.lit(False))
 
 
-def _carry(events, column: str, ends: Column):
+def _carry(events, column: str, ends: Column, empties: Column | None = None):
     """Own value, else the latest one since the latest `ends` row. That row still
-    has the value; it is cleared after it."""
+    has the value; it is cleared after it. An `empties` row clears it before itself."""
     own = F.col(column)
-    state = F.when(ends, F.struct(F.lit(None).cast("string").alias("v"))).when(
+    empties = F.lit(False) if empties is None else empties
+    state = F.when(ends | empties, F.struct(F.lit(None).cast("string").alias("v"))).when(
         own.isNotNull(), F.struct(own.alias("v"))
     )
-    return (
-        events.before(__state=state)
-        .set(**{column: F.coalesce(own, F.col("__state.v"))})
-        .drop("__state")
-    )
+    value = F.when(~empties, F.coalesce(own, F.col("__state.v")))
+    return events.before(__state=state).set(**{column: value}).drop("__state")
 
 
 @on_timeline
 def carry_user(events, clears: Column | None = None):
     """A login sets the user from that event on; a logout clears it after itself.
     `clears` tells the logouts that do (all by default): the wire does not show
-    which of the client's two logout calls was used, and one keeps the user."""
-    return _carry(events, "userId", _logs_out(clears))
+    which of the client's two logout calls was used, and one keeps the user. The login of an
+    embedded page (a row with `bridgeInfo`) sets what it names: without a user it clears."""
+    nobody = None
+    if "bridgeInfo" in events.columns:
+        nobody = F.coalesce(F.col("eventName") == LOGIN, F.lit(False)) & F.col("bridgeInfo").isNotNull()
+        nobody = nobody & (F.coalesce("userId", F.lit("")) == "")
+    return _carry(events, "userId", _logs_out(clears), nobody)
 
 
 @on_timeline

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from footfall.functions.clock import from_utc_text
 from footfall.operators.commerce import with_order_items
 from footfall.operators.context import attribute_campaign, page_context
 from footfall.operators.delivery import dedupe_events
@@ -14,9 +15,9 @@ from footfall.operators.legacy import (
 )
 from footfall.operators.sessions import sessionize_v1, sessionize_v2, visit_counters
 from footfall.operators.timeline import Timeline
-from footfall.schema import EVENT_COLUMNS, SESSION_TIMEOUT_S, USER_HORIZON_S
+from footfall.schema import EVENT_COLUMNS, LEGACY_COLUMNS, SESSION_TIMEOUT_S, USER_HORIZON_S
 from footfall.sources.events import split_untimed
-from footfall.sources.wire import decode_bulk_v2
+from footfall.sources.wire import decode_bulk_v1, decode_bulk_v2
 
 
 def ingest(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -27,6 +28,19 @@ def ingest(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return dedupe_events(events.select(*EVENT_COLUMNS, "extra")), bad
 
 
+def ingest_legacy(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(legacy events of readable requests without resent copies, unreadable ones and those
+    without a time). A resend repeats everything, the random `r` included; a legacy event has no
+    number of its own, so rows are copies when all they hold is equal. Only a digest of it is
+    compared, and each map task sends one row per event."""
+    decoded = decode_bulk_v1(payloads)
+    timed = ~F.col("malformed") & from_utc_text("cdt").isNotNull()
+    rows = decoded.where(timed).select(*LEGACY_COLUMNS, "extra")
+    held = F.to_json(F.struct(*LEGACY_COLUMNS, "extra"))
+    rows = rows.withColumn("__copy", F.md5(held)).dropDuplicates(["__copy"]).drop("__copy")
+    return rows, decoded.where(~timed)
+
+
 def _visits(events: DataFrame, timeout_s: int, **run) -> Timeline:
     return visit_counters(sessionize_v1(Timeline(legacy_eligible(events), **run), timeout_s))
 

@@ -104,16 +104,18 @@ def _over_text(events, change, columns) -> DataFrame:
     return events.withColumns({c: change(c) for c in text if columns is None or c in columns})
 
 
-def query_string(events: DataFrame, columns, escaped=()) -> Column:
-    """`?k=v&k=v` of the non-null columns, in the order given."""
+def query_string(events: DataFrame, columns, escaped=(), reserved=()) -> Column:
+    """`?k=v&k=v` of the non-null columns, in the order given, then of what `extra` holds under
+    the `reserved` names, which is all that decoding puts there."""
     present = [c for c in columns if c in events.columns]
 
     def pair(c):
         text = F.col(c).cast("string")
         return F.concat(F.lit(c + "="), escape_value(text) if c in escaped else text)
 
+    more = [F.concat(F.lit(k + "="), F.col("extra")[k]) for k in reserved if "extra" in events.columns]
     # concat_ws leaves out NULLs
-    return F.concat(F.lit("?"), F.concat_ws("&", *[pair(c) for c in present]))
+    return F.concat(F.lit("?"), F.concat_ws("&", *[pair(c) for c in present], *more))
 
 
 def _encode(queued, keys, order, n) -> DataFrame:
@@ -132,20 +134,21 @@ def _encode(queued, keys, order, n) -> DataFrame:
 
 
 def encode_bulk(events: DataFrame, n: int = EVENTS_PER_REQUEST, hot=None) -> DataFrame:
-    """Oldest-first requests of n events per device, percent-escaped."""
-    queued = events.withColumn("query", query_string(events, EVENT_COLUMNS, ESCAPED_COLUMNS))
+    """Oldest-first requests of n events per device, percent-escaped. Events with equal time and
+    number go by what is sent of them, so a run that is repeated makes the same requests."""
+    queued = events.withColumn("query", query_string(events, EVENT_COLUMNS, ESCAPED_COLUMNS, RESERVED_COLUMNS))
     queued = queued.select(*DEVICE, "eventTime", F.coalesce("sn", F.lit(0)).alias("sn"), "query")
-    queued = batch_index(queued, n, hot=hot)
+    queued = batch_index(queued, n, order=("eventTime", "sn", "query"), hot=hot)
     return _encode(queued, DEVICE, ("eventTime", "sn"), n).withColumn("body", _percent_encode("body"))
 
 
 def encode_bulk_v1(legacy: DataFrame, n: int = EVENTS_PER_REQUEST, hot=None) -> DataFrame:
     """The same for legacy rows, ordered by (cdt, Lifetime_seq), rows without the
     latter last; the body is not percent-escaped."""
-    queued = legacy.withColumn("query", query_string(legacy, LEGACY_COLUMNS, LEGACY_ESCAPED))
+    queued = legacy.withColumn("query", query_string(legacy, LEGACY_COLUMNS, LEGACY_ESCAPED, LEGACY_RESERVED))
     last = F.lit("9" * 20).cast(SERIAL)
     seq = F.coalesce("lifetime_seq", last).alias("seq")
     queued = parse_lifetime_seq(queued).select("idsite", "deviceId", "cdt", seq, "query")
     keys, order = ("idsite", "deviceId"), ("cdt", "seq")
-    queued = batch_index(queued, n, keys=keys, order=order, hot=hot)
+    queued = batch_index(queued, n, keys=keys, order=(*order, "query"), hot=hot)
     return _encode(queued, keys, order, n)

@@ -46,6 +46,19 @@ def stream_flush(
     )
 
 
+def stream_best_copies(events: DataFrame, events_path: str, checkpoint: str, interval_s: float = 20):
+    """Start the query that removes resent copies and corrects itself: the state is the table, an
+    event's row holds what its copies so far know, and an epoch gives the rows that a copy in it
+    changed, with the epoch as `version` (`sinks.event_table(...).at(epoch)`). Copies may come at
+    any distance of time; only the days in a micro-batch are compared."""
+    return (
+        events.writeStream.foreachBatch(lambda batch, epoch: write_idempotent(batch, epoch, events_path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_from_interval(interval_s))
+        .start()
+    )
+
+
 def stream_fan_out(events, current_path, legacy_path, checkpoint, interval_s: float = 20, tz="UTC"):
     """Start the query that writes every event to both protocols' tables."""
     return (

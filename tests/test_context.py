@@ -108,3 +108,13 @@ def test_registration_is_never_reset(spark):
         (DAY + 2, "register"), (DAY + 3, "logout"), (DAY + 4, "initJPush"), login(5, "u"), (DAY + 6, "a"))
     assert column(identity.carry_registration(rows), "registrationID") == [
         None, None, "r1", None, None, "r1", None]
+
+
+def test_the_login_of_an_embedded_page_sets_what_it_names(spark):
+    from footfall.operators.identity import carry_user
+
+    bridge = {"bridgeInfo": "{}"}
+    rows = events(
+        spark, (DAY, "login", {"userId": "u"}), (DAY + 1, "a"), (DAY + 2, "login", bridge), (DAY + 3, "b"),
+        (DAY + 4, "login", {**bridge, "userId": "w"}), (DAY + 5, "c"), (DAY + 6, "login"), (DAY + 7, "d"))
+    assert column(carry_user(rows), "userId") == ["u", "u", None, None, "w", "w", "w", "w"]

@@ -163,6 +163,55 @@ def test_an_epoch_without_a_commit_does_not_exist(spark):
     assert stored(spark, path) == [(DAY, "a")]
 
 
+def test_oldest_rows_in_two_steps_are_the_oldest(spark):
+    rows = spark.range(0, 40_000, numPartitions=200).selectExpr(
+        "'p' AS projectId", "'s' AS siteId", "CASE WHEN id % 9 = 0 THEN 'b' ELSE 'a' END AS deviceId",
+        "CAST(xxhash64(id) % 1000000 AS BIGINT) AS eventTime", "CAST(id AS DECIMAL(20,0)) AS sn")
+    got = delivery.take_oldest(rows, 50)
+    assert got.count() == 100 and got.where("NOT has_more").isEmpty()
+    want = rows.orderBy("eventTime", "sn").where("deviceId = 'a'").limit(50)
+    assert rows_of(got.where("deviceId = 'a'"), "eventTime", "sn") == rows_of(want, "eventTime", "sn")
+    lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert sum("WindowGroupLimit" in t for t in lines) == 4  # before and after either shuffle
+
+
+def test_state_over_a_device_store_needs_no_exchange(spark, sf):
+    from footfall.operators.timeline import NO_HOT_KEYS
+    from footfall.plans.rebuild import rebuild_state
+    from footfall.sources.stored import DeviceStore
+
+    rows = track(spark, sf)
+    store = DeviceStore(spark, "stored_for_test", new_dir(spark, "stored"), 4)
+    cut = DAY + 12 * 86_400_000
+    for batch, part in enumerate((rows.where(F.col("eventTime") < cut), rows.where(F.col("eventTime") >= cut))):
+        store.append(part, batch, busy=3)
+    assert store.hot() is NO_HOT_KEYS
+    got = rebuild_state(store.scan(), hot=store.hot())
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in rebuild_state(store.scan("2024-01-03", "2024-01-08"), hot=store.hot())._jdf.queryExecution().executedPlan().toString()
+    names = ["deviceId", "sn", "seStartTime", "url", "utm", "userId"]
+    assert rows_of(got, *names) == rows_of(rebuild_state(rows), *names)
+    # what is known of busy devices: exact sums of the days on which they were
+    counts = rows.groupBy("deviceId", F.floor(F.col("eventTime") / 86_400_000)).count().where("count >= 3")
+    busiest = counts.groupBy("deviceId").agg(F.sum("count").alias("n")).orderBy(F.desc("n")).first()
+    hot = store.hot(floor=busiest.n)
+    assert hot.rows >= busiest.n and busiest.deviceId in [r.deviceId for r in hot.keys.collect()]
+    assert rows_of(rebuild_state(store.scan(), hot=hot), *names) == rows_of(rebuild_state(rows), *names)
+    spark.sql("DROP TABLE stored_for_test")
+
+
+def test_unpaired_rows(spark):
+    from footfall.operators.bridge import unpaired
+
+    make = lambda *rows: spark.createDataFrame(list(rows), "k STRING, at INT, more STRING")
+    left = make(("a", 1, "x"), ("a", 1, "y"), ("a", 1, "z"), (None, 2, "n"), ("b", 5, "q"))
+    right = make(("a", 1, "w"), (None, 2, "m"), ("c", 7, "r"), ("c", 7, "s"))
+    got = unpaired(left, right, ["k", "at"], ["more"])
+    assert rows_of(got, "protocol", "k", "at", "more") == sorted(
+        [("v1", "a", 1, "y"), ("v1", "a", 1, "z"), ("v1", "b", 5, "q"), ("v2", "c", 7, "r"), ("v2", "c", 7, "s")])
+    assert unpaired(left, left, ["k", "at"]).isEmpty()
+
+
 def test_dates_and_quarantine(spark):
     rows = events(spark, (DAY - 1, "a"), (DAY, "b"), (None, "c"))
     good, bad = split_untimed(rows)

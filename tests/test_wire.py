@@ -1,6 +1,8 @@
 from hypothesis import HealthCheck, given, settings, strategies as st
 from urllib.parse import quote
 
+from pyspark.sql import functions as F
+
 from footfall.functions import escape_value, unescape_value
 from footfall.plans.rebuild import ingest
 from footfall.sources import wire
@@ -107,3 +109,40 @@ def test_escape_touches_text_columns_only(spark):
     df = spark.createDataFrame([("a?b&c%", 1)], "t STRING, n INT")
     assert wire.escape_params(df).first() == ("a%3Fb%26c%", 1)
     assert wire.unescape_params(wire.escape_params(df)).first().t == "a?b&c%"
+
+
+def test_reserved_names_come_back(spark):
+    rows = events(spark, (DAY, "a"), (DAY + 1, "b")).withColumn(
+        "extra", F.when(F.col("sn") == 1, F.create_map(F.lit("ip"), F.lit("1.2.3.4"), F.lit("city"), F.lit("x y"))))
+    back = wire.decode_bulk_v2(wire.encode_bulk(rows).select("body"))
+    assert {r.eventName: dict(r.extra or {}) for r in back.collect()} == {"a": {"ip": "1.2.3.4", "city": "x y"}, "b": {}}
+
+
+def test_ties_stay_in_their_requests(spark):
+    rows = events(spark, *[(DAY, f"e{i}", {"sn": 1}) for i in range(40)])
+    bodies = [
+        rows_of(wire.encode_bulk(rows.repartition(n, "eventName").sortWithinPartitions(F.desc("eventName")), 7), "batch", "body")
+        for n in (1, 3, 8)
+    ]
+    assert bodies[0] == bodies[1] == bodies[2]
+
+
+def test_custom_events_there_and_back(spark):
+    from footfall.operators.bodies import encode_custom, parse_custom
+
+    given = spark.createDataFrame(
+        [("my_event", {"a": "1", "b": "x&y"}), ("no name", {"a": "1"}), ("login", {}), ("bare", None)],
+        "eventName STRING, vars MAP<STRING,STRING>")
+    back = parse_custom(encode_custom(given), keep=())
+    assert {r.eventName: r.vars for r in back.collect()} == {"my_event": {"a": "1", "b": "x&y"}, "bare": {}}
+
+
+def test_legacy_quarantine(spark):
+    from footfall.plans.rebuild import ingest_legacy
+
+    one = '?idsite=s1&deviceId=d&cdt=2024-01-01 00:00:05&e_a=a&r=7'
+    other = one.replace("r=7", "r=8")
+    bodies = [f'{{"requests":["{one}","{other}"]}}', f'{{"requests":["{one}"]}}', "broken", '{"requests":["?idsite=s1&e_a=b"]}']
+    rows, bad = ingest_legacy(spark.createDataFrame([(b, b) for b in bodies], "body STRING, raw STRING"))
+    assert rows_of(rows, "e_a", "r") == [("a", "7"), ("a", "8")]
+    assert rows_of(bad, "raw", "malformed") == sorted([("broken", True), (bodies[3], False)])
