@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from checks import check
-from checks.fixtures import LINE_BODY, LINE_ORDER_ID, LINES_SQL, TRACK_SQL, order_events, track
+from checks.fixtures import LINE_BODY, LINE_ORDER_ID, LINES_SQL, TRACK_SQL, order_events, spread, track
 from footfall.operators import bodies, commerce
 
 _BODY_COLUMNS = ("projectId", "siteId", "deviceId", "eventTime", "sn", "eventName", "eventBody",
@@ -186,7 +186,8 @@ def h5(spark, sf):
 def h5_messages(spark, sf):
     """Messages of embedded pages; some are no objects, and the body is an
     object in some and its text in others."""
-    return track(spark, sf, "event_id", "k", "deviceId", "eventTime", "sn").withColumn(
+    rows = spread(track(spark, sf, "event_id", "k", "deviceId", "eventTime", "sn"), "event_id")
+    return rows.withColumn(
         "message",
         F.expr("""
         CASE WHEN k % 11 = 0 THEN CASE WHEN k % 2 = 0 THEN '["no"]' ELSE '{broken' END

@@ -211,7 +211,12 @@ ORDER_EVENT = {
 LINES_SQL = f"""lines AS (SELECT {", ".join(_columns(_LINE_BASE))} FROM lineitem)"""
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """The rows of a given table over all cores: its one row group is read by one task."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *by)
+
+
 def order_events(spark, sf: str) -> DataFrame:
     """One order event per lineitem row, with up to two products and coupons."""
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(*_columns(_LINE_BASE))
-    return lines.selectExpr(*_columns(ORDER_EVENT))
+    return spread(lines, "ok", "ln", "pk", "sk").selectExpr(*_columns(ORDER_EVENT))

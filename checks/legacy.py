@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks import check
-from checks.fixtures import LINE_BODY, LINE_ORDER_ID, LINES_SQL, RAW_SQL, TRACK_SQL, order_events, raw, track
+from checks.fixtures import LINE_BODY, LINE_ORDER_ID, LINES_SQL, RAW_SQL, TRACK_SQL, order_events, raw, spread, track
 from checks.windows import UP, V1_SQL, _STATE, _VISITS_SQL
 from footfall.operators import commerce, legacy
 from footfall.plans import rebuild
@@ -28,7 +28,7 @@ _FIELDS = ("e_c", "e_a", "e_n", "search", "action_name", "title", "url", "new_vi
 
 
 def mapped(spark, sf):
-    rows = track(spark, sf, "event_id", "k", *_STATE, "url", "title", "userId")
+    rows = spread(track(spark, sf, "event_id", "k", *_STATE, "url", "title", "userId"), "event_id")
     tagged = F.when(F.col("k") % 20 == 0, F.concat("url", F.lit("&utm_campaign=c")))
     return legacy.to_legacy(rows.withColumn("url", F.coalesce(tagged, "url")))
 

@@ -41,4 +41,6 @@ def money_text(c) -> Column:
 def json_object(c) -> Column:
     """The text when it is a JSON object, else NULL."""
     c = _col(c)
-    return F.when(F.schema_of_variant(F.try_parse_json(c)).startswith("OBJECT"), c)
+    # the first sign tells what a readable text is; only texts that can be objects are parsed
+    opens = F.ltrim(c, F.lit(" \t\n\r")).startswith("{")
+    return F.when(opens & F.try_parse_json(c).isNotNull(), c)
