@@ -2,6 +2,10 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; what it returns is written as
 Parquet and read again for the next one. All but the last return the columns of documents.
+
+Rows are decided on by id and text together, so rows that repeat an id, or have none, are judged
+by their own text. A null text counts as empty and fails the quality rules. Of rows equal in id
+and text one stays. Empty tables pass every stage; further columns are handed through.
 """
 
 from collections.abc import Callable
@@ -18,22 +22,23 @@ MIX_WEIGHTS = {"clean": 0.97, "low_quality": 0.02, "toxic": 0.01}
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rules or are outliers."""
+    """Drops documents that fail the base rules or are outliers; null, empty and short texts go."""
     return quality_rules.keep_good(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id stays."""
+    """Of equal texts, the row with the largest id stays; without any id, any one row."""
     return exact_dedup.keep_first_copies(docs, exact_dedup.open_index(spark))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8) stays."""
+    """One document of each group of near duplicates (five words, 0.8) stays: that with the
+    smallest id. Texts without words are no duplicates."""
     return minhash_dedup.keep_one_of_each(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the fitted rates say."""
+    """Documents as often as the fitted rates say; labels whose ids are gone teach nothing."""
     return source_mixing.copies_of(docs, table(spark, sf_dir, "labels"), MIX_WEIGHTS, MIX_BUDGET)
 
 

@@ -43,4 +43,4 @@ def test_sql_twins(spark):
     con = oracle(SF)
     for name, sql in entry.LLM_SQL.items():
         assert compare(entry.queries()[name](spark, SF), con, sql) == "", name
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {n.split("_")[0] for n in entry.LLM}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {n.split("_")[0] for n in entry.LLM}
