@@ -67,8 +67,7 @@ def odd_rows():
 SMALL = [Sizes(), Sizes(ranked=4, head=3, tile=2, tiles=2, entries=7), Sizes(ranked=3, head=2, tile=2, tiles=1, entries=1)]
 
 
-@pytest.mark.parametrize("sizes", SMALL)
-@pytest.mark.parametrize("least, top", [(3, 2000), (5, 7)])
+@pytest.mark.parametrize("sizes, least, top", [(SMALL[0], 3, 2000), (SMALL[1], 3, 2000), (SMALL[2], 5, 7)])
 def test_collocations_equal_brute_force(spark, odd_rows, sizes, least, top):
     df = spark.createDataFrame(odd_rows, "text STRING, lang STRING").withColumns({"key": F.lit("k"), "u": F.lit(1)})
     assert got(phrases.collocations(df.repartition(5), least, top, sizes=sizes)) == brute(odd_rows, least, top)
