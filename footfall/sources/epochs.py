@@ -68,7 +68,7 @@ class EpochTable:
     # -- reading ---------------------------------------------------------------
 
     def log(self, before: int | None = None) -> DataFrame | None:
-        """The files of the latest base and of the epochs after it; None in a new table."""
+        """The files of all commits, of epochs below `before`; None in a new table."""
         found = None
         for kind in ("base", "epoch"):
             try:
@@ -81,12 +81,7 @@ class EpochTable:
             found = some if found is None else found.unionByName(some)
         if found is None:
             return None
-        if before is not None:
-            found = found.where(F.col("epoch") < before)
-        start = found.where("base").agg(F.max("epoch")).first()[0]
-        if start is not None:
-            found = found.where((F.col("base") & (F.col("epoch") == start)) | (~F.col("base") & (F.col("epoch") > start)))
-        return found
+        return found if before is None else found.where(F.col("epoch") < before)
 
     def versions(self, parts: DataFrame | None = None, before: int | None = None) -> DataFrame | None:
         """All committed rows with `__epoch`, of the parts in the one column of `parts` only.
@@ -97,7 +92,10 @@ class EpochTable:
         if parts is not None:
             asked = parts.select(F.col(parts.columns[0]).cast("string").alias("part")).distinct()
             log = log.alias("l").join(asked.alias("r"), same_keys("l", "r", ["part"]), "left_semi")
-        files = [r.file for r in log.select("file").distinct().toLocalIterator()]
+        named = log.select("epoch", "base", "file").collect()
+        # the latest base, and what came after it; a part without rows in the base has none before
+        start = max((r.epoch for r in named if r.base), default=-1)
+        files = [r.file for r in named if (r.epoch == start if r.base else r.epoch > start)]
         return self.spark.read.parquet(*files) if files else None
 
     def read(self, parts: DataFrame | None = None, before: int | None = None) -> DataFrame | None:
