@@ -7,23 +7,23 @@ Spark splits at a node with very many neighbours. Nothing is collected.
 
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.tables import hand_over
+from footfall.llm.tables import hand_over, light
 
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u"), F.col("v")).unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = _both(edges)
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(low, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(light(low, 2 * rows), "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     low = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(light(low, rows), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -39,8 +39,9 @@ def components(edges: DataFrame, max_steps: int = 60) -> DataFrame:
     """(node, label) for every node of `edges` (u, v: bigint): label is the smallest node that
     can be reached. Ends when the edges are stars, which is seen without a further step."""
     current = edges.where("u <> v")
+    rows = current.count()  # no step adds edges; a step's minima are broadcast while they are few
     for _ in range(max_steps):
-        current = hand_over(_small_star(_large_star(current)), "components")
+        current = hand_over(_small_star(_large_star(current, rows), rows), "components")
         if _open_ends(current).isEmpty():
             break
     else:

@@ -171,11 +171,11 @@ def _decided(docs: DataFrame, percent: int, width: int = 5, rows: int = 5, miss:
         rest, step = rest.select("band", "node", "n"), step * GROWTH
 
     # rows take the component of their class; only classes with copies or links are joined
-    named = heads.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = heads.join(light(labels, labels.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
     low = named.groupBy("label").agg(F.min("low").alias("component_id"), F.count("*").alias("classes"))
     found = named.join(low, "label").where("copies > 1 OR classes > 1").select("node", "label", "component_id")
     found = hand_over(found.withColumn("__found", F.lit(True)), "near-found")
-    rows_ = signed.join(found, "node", "left").withColumn(
+    rows_ = signed.join(light(found, found.count()), "node", "left").withColumn(
         "component_id", F.when(F.col("__found"), F.col("component_id")).otherwise(F.col("doc_id"))
     )
     return rows_.select(
@@ -187,19 +187,21 @@ def _decided(docs: DataFrame, percent: int, width: int = 5, rows: int = 5, miss:
 
 def _relabelled(labels: DataFrame, fresh: DataFrame) -> DataFrame:
     """Labels after new links: what is searched again is the graph of labels that they join."""
-    a, b = labels.alias("a"), labels.alias("b")
+    rows = labels.count()
+    a, b = light(labels, rows).alias("a"), light(labels, rows).alias("b")
     joined = fresh.join(a, F.col("u") == F.col("a.node"), "left").join(b, F.col("v") == F.col("b.node"), "left")
     pairs = joined.select(F.coalesce("a.label", "u").alias("u"), F.coalesce("b.label", "v").alias("v")).distinct()
     merged = hand_over(components(pairs), "near-merged").select(F.col("node").alias("was"), F.col("label").alias("now"))
+    merged = light(merged, merged.count())
     old = labels.join(merged, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label"))
-    new = merged.join(labels, F.col("was") == F.col("node"), "left_anti")
+    new = merged.join(light(labels, rows), F.col("was") == F.col("node"), "left_anti")
     return old.unionByName(new.select(F.col("was").alias("node"), F.col("now").alias("label")))
 
 
 def _split_bands(rest: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the bands whose members lie in more than one component, with labels, and
     with how many of the band share the label."""
-    named = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = rest.join(light(labels, labels.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
     kin = named.groupBy("band", "label").agg(F.count("*").alias("kin"))
     split = named.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z")
     return named.join(split.select("band"), "band").join(kin, ["band", "label"])

@@ -109,6 +109,30 @@ def test_near_duplicates(source, percent):
     assert got == brute_components(given(source), percent)
 
 
+@pytest.mark.parametrize("nodes, edges", [(30, 20), (400, 380), (0, 0)])
+def test_components_of_random_graphs(spark, nodes, edges):
+    import random
+
+    from footfall.llm.components import components
+
+    rng, parent = random.Random(nodes), {}
+    pairs = [(rng.randrange(-nodes, nodes), rng.randrange(-nodes, nodes)) for _ in range(edges)]
+    pairs += [(i, i + 1) for i in range(1000, 1000 + edges // 10)]  # a chain
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    got = components(spark.createDataFrame(pairs, "u BIGINT, v BIGINT")).collect()
+    assert sorted((r.node, r.label) for r in got) == sorted((x, find(x)) for x in parent)
+
+
 def test_repeated_and_very_large_ids(docs):
     tail = PROSE + " tail"
     unique = " ".join(f"u{i}" for i in range(30))
