@@ -5,7 +5,7 @@ from footfall.operators import delivery
 from footfall.schema import SERIAL, SERIAL_MAX
 from footfall.scratch import new_dir
 from footfall.sources import sinks
-from footfall.sources.events import scan_events, split_untimed, with_event_date
+from footfall.sources.events import split_untimed, with_event_date
 from tests.conftest import rows_of
 from tests.helpers import DAY, column, events
 
