@@ -2,11 +2,13 @@
 
 Every document gets a vector of transformed statistics. Per language and source, the
 minimum covariance determinant estimate of centre and scatter is found by concentration
-steps: distances to the current estimate, the share `support` of the rows with the smallest
-distances, a new estimate from those, until the determinants stay. The nearest rows spread
-less than all do, so their scatter is raised by the factor that makes it right for normal
-rows, and squared distances are held against a chi-square quantile. A document is rejected
-when its Mahalanobis distance to the estimate of its group exceeds `cutoff`.
+steps: distances to the current estimate, the nearest h = (n + p + 1) / 2 of the n rows, a new
+estimate from those. Several fixed starts take some steps each; the one with the lowest
+determinant goes on until no step lowers it, so up to half of a group may be junk. The nearest
+rows spread less than all do, so their scatter is raised by the factor that makes it right for
+normal rows. Last, the estimate is made anew from all rows within a chi-square quantile of it,
+which uses nearly every good row. A document is rejected when its squared Mahalanobis distance
+to the estimate of its group exceeds `cutoff`.
 
 Statistics are counted inside a row by array functions. Estimation works on a narrow table:
 each step is one aggregation by group (combined in the map tasks) and one join of the group
@@ -63,6 +65,13 @@ def consistency(support: float) -> float:
 #: Squared distance that one of a thousand normal rows exceeds.
 CUTOFF = chi_square_quantile(0.999, SIZE)
 
+#: Rows within this quantile of the concentrated estimate make the final one.
+NEAR_SHARE = 0.975
+NEAR = chi_square_quantile(NEAR_SHARE, SIZE)
+
+#: An estimate belongs to a group and to the start it came from.
+KEY = ("stratum", "start")
+
 #: Histogram of distances: cells per factor of two, cells in all.
 CELLS_PER_DOUBLING, CELLS = 16, 1024
 
@@ -149,15 +158,15 @@ def _vector(df: DataFrame) -> DataFrame:
 
 
 def _moments(rows: DataFrame, support: float) -> DataFrame:
-    """Per stratum: rows, means, scatter with the floors, its Cholesky factor and log determinant."""
+    """Per stratum and start: means, scatter with the floors as its Cholesky factor, log
+    determinant. The scatter is that of the nearest `support` of normal rows."""
     raised = consistency(support)
-    shift = {n: F.col(n) for n in NAMES}
-    sums = [F.sum(shift[n]).alias("s_" + n) for n in NAMES]
+    sums = [F.sum(n).alias("s_" + n) for n in NAMES]
     cross = [
-        F.sum(shift[a] * shift[b]).alias(f"c_{i}_{j}")
+        F.sum(F.col(a) * F.col(b)).alias(f"c_{i}_{j}")
         for i, a in enumerate(NAMES) for j, b in enumerate(NAMES) if j <= i
     ]
-    out = rows.groupBy("stratum").agg(F.count("*").alias("m"), *sums, *cross)
+    out = rows.groupBy(*KEY).agg(F.count("*").alias("m"), *sums, *cross)
     out = out.withColumns({f"mu_{i}": F.col("s_" + n) / F.col("m") for i, n in enumerate(NAMES)})
     factor: dict[tuple[int, int], Column] = {}
     for i in range(SIZE):
@@ -171,11 +180,11 @@ def _moments(rows: DataFrame, support: float) -> DataFrame:
             factor[i, j] = F.col(f"f_{i}_{j}")
     logdet = sum((2 * F.log(factor[i, i]) for i in range(SIZE)), F.lit(0.0))
     keep = [f"mu_{i}" for i in range(SIZE)] + [f"f_{i}_{j}" for i in range(SIZE) for j in range(i + 1)]
-    return out.select("stratum", *keep, logdet.alias("logdet"))
+    return out.select(*KEY, *keep, logdet.alias("logdet"))
 
 
 def _distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """Squared Mahalanobis distance of each row to its stratum's estimate, as `d2`."""
+    """Squared Mahalanobis distance of each row to its stratum's estimates, as `d2`, with `start`."""
     own = list(rows.columns)
     joined = rows.join(estimate, "stratum")
     solved: list[Column] = []
@@ -183,49 +192,80 @@ def _distance(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         done = sum((F.col(f"f_{i}_{k}") * F.col(f"z_{k}") for k in range(i)), F.lit(0.0))
         joined = joined.withColumn(f"z_{i}", (F.col(n) - F.col(f"mu_{i}") - done) / F.col(f"f_{i}_{i}"))
         solved.append(F.col(f"z_{i}"))
-    return joined.withColumn("d2", reduce(lambda a, b: a + b, [z * z for z in solved])).select(*own, "d2")
+    return joined.withColumn("d2", reduce(lambda a, b: a + b, [z * z for z in solved])).select(*own, "start", "d2")
 
 
 def _nearest(rows: DataFrame, support: float) -> DataFrame:
-    """Rows up to the `support` quantile of `d2` in their stratum, in whole histogram cells."""
+    """The nearest rows of each stratum and start: `support` of them and (n + p + 1) / 2 at
+    least, in whole histogram cells of `d2`."""
     cell = F.least(
         F.greatest((F.log2(F.col("d2") + 1e-9) + 30) * CELLS_PER_DOUBLING, F.lit(0)), F.lit(CELLS - 1)
     ).cast("int")
     rows = rows.withColumn("cell", cell)
-    counts = rows.groupBy("stratum", "cell").agg(F.count("*").alias("n"))  # CELLS a stratum at most
-    by = W.partitionBy("stratum")
+    counts = rows.groupBy(*KEY, "cell").agg(F.count("*").alias("n"))  # CELLS a group at most
+    by = W.partitionBy(*KEY)
     below = F.sum("n").over(by.orderBy("cell")) - F.col("n")
+    need = F.greatest(F.col("total") * support, F.floor((F.col("total") + SIZE + 1) / 2))
     edge = (
         counts.withColumn("below", below).withColumn("total", F.sum("n").over(by))
-        .where(F.col("below") < F.col("total") * support)
-        .groupBy("stratum").agg(F.max("cell").alias("edge"))
+        .where(F.col("below") < need)
+        .groupBy(*KEY).agg(F.max("cell").alias("edge"))
     )
-    return rows.join(edge, "stratum").where("cell <= edge")
+    return rows.join(edge, list(KEY)).where("cell <= edge")
 
 
-def mcd(vectors: DataFrame, support: float, steps: int, tolerance: float) -> DataFrame:
-    """Concentration steps from the median start; one estimate per stratum."""
-    middle = vectors.groupBy("stratum").agg(
-        *[F.percentile_approx(n, 0.5, 1000).alias("mid_" + n) for n in NAMES]
+def _started(vectors: DataFrame) -> DataFrame:
+    """Every row once per start, with its distance to that start: from the medians in units of
+    the floors and of the quartiles' spread, and from the lower and the upper quartiles."""
+    points = vectors.groupBy("stratum").agg(
+        *[F.percentile_approx(n, [0.25, 0.5, 0.75], 1000).alias("q_" + n) for n in NAMES]
     )
-    start = vectors.join(middle, "stratum").withColumn(
-        "d2", reduce(lambda a, b: a + b, [((F.col(n) - F.col("mid_" + n)) / FLOORS[n]) ** 2 for n in NAMES])
-    )
-    estimate = hand_over(_moments(_nearest(start, support), support).coalesce(FEW), "mcd")
-    for _ in range(steps):
-        after = hand_over(_moments(_nearest(_distance(vectors, estimate), support), support).coalesce(FEW), "mcd")
-        change = after.join(estimate.select("stratum", F.col("logdet").alias("before")), "stratum").agg(
-            F.max(F.abs(F.col("logdet") - F.col("before")))
-        ).first()[0]
-        estimate = after
-        if change is None or change < tolerance:
-            break
-    return estimate
+
+    def squared(point: int, own_spread: bool) -> Column:
+        terms = []
+        for n in NAMES:
+            spread = F.get("q_" + n, F.lit(2)) - F.get("q_" + n, F.lit(0))
+            scale = F.greatest(spread / 1.349, F.lit(FLOORS[n])) if own_spread else F.lit(FLOORS[n])
+            terms.append(((F.col(n) - F.get("q_" + n, F.lit(point))) / scale) ** 2)
+        return reduce(lambda a, b: a + b, terms)
+
+    starts = [squared(1, False), squared(1, True), squared(0, True), squared(2, True)]
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("start"), d.alias("d2")) for k, d in enumerate(starts)]))
+    rows = vectors.join(points, "stratum").select("stratum", *NAMES, each.alias("at"))
+    return rows.select("stratum", *NAMES, "at.start", "at.d2")
+
+
+def mcd(vectors: DataFrame, support: float = 0.5, trial: int = 2, tolerance: float = 1e-3) -> DataFrame:
+    """One estimate per stratum. All starts take `trial` concentration steps. The lowest
+    determinant (of equal ones the first start) goes on alone. A stratum settles with the last
+    estimate that lowered its log determinant by more than `tolerance`; determinants are bounded
+    by the floors, so every stratum settles. Strata that have settled are not read again."""
+    def concentrated(rows: DataFrame) -> DataFrame:
+        return _moments(_nearest(rows, support), support).coalesce(FEW)
+
+    vectors = vectors.select("stratum", *NAMES)
+    estimate = hand_over(concentrated(_started(vectors)), "mcd")
+    for _ in range(trial):
+        estimate = hand_over(concentrated(_distance(vectors, estimate)), "mcd")
+    place = F.row_number().over(W.partitionBy("stratum").orderBy("logdet", "start"))
+    active = hand_over(estimate.withColumn("place", place).where("place = 1").drop("place").coalesce(FEW), "mcd")
+    settled = []
+    while not active.isEmpty():
+        before = active.select("stratum", F.col("logdet").alias("before"))
+        after = concentrated(_distance(vectors, active)).join(before, "stratum")
+        after = hand_over(after.withColumn("lower", F.col("logdet") < F.col("before") - tolerance).coalesce(FEW), "mcd")
+        settled.append(active.join(after.where("lower").select("stratum"), "stratum", "left_anti"))
+        active = after.where("lower").drop("before", "lower")
+    if not settled:
+        return estimate
+    final = hand_over(reduce(DataFrame.unionByName, settled).coalesce(FEW), "mcd")
+    near = _distance(vectors, final).where(F.col("d2") <= NEAR)
+    return hand_over(_moments(near, NEAR_SHARE).coalesce(FEW), "mcd")
 
 
 def judge(
-    docs: DataFrame, support: float = 0.75, cutoff: float = CUTOFF, min_rows: int = 100,
-    steps: int = 10, tolerance: float = 1e-3, carry=(),
+    docs: DataFrame, support: float = 0.5, cutoff: float = CUTOFF, min_rows: int = 100,
+    trial: int = 2, tolerance: float = 1e-3, carry=(),
 ) -> DataFrame:
     """One row per document: doc_id, lang, source, the counts, base_failed, distance, kept.
 
@@ -257,10 +297,10 @@ def judge(
     )
     same = F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))
     vectors = hand_over(passed.join(strata, same).select("doc_id", "stratum", *NAMES), "quality-vectors")
-    estimate = mcd(vectors, support, steps, tolerance)
+    estimate = mcd(vectors, support, trial, tolerance)
 
     named = rows.join(strata, same, "left")
-    judged = _distance(named.where("stratum IS NOT NULL"), estimate)
+    judged = _distance(named.where("stratum IS NOT NULL"), estimate).drop("start")
     rest = named.where("stratum IS NULL").withColumn("d2", F.lit(None).cast("double"))
     far = F.coalesce(F.col("d2") > cutoff, F.lit(False))
     return judged.unionByName(rest).select(

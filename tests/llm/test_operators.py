@@ -476,6 +476,70 @@ def test_estimate_withstands_outliers(spark):
     assert abs(got - d @ np.linalg.solve(factor @ factor.T, d)) < 1e-6
 
 
+def _mcd_by_numpy(x):
+    """Distances by the same starts and steps, with exact order statistics in place of histograms."""
+    import numpy as np
+
+    n, p = x.shape
+    h = min(n, (n + p + 1) // 2)
+    floors = np.array(list(quality_rules.FLOORS.values()))
+    low, middle, high = (np.quantile(x, q, axis=0, method="inverted_cdf") for q in (0.25, 0.5, 0.75))
+    spread = np.maximum((high - low) / 1.349, floors)
+
+    def estimate(some, share):
+        cov = np.cov(some.T, bias=True) * quality_rules.consistency(share) + np.diag(floors**2)
+        return some.mean(axis=0), cov, np.linalg.slogdet(cov)[1]
+
+    def squared(mu, cov):
+        return np.einsum("ij,ij->i", x - mu, np.linalg.solve(cov, (x - mu).T).T)
+
+    def step(d2):
+        return estimate(x[np.argsort(d2, kind="stable")[:h]], 0.5)
+
+    found = []
+    for centre, scale in ((middle, floors), (middle, spread), (low, spread), (high, spread)):
+        now = step((((x - centre) / scale) ** 2).sum(axis=1))
+        while (after := step(squared(*now[:2])))[2] < now[2] - 1e-9:
+            now = after
+        found.append(now)
+    best = min(found, key=lambda e: e[2])
+    near = x[squared(*best[:2]) <= quality_rules.NEAR]
+    return squared(*estimate(near, quality_rules.NEAR_SHARE)[:2])
+
+
+def test_estimate_equals_numpy_with_nearly_half_of_junk(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    groups = {}
+    for name, good, bad, at in (("clean", 1000, 0, 6), ("third", 700, 300, 6), ("half", 550, 450, 6), ("below", 550, 450, -6), ("few", 40, 3, 9)):
+        mix = rng.normal(0, 1, (5, 5)) * 0.3 + np.eye(5)
+        junk = rng.normal(at, 0.5, (bad, 5)) * 1.5
+        groups[name] = np.concatenate([rng.normal(0, 1, (good, 5)) @ mix, junk]), good
+    data = [(k, i, *map(float, row)) for k, (x, _) in groups.items() for i, row in enumerate(x)]
+    vectors = spark.createDataFrame(data, ["stratum", "i", *quality_rules.NAMES])
+    got = {k: {} for k in groups}
+    for r in quality_rules._distance(vectors, quality_rules.mcd(vectors)).collect():
+        got[r.stratum][r.i] = r.d2
+    for k, (x, good) in groups.items():
+        d2, want = np.array([got[k][i] for i in range(len(x))]), _mcd_by_numpy(x)
+        assert (d2[good:] > quality_rules.CUTOFF).all(), k  # all junk goes
+        assert (d2[:good] > quality_rules.CUTOFF).sum() <= max(1, 0.02 * good), k
+        clear = np.abs(want / quality_rules.CUTOFF - 1) > 0.15  # histogram cells move distances a little
+        assert ((d2 > quality_rules.CUTOFF) == (want > quality_rules.CUTOFF))[clear].all(), k
+
+
+def test_a_source_with_much_junk_loses_it(docs):
+    import random
+
+    rng = random.Random(8)
+    word = lambda k: "".join(rng.choices("abcdefghijklmnop", k=k))
+    good = [(2 * i, "\n".join(" ".join(word(5) for _ in range(6)) for _ in range(20))) for i in range(165)]
+    junk = [(2 * i, " ".join(word(12) + " # %" for _ in range(60))) for i in range(1000, 1135)]
+    kept = {r.doc_id for r in quality_rules.judge(docs(*good, *junk)).where("kept").collect()}
+    assert kept == {i for i, _ in good}
+
+
 def test_junk_goes_and_clean_stays(spark):
     where = "/root/testdata/sf0.01"
     got = quality_rules.judge(table(spark, where, "documents")).join(table(spark, where, "labels"), "doc_id").collect()
