@@ -220,6 +220,7 @@ def _started(vectors: DataFrame) -> DataFrame:
     points = vectors.groupBy("stratum").agg(
         *[F.percentile_approx(n, [0.25, 0.5, 0.75], 1000).alias("q_" + n) for n in NAMES]
     )
+    points = hand_over(points.coalesce(FEW), "quartiles")  # one row per stratum: rows are not dealt by stratum
 
     def squared(point: int, own_spread: bool) -> Column:
         terms = []
