@@ -35,11 +35,14 @@ def _open_ends(edges: DataFrame) -> DataFrame:
     return ends.where("below > 1 OR below = 1 AND above = 1")
 
 
-def components(edges: DataFrame, max_steps: int = 60) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None, max_steps: int = 60) -> DataFrame:
     """(node, label) for every node of `edges` (u, v: bigint): label is the smallest node that
-    can be reached. Ends when the edges are stars, which is seen without a further step."""
+    can be reached. Ends when the edges are stars, which is seen without a further step. `rows`
+    saves the count where no more edges than that are known to be there."""
     current = edges.where("u <> v")
-    rows = current.count()  # no step adds edges; a step's minima are broadcast while they are few
+    if rows is None:
+        rows = current.count()
+    # no step adds edges; a step's minima are broadcast while they are few
     for _ in range(max_steps):
         current = hand_over(_small_star(_large_star(current, rows), rows), "components")
         if _open_ends(current).isEmpty():

@@ -4,13 +4,16 @@
    its sketch bands. Rows with equal sets become one class, so copies cost nothing further.
 2. Classes that share a band are candidates. Instead of all pairs of a band, members are
    compared with centres: first with the smallest member, then, in bands whose members are not
-   yet in one component, with 8, 64, ... members, those of the smallest components first, each
+   yet in one component, with 32, 1024, ... members, those of the smallest components first, each
    time only with members of other components. A centre then leaves its band. When the rounds
    end, any two members of a band were compared or are connected, so no component is missed,
    and a band of near copies costs one comparison a member.
-3. Compared pairs are confirmed on their full shingle sets, in later rounds inside the join, so
-   that the many pairs of a group that are nearly but not quite alike are never rows. Sets are
-   computed again for the classes in question only and never stored for the others.
+3. Compared pairs are confirmed on their full shingle sets. In later rounds the join looks at a
+   bitmap of each set first: no more bits differ than shingles, so it rules out pairs but no
+   link, and the many pairs of a group that are nearly but not quite alike are not rows. A bitmap
+   says little about a set of more than LONG shingles, so these are compared as a whole inside
+   the join. Sets are computed again for the classes in question only and never stored for the
+   others.
 
 With `rows` coordinates a band and `bands` bands, a pair of similarity s shares no band with
 probability (1 - s**rows)**bands; `bands` is chosen so that this is at most `miss` at the
@@ -31,7 +34,13 @@ from footfall.llm.tables import hand_over, light, only_chosen, text_or_empty
 
 #: Centres of a band in the first round after its smallest member, and how much their number
 #: grows from round to round.
-FIRST, GROWTH = 8, 8
+FIRST, GROWTH = 32, 32
+
+#: Numbers of 64 bits in the bitmap of a set, a power of two.
+BITMAP = 16
+
+#: Shingles of a set that a bitmap tells from others; longer sets go into the join.
+LONG = 128
 
 
 def band_count(threshold: float, rows: int, miss: float) -> int:
@@ -59,14 +68,30 @@ def _signatures(width: int, rows: int, count: int):
     return run
 
 
-def _sets(width: int):
+def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Bits set by the first bits of each shingle's digest, BITMAP numbers a set."""
+    size = 64 * BITMAP
+    table = np.zeros((len(sets), size), bool)
+    for row, s in zip(table, sets):
+        row[s >> np.uint64(64 - size.bit_length() + 1)] = True
+    return np.packbits(table, axis=1).view(np.int64)
+
+
+def _sets(width: int, rows: int, count: int):
     def run(batches):
         for batch in batches:
             for at, data, offsets in slices(batch.column("text")):
-                sets = [s.view(np.int64) for s in shingle_sets(data, offsets, width)]
+                sets = shingle_sets(data, offsets, width)
+                keys = [[]] * len(sets)
+                if count:
+                    keys = list((bands(sketch(sets, rows * count), rows).view(np.int64) >> 32).astype(np.int32))
+                numbers = pa.list_(pa.int64())
                 yield pa.record_batch(
-                    [batch.column("node").slice(at, len(sets)), pa.array(sets, pa.list_(pa.int64()))],
-                    names=["node", "shingles"],
+                    [
+                        batch.column("node").slice(at, len(sets)), pa.array([s.view(np.int64) for s in sets], numbers),
+                        pa.array(keys, pa.list_(pa.int32())), pa.array(list(_bitmaps(sets)), numbers),
+                    ],
+                    names=["node", "shingles", "bands", "bits"],
                 )
 
     return run
@@ -78,28 +103,39 @@ def _with_text_id(docs: DataFrame) -> DataFrame:
     )
 
 
-def _full_sets(nodes: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Full sets of some classes (node, shingles), from the text of one row each. A row that is
-    repeated gives its set once."""
-    needed = classes.join(nodes, "node", "left_semi").select("node", "doc_id", "text_id")
-    needed = hand_over(needed, "near-needed")
-    needed = light(needed, needed.count()).alias("n")
+def _full_sets(
+    nodes: DataFrame, most: int, classes: DataFrame, texts: DataFrame, width: int, rows: int = 0, count: int = 0
+) -> DataFrame:
+    """Full sets of some classes, `most` at most (node, shingles, bands, bits), from the text of one
+    row each; with `count`, the first 32 bits of their bands, which two bands share by chance less
+    often than `miss`. A row that is repeated gives its set once."""
+    needed = classes.join(light(nodes, most), "node", "left_semi").select("node", "doc_id", "text_id")
+    needed = light(needed, most).alias("n")
     same = F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("t.text_id") == F.col("n.text_id"))
     some = texts.alias("t").join(needed, same).select("node", "text")
-    sets = some.mapInArrow(_sets(width), "node BIGINT, shingles ARRAY<BIGINT>")
-    return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    kind = "node BIGINT, shingles ARRAY<BIGINT>, bands ARRAY<INT>, bits ARRAY<BIGINT>"
+    sets = some.mapInArrow(_sets(width, rows, count), kind)
+    return sets.groupBy("node").agg(*[F.first(c).alias(c) for c in ("shingles", "bands", "bits")])
+
+
+def _alike(percent: int, n, m, a="a", b="b"):
+    """100 * intersection >= percent * union, written so that the sets are intersected once."""
+    return (100 + percent) * F.size(F.array_intersect(a, b)) >= percent * (n + m)
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (u, v) whose full sets reach the threshold."""
     pairs = hand_over(pairs.distinct(), "near-pairs")
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = hand_over(_full_sets(nodes, classes, texts, width), "near-sets")
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node"))
+    sets = _full_sets(nodes, 2 * pairs.count(), classes, texts, width).select("node", "shingles")
+    return _linked(pairs, hand_over(sets, "near-sets"), percent)
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the distinct pairs (u, v) whose full sets reach the threshold."""
     a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - both
-    return pairs.join(a, "u").join(b, "v").where(100 * both >= percent * union).select("u", "v").distinct()
+    return pairs.join(a, "u").join(b, "v").where(_alike(percent, F.size("a"), F.size("b"))).select("u", "v")
 
 
 def _comparable(percent: int, a="n", b="m"):
@@ -140,40 +176,46 @@ def _decided(docs: DataFrame, percent: int, width: int = 5, rows: int = 5, miss:
         filled.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("low"), F.count("*").alias("copies")),
         "near-classes",
     )
-    classes = filled.join(heads.select("row"), "row")
-    entries = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band")).distinct()
+    # only classes with copies are looked up, so the bands are not dealt out for it
+    copied = heads.where("copies > 1").select("node", F.col("row").alias("head"))
+    classes = filled.join(light(copied, copied.count()), "node", "left").where("head IS NULL OR row = head")
+    entries = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     shared = entries.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("centre")).where("c > 1")
-    shared = hand_over(shared, "near-bands")
-    members = hand_over(entries.join(shared.select("band", "centre"), "band"), "near-members")
-
-    centres = members.where("node = centre").select("band", F.col("node").alias("u"), F.col("n").alias("m"))
-    pairs = members.where("node > centre").join(centres, "band").where(_comparable(percent))
-    links = _confirmed(pairs.select("u", F.col("node").alias("v")), classes, texts, width, percent)
-    links = hand_over(links, "near-links")
-    labels = hand_over(components(links), "near-labels")
+    shared = hand_over(shared.select("band", "centre"), "near-bands")
+    n_shared = shared.count()
+    members = hand_over(entries.join(light(shared, n_shared), "band"), "near-members")
+
+    centres = members.where("node = centre").select("band", F.col("n").alias("m"))
+    pairs = members.where("node > centre").join(light(centres, n_shared), "band").where(_comparable(percent))
+    pairs = pairs.select(F.col("centre").alias("u"), F.col("node").alias("v"))
+    links = hand_over(_confirmed(pairs, classes, texts, width, percent), "near-links")
+    n_links = links.count()
+    labels = hand_over(components(links, n_links), "near-labels")
+    most = 2 * n_links  # no fewer than the labels
 
     # a centre was compared with its whole band, so the band goes on without it
     rest, step, sets = members.where("node > centre").select("band", "node", "n"), FIRST, None
     while True:
-        members = hand_over(_split_bands(rest, labels), "near-open")
-        if members.isEmpty():
+        members = hand_over(_split_bands(rest, light(labels, most)), "near-open")
+        n_members = members.count()
+        if not n_members:
             break
         if sets is None:
-            nodes = members.select("node").distinct()
-            sets = hand_over(
-                _full_sets(nodes, classes, texts, width).join(classes.select("node", "bands"), "node"), "near-sets"
-            )
-        centres = hand_over(_centres(members, step), "near-centres")
-        rest = hand_over(members.join(centres.select("band", "node"), ["band", "node"], "left_anti"), "near-rest")
-        fresh = hand_over(_compare(centres, rest, sets, percent), "near-links")
-        if not fresh.isEmpty():
-            labels = hand_over(_relabelled(labels, fresh), "near-labels")
-        rest, step = rest.select("band", "node", "n"), step * GROWTH
+            nodes = members.select("node")
+            sets = hand_over(_full_sets(nodes, n_members, classes, texts, width, rows, count), "near-sets")
+        members = hand_over(_placed(members, step), "near-placed")
+        fresh = hand_over(_linked(_compare(members, step, sets, percent), sets, percent), "near-links")
+        n_fresh = fresh.count()
+        if n_fresh:
+            labels = hand_over(_relabelled(light(labels, most), fresh, n_fresh), "near-labels")
+            most += 2 * n_fresh
+        rest, step = members.where(F.col("place") > step).select("band", "node", "n"), step * GROWTH
 
     # rows take the component of their class; only classes with copies or links are joined
-    named = heads.join(light(labels, labels.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    low = named.groupBy("label").agg(F.min("low").alias("component_id"), F.count("*").alias("classes"))
-    found = named.join(low, "label").where("copies > 1 OR classes > 1").select("node", "label", "component_id")
+    named = heads.join(light(labels, most), "node", "left").where("copies > 1 OR label IS NOT NULL")
+    named = named.withColumn("label", F.coalesce("label", "node"))
+    low = named.groupBy("label").agg(F.min("low").alias("component_id"))
+    found = named.join(low, "label").select("node", "label", "component_id")
     found = hand_over(found.withColumn("__found", F.lit(True)), "near-found")
     rows_ = signed.join(light(found, found.count()), "node", "left").withColumn(
         "component_id", F.when(F.col("__found"), F.col("component_id")).otherwise(F.col("doc_id"))
@@ -185,51 +227,55 @@ def _decided(docs: DataFrame, percent: int, width: int = 5, rows: int = 5, miss:
     )
 
 
-def _relabelled(labels: DataFrame, fresh: DataFrame) -> DataFrame:
+def _relabelled(labels: DataFrame, fresh: DataFrame, n_fresh: int) -> DataFrame:
     """Labels after new links: what is searched again is the graph of labels that they join."""
-    rows = labels.count()
-    a, b = light(labels, rows).alias("a"), light(labels, rows).alias("b")
+    a, b = labels.alias("a"), labels.alias("b")
     joined = fresh.join(a, F.col("u") == F.col("a.node"), "left").join(b, F.col("v") == F.col("b.node"), "left")
     pairs = joined.select(F.coalesce("a.label", "u").alias("u"), F.coalesce("b.label", "v").alias("v")).distinct()
-    merged = hand_over(components(pairs), "near-merged").select(F.col("node").alias("was"), F.col("label").alias("now"))
-    merged = light(merged, merged.count())
+    merged = hand_over(components(pairs, n_fresh), "near-merged").select(F.col("node").alias("was"), F.col("label").alias("now"))
+    merged = light(merged, 2 * n_fresh)
     old = labels.join(merged, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label"))
-    new = merged.join(light(labels, rows), F.col("was") == F.col("node"), "left_anti")
+    new = merged.join(labels, F.col("was") == F.col("node"), "left_anti")
     return old.unionByName(new.select(F.col("was").alias("node"), F.col("now").alias("label")))
 
 
 def _split_bands(rest: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the bands whose members lie in more than one component, with labels, and
     with how many of the band share the label."""
-    named = rest.join(light(labels, labels.count()), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     kin = named.groupBy("band", "label").agg(F.count("*").alias("kin"))
     split = named.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z")
     return named.join(split.select("band"), "band").join(kin, ["band", "label"])
 
 
-def _centres(members: DataFrame, step: int) -> DataFrame:
-    """The next centres of each band, those of the smallest components first: once all but the
-    largest component were centres, nothing is left to compare. Spark cuts each band to
-    `step` rows before the shuffle."""
+def _placed(members: DataFrame, step: int) -> DataFrame:
+    """Members with `place`: up to `step` in the next centres of each band, those of the smallest
+    components first, since once all but the largest component were centres, nothing is left to
+    compare. Spark cuts each band to `step` rows before the shuffle."""
     place = F.row_number().over(W.partitionBy("band").orderBy("kin", "node"))
-    return members.withColumn("place", place).where(F.col("place") <= step)
-
-
-def _compare(centres: DataFrame, rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the centres of a band and its members in other components. A pair is
-    compared in the first band it shares, inside the join, so pairs that are no links are
-    never rows. Sets are joined here only, so rows between rounds stay narrow."""
-    own = ("band", "node", "n", "label", "place")
-    members = centres.select(*own).unionByName(rest.withColumn("place", F.lit(1 << 30)).select(*own)).join(sets, "node")
-    centre = centres.select(*own).join(sets, "node")
-    centre = centre.select(*[F.col(c).alias("c_" + c) for c in (*own, "bands", "shingles")])
-    both = F.size(F.array_intersect("shingles", "c_shingles"))
-    linked = (
+    centres = members.select("band", "node", "kin").withColumn("place", place).where(F.col("place") <= step)
+    placed = members.join(centres.drop("kin"), ["band", "node"], "left")
+    return placed.withColumn("place", F.coalesce("place", F.lit(step + 1)))
+
+
+def _compare(members: DataFrame, step: int, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a centre of a band and a member in another component that are links or, of short
+    sets, look so by their bitmaps; each in the first band it shares. Bitmaps and sets are joined
+    here only, so rows between rounds stay narrow."""
+    own, made = ("band", "node", "n", "label", "place"), ("bits", "bands", "shingles")
+    whole = F.when(F.size("shingles") > LONG, F.col("shingles")).alias("shingles")
+    members = members.select(*own).join(sets.select("node", "bits", "bands", whole), "node")
+    centre = members.where(F.col("place") <= step)
+    centre = centre.select(*[F.col(c).alias("c_" + c) for c in (*own, *made)])
+    apart = sum(F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("c_bits", F.lit(i)))) for i in range(BITMAP))
+    short = F.col("shingles").isNull() | F.col("c_shingles").isNull()
+    looks_linked = (
         (F.col("place") > F.col("c_place")) & (F.col("label") != F.col("c_label")) & _comparable(percent, "n", "c_n")
-        & (F.get(F.array_intersect("bands", "c_bands"), F.lit(0)) == F.col("band"))
-        & (100 * both >= percent * (F.col("n") + F.col("c_n") - both))
+        & ((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("c_n")))
+        & (F.get(F.array_intersect("bands", "c_bands"), F.lit(0)) == F.shiftright("band", 32).cast("int"))
+        & (short | _alike(percent, F.col("n"), F.col("c_n"), "shingles", "c_shingles"))
     )
-    pairs = members.join(centre, (F.col("band") == F.col("c_band")) & linked)
+    pairs = members.join(centre, (F.col("band") == F.col("c_band")) & looks_linked)
     return pairs.select(F.col("c_node").alias("u"), F.col("node").alias("v")).distinct()
 
 

@@ -199,6 +199,41 @@ def test_bands_that_need_several_rounds_of_centres(docs):
     assert rows(minhash_dedup.near_duplicates(docs(*some), 85), "doc_id", "n_shingles", "component_id", "kept") == want
 
 
+def test_bitmaps_rule_out_no_link():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (1, 40, 128, 3000):
+        common = rng.integers(0, 2**64, n, dtype=np.uint64)
+        a = np.unique(np.concatenate([common, rng.integers(0, 2**64, n // 8, dtype=np.uint64)]))
+        b = np.unique(common[n // 10 :])
+        x, y = minhash_dedup._bitmaps([a, b])
+        apart = sum((int(i) ^ int(j) & (1 << 64) - 1).bit_count() for i, j in zip(x.view(np.uint64), y.view(np.uint64)))
+        differ = len(np.setxor1d(a, b))
+        assert apart <= differ and (n > 128 or 2 * apart >= differ)
+
+
+def test_near_dedup_of_an_unlinked_group_takes_few_jobs(spark, docs):
+    import random
+
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(200)]
+    some = []
+    for g in range(150):  # share bands, but no two are linked
+        own = base.copy()
+        for k in rng.sample(range(200), 5):
+            own[k] = f"g{g}x{k}"
+        some.append((g, " ".join(own)))
+    runs, write = [], minhash_dedup.hand_over
+    try:
+        minhash_dedup.hand_over = lambda df, label, by=None: (runs.append(label), write(df, label, by))[1]
+        got = rows(minhash_dedup.near_duplicates(docs(*some), 85), "doc_id", "n_shingles", "component_id", "kept")
+    finally:
+        minhash_dedup.hand_over = write
+    assert got == brute_components(some, 85)
+    assert len(runs) <= 18  # 21 with centres by 8, 64, 512
+
+
 # -- 3, 8 ----------------------------------------------------------------------
 
 
