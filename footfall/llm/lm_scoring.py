@@ -100,9 +100,19 @@ def forward(net, flat: np.ndarray, place: np.ndarray):
     return np.tanh(total), around
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+def _log_softmax(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log probability of column `at` in each row."""
+    x = x - x.max(axis=1, keepdims=True)
+    return x[np.arange(len(x)), at] - np.log(np.exp(x).sum(axis=1))
+
+
+def _missed(x: np.ndarray, at: np.ndarray, share: np.float32) -> np.ndarray:
+    """`share` of the gradient at the scores x of the negative log probability of column `at`."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= share / x.sum(axis=1, keepdims=True)
+    x[np.arange(len(x)), at] -= share
+    return x
 
 
 def _by_class(classes: np.ndarray):
@@ -122,10 +132,9 @@ def log_probs(net, flat: np.ndarray, place: np.ndarray) -> np.ndarray:
         h, _ = forward(net, flat, some)
         target = flat[some]
         classes, word = target // IN_CLASS, target % IN_CLASS
-        lp = _log_softmax(h @ net["class_w"] + net["class_b"])[np.arange(len(some)), classes]
+        lp = _log_softmax(h @ net["class_w"] + net["class_b"], classes)
         for c, rows in _by_class(classes):
-            inner = _log_softmax(h[rows] @ net["word_w"][c] + net["word_b"][c])
-            lp[rows] += inner[np.arange(len(rows)), word[rows]]
+            lp[rows] += _log_softmax(h[rows] @ net["word_w"][c] + net["word_b"][c], word[rows])
         out[a : a + STEP] = lp
     return out
 
@@ -135,29 +144,24 @@ def gradients(net, flat: np.ndarray, place: np.ndarray) -> dict[str, np.ndarray]
     h, around = forward(net, flat, place)
     target = flat[place]
     classes, word = target // IN_CLASS, target % IN_CLASS
-    n = np.float32(len(place))
+    share = np.float32(1 / len(place))
     g = {}
-    d = np.exp(_log_softmax(h @ net["class_w"] + net["class_b"]))
-    d[np.arange(len(place)), classes] -= 1
-    d /= n
+    d = _missed(h @ net["class_w"] + net["class_b"], classes, share)
     g["class_w"], g["class_b"] = h.T @ d, d.sum(0)
     dh = d @ net["class_w"].T
     g["word_w"], g["word_b"] = np.zeros_like(net["word_w"]), np.zeros_like(net["word_b"])
     for c, rows in _by_class(classes):
-        d = np.exp(_log_softmax(h[rows] @ net["word_w"][c] + net["word_b"][c]))
-        d[np.arange(len(rows)), word[rows]] -= 1
-        d /= n
-        g["word_w"][c], g["word_b"][c] = h[rows].T @ d, d.sum(0)
+        own = h[rows]
+        d = _missed(own @ net["word_w"][c] + net["word_b"][c], word[rows], share)
+        g["word_w"][c], g["word_b"][c] = own.T @ d, d.sum(0)
         dh[rows] += d @ net["word_w"][c].T
     dh *= 1 - h * h
     g["hidden"] = dh.sum(0)
-    g["place"] = np.stack([(dh * net["embed"][w]).sum(0) for w in around])
-    embed = np.zeros(net["embed"].shape, np.float32)
-    for k, w in enumerate(around):
-        part = dh * net["place"][k]
-        for j in range(DIM):
-            embed[:, j] += np.bincount(w, weights=part[:, j], minlength=SIZE + 1)
-    g["embed"] = embed
+    # per place, the sums of dh by the word there give both gradients
+    columns = np.ascontiguousarray(dh.T, np.float64)
+    by_word = np.array([[np.bincount(w, x, SIZE + 1) for x in columns] for w in around], np.float32).transpose(0, 2, 1)
+    g["place"] = (by_word * net["embed"]).sum(1)
+    g["embed"] = (by_word * net["place"][:, None]).sum(0)
     return g
 
 

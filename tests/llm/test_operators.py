@@ -417,6 +417,17 @@ def test_mixing_odd_rows_and_no_labels(spark, odd):
         assert all(abs(r.p_clean - 1) < 1e-6 for r in plan)
 
 
+def test_missed_share_of_the_softmax():
+    import numpy as np
+
+    x = np.random.default_rng(5).normal(0, 3, (7, 5)).astype(np.float32)
+    at = np.arange(7) % 5
+    soft = np.exp(x) / np.exp(x).sum(1, keepdims=True)
+    want = (soft - np.eye(5)[at]) / 7
+    assert np.allclose(lm_scoring._missed(x.copy(), at, np.float32(1 / 7)), want, atol=1e-6)
+    assert np.allclose(lm_scoring._log_softmax(x, at), np.log(soft[np.arange(7), at]), atol=1e-5)
+
+
 # -- 6 -------------------------------------------------------------------------
 
 
