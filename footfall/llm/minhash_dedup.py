@@ -2,18 +2,18 @@
 
 1. One pass over the texts gives each row the digest of its shingle set and the digests of
    its sketch bands. Rows with equal sets become one class, so copies cost nothing further.
-2. Classes that share a band are candidates. Instead of all pairs of a band, members are
-   compared with centres: first with the smallest member, then, in bands whose members are not
+2. Classes that share a band are candidates, and their full sets are computed once. A shingle
+   that only one candidate has is in no intersection, so a candidate with too many of its own
+   can be linked with nothing and leaves; what is left of a band is counted. Where that makes
+   few pairs for its members, all pairs of a band are compared at once. Otherwise members are
+   compared with centres of their band: first with one, then, in bands whose members are not
    yet in one component, with 32, 1024, ... members, those of the smallest components first, each
    time only with members of other components. A centre then leaves its band. When the rounds
    end, any two members of a band were compared or are connected, so no component is missed,
    and a band of near copies costs one comparison a member.
-3. Compared pairs are confirmed on their full shingle sets. In later rounds the join looks at a
-   bitmap of each set first: no more bits differ than shingles, so it rules out pairs but no
-   link, and the many pairs of a group that are nearly but not quite alike are not rows. A bitmap
-   says little about a set of more than LONG shingles, so these are compared as a whole inside
-   the join. Sets are computed again for the classes in question only and never stored for the
-   others.
+3. The join of a band looks at numbers of own shingles and at a bitmap of each set: no more bits
+   differ than shingles, so both rule out pairs but no link, and the many pairs of a group that
+   are nearly but not quite alike are not rows. What is left is confirmed on full sets.
 
 With `rows` coordinates a band and `bands` bands, a pair of similarity s shares no band with
 probability (1 - s**rows)**bands; `bands` is chosen so that this is at most `miss` at the
@@ -32,16 +32,16 @@ from footfall.llm.shingles import shingle_sets, slices
 from footfall.llm.sketches import bands, sketch
 from footfall.llm.tables import hand_over, light, only_chosen, text_or_empty
 
-#: Centres of a band in the first round after its smallest member, and how much their number
-#: grows from round to round.
+#: Centres of a band in the second round, and how much their number grows from round to round.
 FIRST, GROWTH = 32, 32
 
+#: Pairs in bands that are compared at once, in all and for each member. Where there are more,
+#: rounds of centres come first.
+AT_ONCE, EACH = 20_000_000, 100
+
 #: Numbers of 64 bits in the bitmap of a set, a power of two.
 BITMAP = 16
 
-#: Shingles of a set that a bitmap tells from others; longer sets go into the join.
-LONG = 128
-
 
 def band_count(threshold: float, rows: int, miss: float) -> int:
     return math.ceil(math.log(miss) / math.log(1 - threshold**rows))
@@ -82,14 +82,12 @@ def _sets(width: int, rows: int, count: int):
         for batch in batches:
             for at, data, offsets in slices(batch.column("text")):
                 sets = shingle_sets(data, offsets, width)
-                keys = [[]] * len(sets)
-                if count:
-                    keys = list((bands(sketch(sets, rows * count), rows).view(np.int64) >> 32).astype(np.int32))
+                keys = (bands(sketch(sets, rows * count), rows).view(np.int64) >> 32).astype(np.int32)
                 numbers = pa.list_(pa.int64())
                 yield pa.record_batch(
                     [
                         batch.column("node").slice(at, len(sets)), pa.array([s.view(np.int64) for s in sets], numbers),
-                        pa.array(keys, pa.list_(pa.int32())), pa.array(list(_bitmaps(sets)), numbers),
+                        pa.array(list(keys), pa.list_(pa.int32())), pa.array(list(_bitmaps(sets)), numbers),
                     ],
                     names=["node", "shingles", "bands", "bits"],
                 )
@@ -104,12 +102,12 @@ def _with_text_id(docs: DataFrame) -> DataFrame:
 
 
 def _full_sets(
-    nodes: DataFrame, most: int, classes: DataFrame, texts: DataFrame, width: int, rows: int = 0, count: int = 0
+    nodes: DataFrame, most: int, heads: DataFrame, texts: DataFrame, width: int, rows: int, count: int
 ) -> DataFrame:
     """Full sets of some classes, `most` at most (node, shingles, bands, bits), from the text of one
-    row each; with `count`, the first 32 bits of their bands, which two bands share by chance less
-    often than `miss`. A row that is repeated gives its set once."""
-    needed = classes.join(light(nodes, most), "node", "left_semi").select("node", "doc_id", "text_id")
+    row each, with the first 32 bits of their bands, which two bands share by chance less often
+    than `miss`. A row that is repeated gives its set once."""
+    needed = heads.join(light(nodes.distinct(), most), "node", "left_semi").select("node", "head.doc_id", "head.text_id")
     needed = light(needed, most).alias("n")
     same = F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("t.text_id") == F.col("n.text_id"))
     some = texts.alias("t").join(needed, same).select("node", "text")
@@ -118,19 +116,22 @@ def _full_sets(
     return sets.groupBy("node").agg(*[F.first(c).alias(c) for c in ("shingles", "bands", "bits")])
 
 
+def _linkable(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, own) of the sets that may be linked: `own` counts the shingles that no other of
+    the sets has, and a link needs `percent` of the shingles in the other set, too."""
+    each = sets.select("node", F.explode("shingles").alias("shingle"))
+    lone = each.groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
+    own = lone.groupBy("node").agg(F.count("*").alias("own"))
+    sized = sets.select("node", F.size("shingles").cast("bigint").alias("n")).join(own, "node", "left")
+    sized = sized.withColumn("own", F.coalesce("own", F.lit(0).cast("bigint")))
+    return sized.where(100 * (F.col("n") - F.col("own")) >= percent * F.col("n"))
+
+
 def _alike(percent: int, n, m, a="a", b="b"):
     """100 * intersection >= percent * union, written so that the sets are intersected once."""
     return (100 + percent) * F.size(F.array_intersect(a, b)) >= percent * (n + m)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (u, v) whose full sets reach the threshold."""
-    pairs = hand_over(pairs.distinct(), "near-pairs")
-    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node"))
-    sets = _full_sets(nodes, 2 * pairs.count(), classes, texts, width).select("node", "shingles")
-    return _linked(pairs, hand_over(sets, "near-sets"), percent)
-
-
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct pairs (u, v) whose full sets reach the threshold."""
     a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
@@ -138,9 +139,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").where(_alike(percent, F.size("a"), F.size("b"))).select("u", "v")
 
 
-def _comparable(percent: int, a="n", b="m"):
-    """Sets of very different size cannot be similar enough."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _reachable(percent: int):
+    """The intersection holds no shingle that only one of the sets has."""
+    n, m = F.col("n"), F.col("c_n")
+    return (100 + percent) * F.least(n - F.col("own"), m - F.col("c_own")) >= percent * (n + m)
 
 
 def near_duplicates(
@@ -170,50 +172,43 @@ def _decided(docs: DataFrame, percent: int, width: int = 5, rows: int = 5, miss:
         ).withColumn("row", F.monotonically_increasing_id()),
         "near-signatures",
     )
-    filled = signed.where("n_shingles > 0")
     # rows with equal sets are one class, a node; one of its rows stands for it
+    head = F.min(F.struct("row", "doc_id", "text_id", "bands")).alias("head")
     heads = hand_over(
-        filled.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("low"), F.count("*").alias("copies")),
+        signed.where("n_shingles > 0").groupBy("node").agg(head, F.min("doc_id").alias("low"), F.count("*").alias("copies")),
         "near-classes",
     )
-    # only classes with copies are looked up, so the bands are not dealt out for it
-    copied = heads.where("copies > 1").select("node", F.col("row").alias("head"))
-    classes = filled.join(light(copied, copied.count()), "node", "left").where("head IS NULL OR row = head")
-    entries = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
-    shared = entries.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("centre")).where("c > 1")
-    shared = hand_over(shared.select("band", "centre"), "near-bands")
-    n_shared = shared.count()
-    members = hand_over(entries.join(light(shared, n_shared), "band"), "near-members")
-
-    centres = members.where("node = centre").select("band", F.col("n").alias("m"))
-    pairs = members.where("node > centre").join(light(centres, n_shared), "band").where(_comparable(percent))
-    pairs = pairs.select(F.col("centre").alias("u"), F.col("node").alias("v"))
-    links = hand_over(_confirmed(pairs, classes, texts, width, percent), "near-links")
-    n_links = links.count()
-    labels = hand_over(components(links, n_links), "near-labels")
-    most = 2 * n_links  # no fewer than the labels
-
-    # a centre was compared with its whole band, so the band goes on without it
-    rest, step, sets = members.where("node > centre").select("band", "node", "n"), FIRST, None
-    while True:
-        members = hand_over(_split_bands(rest, light(labels, most)), "near-open")
-        n_members = members.count()
+    entries = heads.select("node", F.explode("head.bands").alias("band"))
+    shared = hand_over(entries.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select("band"), "near-bands")
+    members = hand_over(entries.join(light(shared, shared.count()), "band"), "near-members")
+    n_members = members.count()  # no fewer than the classes in them
+    sets = hand_over(_full_sets(members.select("node"), n_members, heads, texts, width, rows, count), "near-sets")
+    able = hand_over(_linkable(sets, percent), "near-linkable")
+    rest, step, labels, most = members.join(light(able, n_members), "node"), 1, None, 0
+    while n_members:
+        members = hand_over(_split_bands(rest, labels, most), "near-open")
+        n_members, ahead = members.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
         if not n_members:
             break
-        if sets is None:
-            nodes = members.select("node")
-            sets = hand_over(_full_sets(nodes, n_members, classes, texts, width, rows, count), "near-sets")
-        members = hand_over(_placed(members, step), "near-placed")
-        fresh = hand_over(_linked(_compare(members, step, sets, percent), sets, percent), "near-links")
+        whole = ahead <= 2 * max(AT_ONCE, EACH * n_members)
+        if not whole:
+            members = hand_over(_placed(members, step), "near-placed")
+        pairs = _compare(members, None if whole else step, sets, percent)
+        fresh = hand_over(_linked(pairs, sets, percent), "near-links")
         n_fresh = fresh.count()
-        if n_fresh:
+        if n_fresh and labels is None:
+            labels = components(fresh, n_fresh)
+        elif n_fresh:
             labels = hand_over(_relabelled(light(labels, most), fresh, n_fresh), "near-labels")
-            most += 2 * n_fresh
-        rest, step = members.where(F.col("place") > step).select("band", "node", "n"), step * GROWTH
+        most += 2 * n_fresh  # no fewer than the labels
+        if whole:
+            break
+        rest = members.where(F.col("place") > step).select("band", "node", "n", "own")
+        step = step * GROWTH if step > 1 else FIRST
 
     # rows take the component of their class; only classes with copies or links are joined
-    named = heads.join(light(labels, most), "node", "left").where("copies > 1 OR label IS NOT NULL")
-    named = named.withColumn("label", F.coalesce("label", "node"))
+    named = _labelled(heads.select("node", "low", "copies"), labels, most)
+    named = named.where("copies > 1 OR label IS NOT NULL").withColumn("label", F.coalesce("label", "node"))
     low = named.groupBy("label").agg(F.min("low").alias("component_id"))
     found = named.join(low, "label").select("node", "label", "component_id")
     found = hand_over(found.withColumn("__found", F.lit(True)), "near-found")
@@ -239,44 +234,51 @@ def _relabelled(labels: DataFrame, fresh: DataFrame, n_fresh: int) -> DataFrame:
     return old.unionByName(new.select(F.col("was").alias("node"), F.col("now").alias("label")))
 
 
-def _split_bands(rest: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the bands whose members lie in more than one component, with labels, and
-    with how many of the band share the label."""
-    named = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    kin = named.groupBy("band", "label").agg(F.count("*").alias("kin"))
-    split = named.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z")
-    return named.join(split.select("band"), "band").join(kin, ["band", "label"])
+def _labelled(rows: DataFrame, labels: DataFrame | None, most: int) -> DataFrame:
+    """With the label of the node, null where it has none; there are `most` labels at most."""
+    if labels is None:
+        return rows.withColumn("label", F.lit(None).cast("bigint"))
+    return rows.join(light(labels, most), "node", "left")
+
+
+def _split_bands(rest: DataFrame, labels: DataFrame | None, most: int) -> DataFrame:
+    """Members of the bands whose members lie in more than one component, with labels and the
+    number of the band's members."""
+    named = _labelled(rest, labels, most).withColumn("label", F.coalesce("label", "node"))
+    sizes = named.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("z"))
+    return named.join(sizes.where("a <> z").select("band", "size"), "band")
 
 
 def _placed(members: DataFrame, step: int) -> DataFrame:
     """Members with `place`: up to `step` in the next centres of each band, those of the smallest
     components first, since once all but the largest component were centres, nothing is left to
     compare. Spark cuts each band to `step` rows before the shuffle."""
+    kin = members.groupBy("band", "label").agg(F.count("*").alias("kin"))
+    members = members.join(kin, ["band", "label"])
     place = F.row_number().over(W.partitionBy("band").orderBy("kin", "node"))
     centres = members.select("band", "node", "kin").withColumn("place", place).where(F.col("place") <= step)
     placed = members.join(centres.drop("kin"), ["band", "node"], "left")
     return placed.withColumn("place", F.coalesce("place", F.lit(step + 1)))
 
 
-def _compare(members: DataFrame, step: int, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a centre of a band and a member in another component that are links or, of short
-    sets, look so by their bitmaps; each in the first band it shares. Bitmaps and sets are joined
-    here only, so rows between rounds stay narrow."""
-    own, made = ("band", "node", "n", "label", "place"), ("bits", "bands", "shingles")
-    whole = F.when(F.size("shingles") > LONG, F.col("shingles")).alias("shingles")
-    members = members.select(*own).join(sets.select("node", "bits", "bands", whole), "node")
-    centre = members.where(F.col("place") <= step)
-    centre = centre.select(*[F.col(c).alias("c_" + c) for c in (*own, *made)])
+def _compare(members: DataFrame, step: int | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a centre of a band, or with no `step` of any member, and a member in another
+    component that look like links by their own shingles and bitmaps; each in the first band it
+    shares. Bitmaps are joined here only, so rows between rounds stay narrow."""
+    if step is None:
+        members = members.withColumn("place", F.col("node"))
+    members = members.select("band", "node", "n", "own", "label", "place")
+    members = members.join(sets.select("node", "bits", "bands"), "node")
+    centre = members if step is None else members.where(F.col("place") <= step)
+    centre = centre.select(*[F.col(c).alias("c_" + c) for c in members.columns])
     apart = sum(F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("c_bits", F.lit(i)))) for i in range(BITMAP))
-    short = F.col("shingles").isNull() | F.col("c_shingles").isNull()
     looks_linked = (
-        (F.col("place") > F.col("c_place")) & (F.col("label") != F.col("c_label")) & _comparable(percent, "n", "c_n")
+        (F.col("place") > F.col("c_place")) & (F.col("label") != F.col("c_label")) & _reachable(percent)
         & ((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("c_n")))
         & (F.get(F.array_intersect("bands", "c_bands"), F.lit(0)) == F.shiftright("band", 32).cast("int"))
-        & (short | _alike(percent, F.col("n"), F.col("c_n"), "shingles", "c_shingles"))
     )
     pairs = members.join(centre, (F.col("band") == F.col("c_band")) & looks_linked)
-    return pairs.select(F.col("c_node").alias("u"), F.col("node").alias("v")).distinct()
+    return pairs.select(F.col("c_node").alias("u"), F.col("node").alias("v"))
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -234,6 +234,61 @@ def test_near_dedup_of_an_unlinked_group_takes_few_jobs(spark, docs):
     assert len(runs) <= 18  # 21 with centres by 8, 64, 512
 
 
+def test_near_dedup_compares_small_bands_at_once(spark, docs):
+    import random
+
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    some = []
+    for g in range(90):  # most pairs are nearly but not quite alike, each has a link
+        own = base.copy()
+        for k in rng.sample(range(200), 4):
+            own[k] = f"g{g}x{k}"
+        some += [(g, " ".join(own)), (200 + g, " ".join(own[1:]))]
+    runs, write = [], minhash_dedup.hand_over
+    try:
+        minhash_dedup.hand_over = lambda df, label, by=None: (runs.append(label), write(df, label, by))[1]
+        got = rows(minhash_dedup.near_duplicates(docs(*some), 85), "doc_id", "n_shingles", "component_id", "kept")
+    finally:
+        minhash_dedup.hand_over = write
+    assert got == brute_components(some, 85)
+    assert len(runs) <= 9  # 24 with rounds of centres
+
+
+@pytest.mark.parametrize("words, changed", [(200, 5), (60, 2)])
+def test_rounds_of_centres_find_the_same_components(docs, monkeypatch, words, changed):
+    import random
+
+    rng = random.Random(words)
+    base = [f"w{i}" for i in range(words)]
+    some = [(1, " ".join(base)), (2, " ".join(base))]
+    for g in range(45):
+        own = base.copy()
+        for k in rng.sample(range(words), changed):
+            own[k] = f"g{g % 9}x{k}"
+        some += [(100 + g, " ".join(own)), (200 + g, " ".join([*own[:-1], "y"]))]
+    for name in ("AT_ONCE", "EACH"):
+        monkeypatch.setattr(minhash_dedup, name, 0)
+    monkeypatch.setattr(minhash_dedup, "FIRST", 4)
+    got = rows(minhash_dedup.near_duplicates(docs(*some), 85), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == brute_components(some, 85)
+
+
+def test_lone_shingles_rule_out_no_link(spark):
+    import random
+
+    rng = random.Random(2)
+    sets = {k: sorted({rng.randrange(40) if rng.random() < 0.8 else rng.randrange(10**6) for _ in range(rng.randrange(1, 30))}) for k in range(60)}
+    sets[60], sets[61] = list(range(100, 120)), list(range(101, 121))
+    able = minhash_dedup._linkable(spark.createDataFrame(list(sets.items()), "node BIGINT, shingles ARRAY<BIGINT>"), 85).collect()
+    able = {r.node: (r.n, r.own) for r in able}
+    counts = Counter(x for s in sets.values() for x in s)
+    for k, s in sets.items():
+        own = sum(counts[x] == 1 for x in s)
+        assert able.get(k) == ((len(s), own) if 100 * (len(s) - own) >= 85 * len(s) else None)
+    assert able[60] == (20, 1) and 0 < len(able) < len(sets)
+
+
 # -- 3, 8 ----------------------------------------------------------------------
 
 
