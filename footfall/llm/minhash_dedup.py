@@ -4,13 +4,13 @@
    its sketch bands. Rows with equal sets become one class, so copies cost nothing further.
 2. Classes that share a band are candidates, and their full sets are computed once. A shingle
    that only one candidate has is in no intersection, so a candidate with too many of its own
-   can be linked with nothing and leaves; what is left of a band is counted. Where that makes
-   few pairs for its members, all pairs of a band are compared at once. Otherwise members are
-   compared with centres of their band: first with one, then, in bands whose members are not
-   yet in one component, with 32, 1024, ... members, those of the smallest components first, each
-   time only with members of other components. A centre then leaves its band. When the rounds
-   end, any two members of a band were compared or are connected, so no component is missed,
-   and a band of near copies costs one comparison a member.
+   can be linked with nothing and leaves. Members are compared with centres of their band: first
+   with the smallest member, then, in bands whose members are not yet in one component, with 32,
+   1024, ... members, those of the smallest components first, each time only with members of other
+   components. A centre then leaves its band. As soon as the bands that are left make few pairs
+   for their members, all of these are compared at once. When the rounds end, any two members of
+   a band were compared or are connected, so no component is missed, and a band of near copies
+   costs one comparison a member.
 3. The join of a band looks at numbers of own shingles and at a bitmap of each set: no more bits
    differ than shingles, so both rule out pairs but no link, and the many pairs of a group that
    are nearly but not quite alike are not rows. What is left is confirmed on full sets.
@@ -190,10 +190,17 @@ def _decided(docs: DataFrame, percent: int, width: int = 5, rows: int = 5, miss:
         n_members, ahead = members.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
         if not n_members:
             break
-        whole = ahead <= 2 * max(AT_ONCE, EACH * n_members)
-        if not whole:
-            members = hand_over(_placed(members, step), "near-placed")
-        pairs = _compare(members, None if whole else step, sets, percent)
+        whole = False
+        if step == 1:
+            rest = members.where("node <> first.node")
+            pairs = rest.withColumns({"c_n": F.col("first.n"), "c_own": F.col("first.own")}).where(_reachable(percent))
+            pairs = pairs.select(F.col("first.node").alias("u"), F.col("node").alias("v")).distinct()
+        else:
+            whole = ahead <= 2 * max(AT_ONCE, EACH * n_members)
+            if not whole:
+                members = hand_over(_placed(members, step), "near-placed")
+                rest = members.where(F.col("place") > step)
+            pairs = _compare(members, None if whole else step, sets, percent)
         fresh = hand_over(_linked(pairs, sets, percent), "near-links")
         n_fresh = fresh.count()
         if n_fresh and labels is None:
@@ -203,7 +210,7 @@ def _decided(docs: DataFrame, percent: int, width: int = 5, rows: int = 5, miss:
         most += 2 * n_fresh  # no fewer than the labels
         if whole:
             break
-        rest = members.where(F.col("place") > step).select("band", "node", "n", "own")
+        rest = rest.select("band", "node", "n", "own")
         step = step * GROWTH if step > 1 else FIRST
 
     # rows take the component of their class; only classes with copies or links are joined
@@ -242,11 +249,12 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, most: int) -> DataFrame
 
 
 def _split_bands(rest: DataFrame, labels: DataFrame | None, most: int) -> DataFrame:
-    """Members of the bands whose members lie in more than one component, with labels and the
-    number of the band's members."""
+    """Members of the bands whose members lie in more than one component, with labels, the
+    number of the band's members and the first of them."""
     named = _labelled(rest, labels, most).withColumn("label", F.coalesce("label", "node"))
-    sizes = named.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("a"), F.max("label").alias("z"))
-    return named.join(sizes.where("a <> z").select("band", "size"), "band")
+    first = F.min(F.struct("node", "n", "own")).alias("first")
+    sizes = named.groupBy("band").agg(F.count("*").alias("size"), first, F.min("label").alias("a"), F.max("label").alias("z"))
+    return named.join(sizes.where("a <> z").select("band", "size", "first"), "band")
 
 
 def _placed(members: DataFrame, step: int) -> DataFrame:
