@@ -20,8 +20,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.llm.tables import text_or_empty, tokenizer_path
 
-#: Words that a generation of a worker's memory holds, and the longest of them.
-KNOWN_WORDS, LONGEST = 400_000, 200
+#: Words that a generation of a worker's memory holds, the longest of them, and the characters
+#: that a generation's words and their ids have in all.
+KNOWN_WORDS, LONGEST, KNOWN_CHARS = 200_000, 200, 10_000_000
+
+#: Words whose ids are turned back at a time.
+AT_ONCE = 10_000
 
 #: No pair to merge; ranks are smaller.
 NONE = 1 << 60
@@ -42,13 +46,17 @@ class Words(dict):
     """Coded words, made when first asked for. `older` words that are asked for again move over;
     the rest of them is forgotten with the next generation, and made again if need be."""
 
-    def __init__(self, make, older=None):
-        self.make, self.older = make, dict(older or ())
+    def __init__(self, make):
+        self.make, self.older, self.chars = make, {}, 0
 
-    def __missing__(self, word: str):
+    def __missing__(self, word: str) -> str:
         value = self.older.get(word) or self.make(word)
         if len(word) <= LONGEST:
+            if len(self) >= KNOWN_WORDS or self.chars >= KNOWN_CHARS:
+                self.older, self.chars = dict(self), 0
+                self.clear()
             self[word] = value
+            self.chars += len(word) + len(value)
         return value
 
 
@@ -65,8 +73,9 @@ class Codec:
         # pair of ids -> (rank, id of the merged symbol)
         self.pairs = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(merges)}
         back = {c: b for b, c in enumerate(letters)}
-        self.bytes_of = {i: bytes(back[c] for c in s) for s, i in vocab.items()}
-        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
+        # by the id as a decimal
+        self.bytes_of = {str(i): bytes(back[c] for c in s) for s, i in vocab.items()}
+        self.special = {t["content"]: str(t["id"]) for t in spec.get("added_tokens") or []}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.words = regex.compile(PATTERN)
         longest = sorted(map(regex.escape, self.special), key=len, reverse=True)
@@ -130,32 +139,35 @@ class Codec:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text; special strings become their own id."""
-        return [i for ids, _, _ in self.pieces(text) for i in ids]
+        return [int(i) for told in self.pieces(text) for i in told.split(",")]
 
-    def coded(self, text: str) -> list[tuple]:
+    def coded(self, text: str) -> list[str]:
         """The coded words of a text without special strings."""
-        words = self.known
-        if len(words) > KNOWN_WORDS:
-            self.known = words = Words(self.word, words)
-        return list(map(words.__getitem__, self.words.findall(text)))
+        return list(map(self.known.__getitem__, self.words.findall(text)))
 
-    def word(self, word: str) -> tuple:
-        """(ids, ids as decimals joined by commas, decoded bytes) of one word."""
-        ids = self.merge(word.encode("utf-8"))
-        return tuple(ids), ",".join(map(str, ids)), b"".join([self.bytes_of[i] for i in ids])
+    def word(self, word: str) -> str:
+        """Ids of one word, as decimals joined by commas."""
+        return ",".join(map(str, self.merge(word.encode("utf-8"))))
 
     def decode(self, ids) -> str:
-        return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
+        return self.text([",".join(map(str, ids))] if len(ids) else [])
+
+    def text(self, pieces: list[str]) -> str:
+        """The text of coded words. They are taken apart some at a time: ids as strings of their own
+        need several times the space of the text."""
+        find, parts = self.bytes_of.__getitem__, []
+        for k in range(0, len(pieces), AT_ONCE):
+            parts.append(b"".join(map(find, ",".join(pieces[k : k + AT_ONCE]).split(","))))
+        return b"".join(parts).decode("utf-8", "replace")
 
-    def pieces(self, text: str) -> list[tuple]:
+    def pieces(self, text: str) -> list[str]:
         """The coded words and special strings of a text, in order."""
         if self.specials is None or not self.specials.search(text):
             return self.coded(text)
         out, start = [], 0
         for m in self.specials.finditer(text):
-            i = self.special[m[0]]
             out += self.coded(text[start : m.start()])
-            out.append(((i,), str(i), self.bytes_of[i]))
+            out.append(self.special[m[0]])
             start = m.end()
         return out + self.coded(text[start:])
 
@@ -177,10 +189,10 @@ def _round_trip(name: str):
             counts, ids_hex, text_hex = [], [], []
             for text in batch.column("text").to_pylist():
                 found = codec.pieces(text)
-                counts.append(sum([len(ids) for ids, _, _ in found]))
-                ids_hex.append(hashlib.sha256(",".join([told for _, told, _ in found]).encode("ascii")).hexdigest())
-                decoded = b"".join([back for _, _, back in found]).decode("utf-8", "replace").encode("utf-8")
-                text_hex.append(hashlib.sha256(decoded).hexdigest())
+                told = ",".join(found).encode("ascii")
+                counts.append(told.count(b",") + 1 if told else 0)
+                ids_hex.append(hashlib.sha256(told).hexdigest())
+                text_hex.append(hashlib.sha256(codec.text(found).encode("utf-8")).hexdigest())
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -327,6 +327,32 @@ def test_bpe_forgets_words_without_harm(monkeypatch):
         assert len(codec.known.older) <= 40
 
 
+def test_bpe_holds_few_words_however_long_the_text(monkeypatch):
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    text = " ".join(f"word{i}" for i in range(2_000))
+    want = library.encode(text, add_special_tokens=False).ids
+    codec = bpe.Codec(tokenizer_path("byte_bpe_50k.json"))
+    assert codec.encode(text) == want
+    codes = list(codec.known.values())
+    assert all(type(code) is str for code in codes)  # not several objects for each word
+    for name, most in (("KNOWN_WORDS", 50), ("KNOWN_CHARS", 300)):
+        monkeypatch.setattr(bpe, name, most)
+        codec = bpe.Codec(tokenizer_path("byte_bpe_50k.json"))
+        assert codec.encode(text) == want
+        assert len(codec.known) + len(codec.known.older) <= 100
+        monkeypatch.undo()
+
+
+def test_bpe_takes_ids_apart_some_at_a_time(monkeypatch):
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    codec = bpe.Codec(tokenizer_path("byte_bpe_50k.json"))
+    monkeypatch.setattr(bpe, "AT_ONCE", 2)
+    for text in ["", "a", "<|endoftext|>", "ä\U0001f600 some more words\n\n here<|endoftext|><|endoftext|>end "]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert codec.text(codec.pieces(text)) == library.decode(ids, skip_special_tokens=False)
+        assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
 def test_bpe_ids_come_back_as_text(odd):
     back = bpe.decode(bpe.encode(odd))
     assert rows(back, "doc_id", "text") == sorted(given(odd), key=repr)
