@@ -1,8 +1,8 @@
 """Byte-level BPE by a segment tree over adjacent pair ranks (operator 8).
 
 A part of the text becomes a row of symbols, one per byte. Leaf i of the tree holds the merge
-rank of symbol i with its right neighbour; an inner node holds the smaller of its children,
-the left one when they are equal. The root is then the leftmost pair of lowest rank. A merge
+rank of symbol i with its right neighbour; an inner node holds the smallest of its `FAN` children,
+the leftmost one when they are equal. The root is then the leftmost pair of lowest rank. A merge
 changes the leaves of the new symbol, of its left neighbour and of the symbol that vanished,
 each in logarithmic time, until the root holds no mergeable pair.
 
@@ -22,13 +22,13 @@ from footfall.llm.tables import text_or_empty, tokenizer_path
 
 #: Words that a generation of a worker's memory holds, the longest of them, and the characters
 #: that a generation's words and their ids have in all.
-KNOWN_WORDS, LONGEST, KNOWN_CHARS = 200_000, 200, 10_000_000
+KNOWN_WORDS, LONGEST, KNOWN_CHARS = 150_000, 200, 8_000_000
 
 #: Words whose ids are turned back at a time.
 AT_ONCE = 10_000
 
-#: No pair to merge; ranks are smaller.
-NONE = 1 << 60
+#: No pair to merge; ranks are smaller. Children of a node: most words need no inner node.
+NONE, FAN = 1 << 60, 16
 
 #: Split pattern of byte-level BPE files; a fixed value of the format.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -91,20 +91,21 @@ class Codec:
         find = self.pairs.get
         right = list(range(1, n + 1))  # neighbours among the symbols that are left
         left = list(range(-1, n - 1))
-        width = 1 << (n - 1).bit_length()
-        tree = [NONE] * (2 * width)  # rank * width + place: ties go to the left by themselves
+        leaves = [NONE] * n  # rank * n + place: ties go to the left by themselves
         merged = [0] * n  # what the pair at a place becomes
         for i in range(n - 1):
             pair = find((ids[i], ids[i + 1]))
             if pair is not None:
-                tree[width + i] = pair[0] * width + i
+                leaves[i] = pair[0] * n + i
                 merged[i] = pair[1]
-        for k in range(width - 1, 0, -1):
-            a, b = tree[2 * k], tree[2 * k + 1]
-            tree[k] = a if a <= b else b
-
-        while tree[1] != NONE:
-            i = tree[1] % width
+        steps, top = [], leaves  # each row of nodes with the one above; the root is the least of the last
+        while len(top) > FAN:
+            above = [min(top[k : k + FAN]) for k in range(0, len(top), FAN)]
+            steps.append((top, above))
+            top = above
+
+        while (low := min(top)) != NONE:
+            i = low % n
             j = right[i]
             ids[i] = merged[i]
             after = right[i] = right[j]
@@ -118,19 +119,18 @@ class Codec:
                 if place != j and beside < n:
                     pair = find((ids[place], ids[beside]))
                     if pair is not None:
-                        value = pair[0] * width + place
+                        value = pair[0] * n + place
                         merged[place] = pair[1]
-                k = width + place
-                if tree[k] == value:
+                if leaves[place] == value:
                     continue
-                tree[k] = value
-                while k > 1:
-                    a, b = tree[k], tree[k ^ 1]
-                    k >>= 1
-                    low = a if a <= b else b
-                    if tree[k] == low:
+                leaves[place] = value
+                k = place
+                for below, above in steps:
+                    k //= FAN
+                    low = min(below[k * FAN : k * FAN + FAN])
+                    if above[k] == low:
                         break  # nothing changes above
-                    tree[k] = low
+                    above[k] = low
         out, i = [], 0
         while i < n:
             out.append(ids[i])
